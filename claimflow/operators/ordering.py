@@ -1,0 +1,45 @@
+"""First row of a group in a declared order, as a plain aggregate.
+
+``min(struct(sort key..., payload...))`` picks the payload of the first row in
+the order.  It is an ordinary hash aggregate with a map-side partial step, so
+a hot group is pre-reduced in every task before the shuffle and never lands
+whole in one task (a window ``row_number`` would sort the whole group in one
+task).  Partial results combine with ``min`` again, which lets a plan
+pre-aggregate below a join and finish above it.
+
+Sort keys are written in ascending form: :func:`latest_first` for dates
+wanted newest first, :func:`nulls_last` for an ascending key whose missing
+values go last; a plain column sorts ascending with missing values first.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def latest_first(d: Column) -> list[Column]:
+    """Sort key: newest date first."""
+    return [-F.unix_date(d)]
+
+
+def nulls_last(c: Column) -> list[Column]:
+    """Sort key: ascending, missing values last."""
+    return [c.isNull(), c]
+
+
+def ascending(c: Column) -> list[Column]:
+    return [c]
+
+
+def first_in_order(keys: Sequence[list[Column]], payload: Mapping[str, Column]) -> Column:
+    """Aggregate: struct whose named fields are the first row's ``payload``."""
+    flat = [k.alias(f"_k{i}") for i, k in enumerate(c for part in keys for c in part)]
+    return F.min(F.struct(*flat, *[c.alias(n) for n, c in payload.items()]))
+
+
+def merge_first(state: Column) -> Column:
+    """Combine partial :func:`first_in_order` states of one group."""
+    return F.min(state)
