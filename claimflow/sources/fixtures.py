@@ -212,3 +212,22 @@ def entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "journal": journal,
         "diagnosis": diagnosis,
     }
+
+
+def payment_text_extract(tables: dict[str, DataFrame]) -> DataFrame:
+    """Payments as an untyped extract would deliver them: amounts and release
+    dates as text, in rotating date formats, with junk and blanks mixed in."""
+    pc = tables["payment_contribution"]
+    k, rel = F.col("benefit_claimed_id"), F.col("payment_release")
+    fmt = (k + F.col("line_number")) % 6
+    amount_text = (F.when(F.col("amount").isNull(), None)
+                   .when(k % 7 == 0, "abc").when(k % 7 == 1, "")
+                   .otherwise(F.col("amount").cast("decimal(18,2)").cast("string")))
+    release_text = (F.when(fmt == 0, F.date_format(rel, "yyyy-MM-dd"))
+                    .when(fmt == 1, F.date_format(rel, "yyyy/MM/dd"))
+                    .when(fmt == 2, F.date_format(rel, "yyyyMMdd"))
+                    .when(fmt == 3, F.concat(F.date_format(rel, "yyyy-MM-dd"),
+                                             F.lit("T23:30:00.000Z")))
+                    .when(fmt == 4, "junk"))
+    return pc.select(F.col("name").alias("contribution_name"), "line_number",
+                     amount_text.alias("amount_text"), release_text.alias("release_text"))
