@@ -61,17 +61,22 @@ def merge_states() -> list[Column]:
     ]
 
 
-def finish(states: DataFrame, key: str) -> DataFrame:
-    """States -> measures, nulling a measure whose inputs had a missing value."""
+def measure_columns() -> list[Column]:
+    """Measures from the state columns, nulling a measure whose inputs had a
+    missing value.  A row without states (no payments) gets all nulls."""
     complete = lambda n: F.col(n) == F.col("n")
-    return states.select(
-        key,
+    return [
         F.when(complete("n_amount"), F.col("total")).cast("double").alias("total_paid"),
         F.when(complete("n_first"), F.col("first")).alias("first_payment"),
         F.when(complete("n_last"), F.col("last")).alias("last_payment"),
         F.when(complete("n_release"), F.col("pick.amount")).alias("last_amount"),
         F.when(complete("n_release"), F.col("eff")).alias("eff_date_last_payment"),
-    )
+    ]
+
+
+def finish(states: DataFrame, key: str) -> DataFrame:
+    """States -> one row of measures per ``key``."""
+    return states.select(key, *measure_columns())
 
 
 def rollup_payments(payments: DataFrame, key: str = "benefit_claimed_name",

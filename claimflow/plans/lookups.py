@@ -30,23 +30,36 @@ def _group_parents(tables: Mapping[str, DataFrame], entity: str, name_path: str,
     return df.filter(P.is_group_business(F.col("_bt"))).drop("_bt")
 
 
-def payment_rollup(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
-    """Rollup of the payments extract per benefit-claimed name.
+def payment_states(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
+    """Partial rollup states of processed payments, one row per benefit-claimed id.
 
-    Same result as ``rollup_payments(payments_extract(...))``; computed as
-    partial states per foreign key, joined to the group benefits, merged by name.
+    Reduced map-side before any shuffle; the fact rows never cross the network.
     """
     pc = tables["payment_contribution"].filter(
         P.processed_by(F.col("payment_status"), F.col("payment_release"), rep_end))
     pc = as_date(as_number(pc, ["amount"]), ["start", "through", "payment_release"])
-    states = pc.groupBy("benefit_claimed_id").agg(*partial_states(
+    return pc.groupBy("benefit_claimed_id").agg(*partial_states(
         F.col("amount"), F.col("start"), F.col("through"), F.col("payment_release"),
         F.col("line_number")))
+
+
+def payment_rollup(tables: Mapping[str, DataFrame], rep_end: dt.date,
+                   names_unique: bool = True) -> DataFrame:
+    """Rollup of the payments extract per benefit-claimed name.
+
+    Same result as ``rollup_payments(payments_extract(...))``: states per
+    foreign key (:func:`payment_states`) joined to the group benefits for
+    their name.  A benefit claimed's name is its record's unique name, so a
+    name has one id; with ``names_unique=False`` states of ids sharing a name
+    are merged as well (one more aggregation).
+    """
+    states = payment_states(tables, rep_end)
     parents = _group_parents(tables, "benefit_claimed", "name", "claim.business_type",
                              "benefit_claimed_name")
     joined = states.join(parents, states["benefit_claimed_id"] == parents["_id"])
-    return finish(joined.groupBy("benefit_claimed_name").agg(*merge_states()),
-                  "benefit_claimed_name")
+    if not names_unique:
+        joined = joined.groupBy("benefit_claimed_name").agg(*merge_states())
+    return finish(joined, "benefit_claimed_name")
 
 
 def latest_diagnosis(tables: Mapping[str, DataFrame]) -> DataFrame:

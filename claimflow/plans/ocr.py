@@ -13,10 +13,11 @@ from ..functions import measures as M
 from ..functions.casts import as_date, as_number
 from ..functions.text import merge_key
 from ..operators import predicates as P
-from ..operators.latest import attach_lookup
 from ..operators.supplements import fold_with_orphans
+from ..session import materialize
 from ..sources.extracts import ocr_base
-from .lookups import diagnosis_fields, payment_rollup, with_latest_diagnosis
+from ..operators.rollup import measure_columns
+from .lookups import diagnosis_fields, payment_states, with_latest_diagnosis
 
 # Report columns in output order -> internal column.
 OCR_COLUMNS = (
@@ -80,7 +81,7 @@ OCR_COLUMNS = (
 def ocr_typed(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
     """OCR extract with casts, derived key columns, and the latest diagnosis."""
     t = with_latest_diagnosis(tables)
-    df = ocr_base(t, rep_end, extra=diagnosis_fields("claim"))
+    df = ocr_base(t, rep_end, extra={"id": "id", **diagnosis_fields("claim")})
     df = as_date(df, ["reopened_date", "date_of_disability", "notification_date"])
     df = as_date(df, ["closure_date", "reopened_date", "date_of_reoccurrence"])
     df = as_number(df, ["waiting_period", "waiting_period_extension", "coverage_amount"])
@@ -99,9 +100,16 @@ def ocr_open(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
 
 
 def ocr_clean(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
-    """Open benefits with their payment rollup (and latest diagnosis)."""
-    rollup = payment_rollup(tables, rep_end)
-    return attach_lookup(ocr_open(tables, rep_end), rollup, "name", "benefit_claimed_name")
+    """Open benefits with their payment rollup (and latest diagnosis).
+
+    The rollup is keyed by benefit-claimed name; the open rows *are* group
+    benefits claimed and a name has one id, so the per-id payment states are
+    joined on the row's own id, without a detour through the parent objects.
+    """
+    states = payment_states(tables, rep_end)
+    df = ocr_open(tables, rep_end)
+    joined = df.join(states, df["id"] == states["benefit_claimed_id"], "left")
+    return joined.select(*[df[c] for c in df.columns], *measure_columns())
 
 
 def apply_measures(df: DataFrame, rep_end: dt.date) -> DataFrame:
@@ -127,8 +135,14 @@ def apply_measures(df: DataFrame, rep_end: dt.date) -> DataFrame:
 
 
 def ocr_frame(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
-    """Folded + orphan rows with measures, internal column names."""
-    return apply_measures(fold_with_orphans(ocr_clean(tables, rep_end)), rep_end)
+    """Folded + orphan rows with measures, internal column names.
+
+    The open-claims frame feeds eleven branches of the fold (lefts, lookups,
+    the orphan test), so it is materialized once (reliable checkpoint)
+    instead of being recomputed, joins and rollups included, per branch.
+    """
+    clean = materialize(ocr_clean(tables, rep_end))
+    return apply_measures(fold_with_orphans(clean), rep_end)
 
 
 def ocr_report(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:

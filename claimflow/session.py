@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -25,6 +25,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove reliable-checkpoint files once their DataFrame is unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -67,4 +69,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-__all__ = ["DEFAULTS", "get_session", "checkpoint_dir", "scratch_path", "os"]
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder.
+
+    Used for a frame that a plan reads many times: it is computed once, its
+    lineage is cut, and its files survive the loss of any executor.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+__all__ = ["DEFAULTS", "get_session", "checkpoint_dir", "scratch_path", "materialize", "os"]
