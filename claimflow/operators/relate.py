@@ -61,20 +61,31 @@ def _path_tree(paths) -> dict:
     return tree
 
 
+def quoted(name: str) -> str:
+    """Back-quoted column name for SQL expression strings."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def rename_select(df: DataFrame, mapping) -> DataFrame:
+    """``select(col(src).alias(out) ...)`` in one call (pairs of out, src)."""
+    return df.selectExpr(*[f"{quoted(src)} AS {quoted(out)}" for out, src in mapping])
+
+
 def _attach_parents(tables: Mapping[str, DataFrame], entity: str, df: DataFrame,
-                    tree: dict) -> DataFrame:
+                    columns: list[str], tree: dict) -> tuple[DataFrame, list[str]]:
     for rel, sub in tree.items():
         if rel == _OWN:
             continue
         fk, parent_entity = RELATIONSHIPS[entity][rel]
         grand = RELATIONSHIPS.get(parent_entity, {})
-        needed = set(sub.get(_OWN, ())) | {grand[r][0] for r in sub if r != _OWN}
-        parent = tables[parent_entity].select("id", *sorted(needed - {"id"}))
-        parent = _attach_parents(tables, parent_entity, parent, sub)
-        prefix = rel + SEP
-        parent = parent.select([F.col(c).alias(prefix + c) for c in parent.columns])
-        df = df.join(parent, F.col(fk) == F.col(prefix + "id"), "left")
-    return df
+        needed = ["id", *sorted((set(sub.get(_OWN, ()))
+                                 | {grand[r][0] for r in sub if r != _OWN}) - {"id"})]
+        parent, parent_cols = _attach_parents(
+            tables, parent_entity, tables[parent_entity].select(*needed), needed, sub)
+        prefixed = [rel + SEP + c for c in parent_cols]
+        df = df.join(parent.toDF(*prefixed), F.col(fk) == F.col(rel + SEP + "id"), "left")
+        columns = columns + prefixed
+    return df, columns
 
 
 def relate(tables: Mapping[str, DataFrame], entity: str, fields: Mapping[str, str],
@@ -85,5 +96,5 @@ def relate(tables: Mapping[str, DataFrame], entity: str, fields: Mapping[str, st
     foreign keys of :data:`RELATIONSHIPS`; ``fact`` overrides ``tables[entity]``.
     """
     fact = tables[entity] if fact is None else fact
-    flat = _attach_parents(tables, entity, fact, _path_tree(fields.values()))
-    return flat.select([F.col(column_for(p)).alias(a) for a, p in fields.items()])
+    flat, _ = _attach_parents(tables, entity, fact, [], _path_tree(fields.values()))
+    return rename_select(flat, [(a, column_for(p)) for a, p in fields.items()])

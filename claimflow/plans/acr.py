@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
+from ..operators.relate import rename_select
 from ..functions.casts import as_date, as_number, as_text
 from ..sources.extracts import acr_base
 from .lookups import diagnosis_fields, with_latest_diagnosis
@@ -75,4 +76,4 @@ def acr_report(tables: Mapping[str, DataFrame], rep_start: dt.date,
                rep_end: dt.date | None = None) -> DataFrame:
     """The 34-column payments report.  ``rep_end`` only names the output file."""
     df = acr_frame(tables, rep_start)
-    return df.select([F.col(src).alias(out) for out, src in ACR_COLUMNS])
+    return rename_select(df, ACR_COLUMNS)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
+from ..operators.relate import rename_select
 from ..functions.casts import as_date, as_number
 from ..functions.text import merge_key
 from ..operators import predicates as P
@@ -138,14 +139,14 @@ def ocr_frame(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
     """Folded + orphan rows with measures, internal column names.
 
     The open-claims frame feeds eleven branches of the fold (lefts, lookups,
-    the orphan test), so it is materialized once (reliable checkpoint)
+    the orphan test), so it is materialized once (a staged parquet table)
     instead of being recomputed, joins and rollups included, per branch.
     """
-    clean = materialize(ocr_clean(tables, rep_end))
+    clean = materialize(ocr_clean(tables, rep_end), "ocr_open_claims")
     return apply_measures(fold_with_orphans(clean), rep_end)
 
 
 def ocr_report(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
     """The 54-column open-claims report."""
     df = ocr_frame(tables, rep_end)
-    return df.select([F.col(src).alias(out) for out, src in OCR_COLUMNS])
+    return rename_select(df, OCR_COLUMNS)

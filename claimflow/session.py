@@ -69,14 +69,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` into the shared checkpoint folder.
-
-    Used for a frame that a plan reads many times: it is computed once, its
-    lineage is cut, and its files survive the loss of any executor.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read
+    it back.
+
+    For a frame that a plan reads many times: it is computed once, its
+    lineage is cut, its files survive the loss of any executor, and readers
+    get column pruning (a branch that needs 4 of 60 columns reads 4) and true
+    sizes for the planner.  Staged tables live in the checkpoint folder and
+    are left to the cluster's retention of that folder.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 __all__ = ["DEFAULTS", "get_session", "checkpoint_dir", "scratch_path", "materialize", "os"]

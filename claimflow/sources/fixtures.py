@@ -58,8 +58,22 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+_ENTITY_CACHE: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All claims objects derived from the driver tables under ``sf_dir``."""
+    """All claims objects derived from the driver tables under ``sf_dir``.
+
+    The frames are lazy plan definitions (no data is held), so they are built
+    once per Spark application and directory and shared by every query.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _ENTITY_CACHE:
+        _ENTITY_CACHE[key] = _build_entities(spark, sf_dir)
+    return dict(_ENTITY_CACHE[key])
+
+
+def _build_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     t = {n: read_driver_table(spark, sf_dir, n) for n in DRIVER_TABLES}
     region, nation, customer = t["region"], t["nation"], t["customer"]
     orders, lineitem, events = t["orders"], t["lineitem"], t["events"]
