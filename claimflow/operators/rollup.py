@@ -1,7 +1,7 @@
 """Payment rollup per benefit claimed.
 
-Measures, with missing values poisoning the group as an R summary without
-``na.rm`` does (one missing amount makes the total missing):
+Measures, with a missing value poisoning its group (a summary that does not
+drop missing values: one missing amount makes the total missing):
 
 * ``total_paid``            sum of amounts (summed as decimal(18,2): exact and
                             independent of row order, returned as double)

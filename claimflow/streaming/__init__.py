@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The month-end reports are batch computations over complete extracts taken at a
+period end; the pipeline has no stream, watermark, window or state to rebuild.
+"""
