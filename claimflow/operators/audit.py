@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -34,3 +34,31 @@ def audit(metrics: Iterable[DataFrame]) -> DataFrame:
     for m in metrics:
         out = m if out is None else out.unionByName(m)
     return out
+
+
+class StageTaps:
+    """Row counts of pipeline stages gathered *while* the pipeline runs.
+
+    ``tap(stage, df, **metrics)`` returns ``df`` with an :class:`Observation`
+    attached (a row count plus any named aggregate, e.g. unmatched lookups);
+    the numbers are collected by whatever action executes the stage, so an
+    audited report run costs no extra job.  :meth:`results` must be called
+    after that action.
+    """
+
+    def __init__(self) -> None:
+        self._observations: list[tuple[str, Observation]] = []
+
+    def __call__(self, stage: str, df: DataFrame, **metrics: Column) -> DataFrame:
+        obs = Observation(stage)
+        self._observations.append((stage, obs))
+        cols = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in metrics.items()]
+        return df.observe(obs, *cols)
+
+    def results(self) -> list[tuple[str, str, int]]:
+        return [(stage, metric, int(value)) for stage, obs in self._observations
+                for metric, value in obs.get.items()]
+
+
+def no_tap(stage: str, df: DataFrame, **metrics: Column) -> DataFrame:
+    return df

@@ -4,13 +4,15 @@ from the period start, with its claim context and latest diagnosis."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
+from ..operators.audit import StageTaps, no_tap
 from ..operators.relate import rename_select
+from ..sources.sinks import write_report
 from ..functions.casts import as_date, as_number, as_text
 from ..sources.extracts import acr_base
 from .lookups import diagnosis_fields, with_latest_diagnosis
@@ -56,10 +58,14 @@ ACR_COLUMNS = (
 ACR_TEXT_COLUMNS = ("date_of_disability", "payment_release", "start", "through", "closure_date")
 
 
-def acr_frame(tables: Mapping[str, DataFrame], rep_start: dt.date) -> DataFrame:
+def acr_frame(tables: Mapping[str, DataFrame], rep_start: dt.date,
+              tap: Callable = no_tap) -> DataFrame:
     """ACR rows with internal column names (casts, diagnosis and measures applied)."""
     t = with_latest_diagnosis(tables)
     df = acr_base(t, rep_start, extra=diagnosis_fields("benefit_claimed.claim"))
+    df = tap("acr_base", df, no_diagnosis=F.count_if(
+        F.coalesce(F.col("description"), F.col("duration_factor"),
+                   F.col("medical_code")).isNull()))
     df = as_date(df, ["notification_date"])
     df = as_number(df, ["waiting_period", "amount", "coverage_amount"])
     df = df.withColumns({c: as_text(F.col(c)) for c in ACR_TEXT_COLUMNS})
@@ -73,7 +79,14 @@ def acr_frame(tables: Mapping[str, DataFrame], rep_start: dt.date) -> DataFrame:
 
 
 def acr_report(tables: Mapping[str, DataFrame], rep_start: dt.date,
-               rep_end: dt.date | None = None) -> DataFrame:
+               rep_end: dt.date | None = None, tap: Callable = no_tap) -> DataFrame:
     """The 34-column payments report.  ``rep_end`` only names the output file."""
-    df = acr_frame(tables, rep_start)
-    return rename_select(df, ACR_COLUMNS)
+    return rename_select(acr_frame(tables, rep_start, tap), ACR_COLUMNS)
+
+
+def run_acr(tables: Mapping[str, DataFrame], rep_start: dt.date, rep_end: dt.date,
+            targets: Sequence[str]) -> list[tuple[str, str, int]]:
+    """Write the payments report to every target; return the stage audit."""
+    taps = StageTaps()
+    rows = write_report(acr_report(tables, rep_start, rep_end, taps), targets)
+    return taps.results() + [("acr_report", "rows", rows)]

@@ -4,7 +4,7 @@ benefits folded into their primary benefit, orphans kept."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +14,10 @@ from ..operators.relate import rename_select
 from ..functions.casts import as_date, as_number
 from ..functions.text import merge_key
 from ..operators import predicates as P
-from ..operators.supplements import fold_with_orphans
+from ..operators.audit import StageTaps, no_tap
+from ..operators.supplements import fold, orphans
 from ..session import materialize
+from ..sources.sinks import write_report
 from ..sources.extracts import ocr_base
 from ..operators.rollup import measure_columns
 from .lookups import diagnosis_fields, payment_states, with_latest_diagnosis
@@ -95,12 +97,14 @@ def ocr_typed(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
                                              F.col("benefit_category")))
 
 
-def ocr_open(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
-    df = ocr_typed(tables, rep_end)
-    return df.filter(P.open_at(F.col("status"), F.col("closure_date"), rep_end))
+def ocr_open(tables: Mapping[str, DataFrame], rep_end: dt.date,
+             tap: Callable = no_tap) -> DataFrame:
+    df = tap("ocr_base", ocr_typed(tables, rep_end))
+    return tap("open_at", df.filter(P.open_at(F.col("status"), F.col("closure_date"), rep_end)))
 
 
-def ocr_clean(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
+def ocr_clean(tables: Mapping[str, DataFrame], rep_end: dt.date,
+              tap: Callable = no_tap) -> DataFrame:
     """Open benefits with their payment rollup (and latest diagnosis).
 
     The rollup is keyed by benefit-claimed name; the open rows *are* group
@@ -108,9 +112,11 @@ def ocr_clean(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
     joined on the row's own id, without a detour through the parent objects.
     """
     states = payment_states(tables, rep_end)
-    df = ocr_open(tables, rep_end)
+    df = ocr_open(tables, rep_end, tap)
     joined = df.join(states, df["id"] == states["benefit_claimed_id"], "left")
-    return joined.select(*[df[c] for c in df.columns], *measure_columns())
+    clean = joined.select(*[df[c] for c in df.columns], *measure_columns())
+    return tap("ocr_with_payments", clean,
+               unmatched=F.count_if(F.col("eff_date_last_payment").isNull()))
 
 
 def apply_measures(df: DataFrame, rep_end: dt.date) -> DataFrame:
@@ -135,18 +141,30 @@ def apply_measures(df: DataFrame, rep_end: dt.date) -> DataFrame:
     })
 
 
-def ocr_frame(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
+def ocr_frame(tables: Mapping[str, DataFrame], rep_end: dt.date,
+              tap: Callable = no_tap) -> DataFrame:
     """Folded + orphan rows with measures, internal column names.
 
     The open-claims frame feeds eleven branches of the fold (lefts, lookups,
     the orphan test), so it is materialized once (a staged parquet table)
     instead of being recomputed, joins and rollups included, per branch.
     """
-    clean = materialize(ocr_clean(tables, rep_end), "ocr_open_claims")
-    return apply_measures(fold_with_orphans(clean), rep_end)
+    clean = materialize(ocr_clean(tables, rep_end, tap), "ocr_open_claims")
+    folded = tap("supplement_fold", fold(clean))
+    orphan_rows = tap("orphan_supplements", orphans(clean))
+    return apply_measures(folded.unionByName(orphan_rows), rep_end)
 
 
-def ocr_report(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
+def ocr_report(tables: Mapping[str, DataFrame], rep_end: dt.date,
+               tap: Callable = no_tap) -> DataFrame:
     """The 54-column open-claims report."""
-    df = ocr_frame(tables, rep_end)
-    return rename_select(df, OCR_COLUMNS)
+    return rename_select(ocr_frame(tables, rep_end, tap), OCR_COLUMNS)
+
+
+def run_ocr(tables: Mapping[str, DataFrame], rep_end: dt.date,
+            targets: Sequence[str]) -> list[tuple[str, str, int]]:
+    """Write the open-claims report to every target; return the stage audit
+    ``(stage, metric, value)`` gathered during the run (no extra jobs)."""
+    taps = StageTaps()
+    rows = write_report(ocr_report(tables, rep_end, taps), targets)
+    return taps.results() + [("ocr_report", "rows", rows)]

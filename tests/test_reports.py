@@ -93,3 +93,24 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and len(df.columns) == 54
     assert set(E.oracle_sql()) == set(E.queries())
+
+
+def test_audited_runs_match_stage_audit(spark):
+    """Counts observed while writing the reports equal the stage_audit query."""
+    import __spark_entry__ as E
+    from claimflow.plans.acr import run_acr
+    from claimflow.plans.ocr import run_ocr
+    from claimflow.sources.fixtures import entities
+
+    t = entities(spark, SF_SMALL)
+    got = {(s, m): v for s, m, v in run_ocr(t, REP_END, [scratch_path(spark, "ocr")])}
+    got.update({(s, m): v for s, m, v in
+                run_acr(t, REP_START, REP_END, [scratch_path(spark, "acr")])})
+    want = {(r.stage, r.metric): r.value for r in E.queries()["stage_audit"](spark, SF_SMALL)
+            .collect()}
+    for key in [("ocr_base", "rows"), ("open_at", "rows"), ("supplement_fold", "rows"),
+                ("orphan_supplements", "rows"), ("ocr_report", "rows"),
+                ("ocr_with_payments", "unmatched"), ("acr_report", "rows")]:
+        assert got[key] == want[key], key
+    assert got[("acr_base", "no_diagnosis")] == want[("acr_report", "no_diagnosis")]
+    assert got[("acr_base", "rows")] == want[("acr_report", "rows")]
