@@ -62,12 +62,25 @@ def open_at(status: Column, closure: Column, rep_end: dt.date) -> Column:
     return (status != CLOSED_STATUS) | closure.isNull() | (closure > F.lit(rep_end))
 
 
-def released_from(release: Column, rep_start: dt.date) -> Column:
-    return release >= F.lit(rep_start)
+def released_from(release: Column, rep_start: dt.date,
+                  release_month: Column | None = None) -> Column:
+    """Released on or after ``rep_start``.  With ``release_month`` (the first
+    day of the release month, a partition column of the extract) the implied
+    month bound is added so whole month folders are pruned before reading."""
+    cond = release >= F.lit(rep_start)
+    if release_month is not None:
+        cond = cond & (release_month >= F.lit(rep_start.replace(day=1)))
+    return cond
 
 
-def processed_by(status: Column, release: Column, rep_end: dt.date) -> Column:
-    return (status == PROCESSED_PAYMENT) & (release <= F.lit(rep_end))
+def processed_by(status: Column, release: Column, rep_end: dt.date,
+                 release_month: Column | None = None) -> Column:
+    """Processed and released on or before ``rep_end`` (month bound as in
+    :func:`released_from`)."""
+    cond = (status == PROCESSED_PAYMENT) & (release <= F.lit(rep_end))
+    if release_month is not None:
+        cond = cond & (release_month <= F.lit(rep_end.replace(day=1)))
+    return cond
 
 
 def diagnosis_type_in_scope(kind: Column) -> Column:

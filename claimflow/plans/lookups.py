@@ -36,7 +36,8 @@ def payment_states(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFra
     Reduced map-side before any shuffle; the fact rows never cross the network.
     """
     pc = tables["payment_contribution"].filter(
-        P.processed_by(F.col("payment_status"), F.col("payment_release"), rep_end))
+        P.processed_by(F.col("payment_status"), F.col("payment_release"), rep_end,
+                       F.col("payment_release_month")))
     pc = as_date(as_number(pc, ["amount"]), ["start", "through", "payment_release"])
     return pc.groupBy("benefit_claimed_id").agg(*partial_states(
         F.col("amount"), F.col("start"), F.col("through"), F.col("payment_release"),

@@ -43,7 +43,8 @@ SCHEMAS: dict[str, T.StructType] = {
     "payment_contribution": _schema(
         ("name", _S), ("line_number", _I), ("amount", _F), ("start", _D), ("through", _D),
         ("benefit_claimed_id", _L), ("payment_release", _D), ("payment_status", _S),
-        ("payment_start", _S), ("payment_pas_reference", _S), ("payment_name", _S)),
+        ("payment_start", _S), ("payment_pas_reference", _S), ("payment_name", _S),
+        ("payment_release_month", _D)),
     "journal": _schema(("id", _L), ("claim_id", _L)),
     "diagnosis": _schema(("name", _S), ("medical_code", _S), ("description", _S),
                          ("duration_factor", _S), ("type", _S), ("start", _D), ("created", _D),
@@ -51,11 +52,27 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+# Objects stored in one folder per value of a partition column.
+PARTITION_COLUMNS = {"payment_contribution": "payment_release_month"}
+
+
+def write_entities(tables: dict[str, DataFrame], root: str, mode: str = "errorifexists") -> None:
+    """Write every object to ``{root}/{object}`` as parquet; payment
+    contributions go to one folder per release month, so the extract
+    predicates on the release date prune whole folders."""
+    for name, df in tables.items():
+        writer = df.write.mode(mode)
+        if name in PARTITION_COLUMNS:
+            writer = writer.partitionBy(PARTITION_COLUMNS[name])
+        writer.parquet(f"{root.rstrip('/')}/{name}")
+
+
 def read_entities(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Read every object from ``{root}/{object}`` with its declared schema.
 
     Parquet scans get column pruning and filter pushdown from the extract
-    predicates; CSV extracts are read with a header and no inference.
+    predicates, and partition pruning on :data:`PARTITION_COLUMNS`; CSV
+    extracts are read with a header and no inference.
     """
     out = {}
     for name, schema in SCHEMAS.items():

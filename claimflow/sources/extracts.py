@@ -129,10 +129,12 @@ def payments_extract(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataF
     """Processed payments of group claims released up to ``rep_end`` (all history)."""
     df = relate(tables, "payment_contribution", {**PAYMENT_FIELDS, **_hidden({
         "business_type": "benefit_claimed.claim.business_type",
-        "payment_status": "payment_status"})})
+        "payment_status": "payment_status",
+        "release_month": "payment_release_month"})})
     df = df.filter(P.is_group_business(F.col("_business_type"))
-                   & P.processed_by(F.col("_payment_status"), F.col("release"), rep_end))
-    df = df.drop("_business_type", "_payment_status")
+                   & P.processed_by(F.col("_payment_status"), F.col("release"), rep_end,
+                                    F.col("_release_month")))
+    df = df.drop("_business_type", "_payment_status", "_release_month")
     return as_date(as_number(df, ["amount"]), ["start", "through", "release"])
 
 
@@ -172,10 +174,11 @@ def acr_base(tables: Mapping[str, DataFrame], rep_start: dt.date,
     df = relate(tables, "payment_contribution", {**ACR_FIELDS, **(extra or {}), **_hidden({
         "business_type": "benefit_claimed.claim.business_type",
         "claim_type": "benefit_claimed.claim.claim_type",
-        "claim_status": "benefit_claimed.claim.status"})})
+        "claim_status": "benefit_claimed.claim.status",
+        "release_month": "payment_release_month"})})
     df = df.filter(
         P.is_group_business(F.col("_business_type"))
         & P.claim_type_in_scope(F.col("_claim_type"))
         & P.differs_from(F.col("_claim_status"), P.INCOMPLETE_CLAIM)
-        & P.released_from(F.col("payment_release"), rep_start))
-    return df.drop("_business_type", "_claim_type", "_claim_status")
+        & P.released_from(F.col("payment_release"), rep_start, F.col("_release_month")))
+    return df.drop("_business_type", "_claim_type", "_claim_status", "_release_month")

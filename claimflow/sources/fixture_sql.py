@@ -133,7 +133,8 @@ ENTITY_CTES: dict[str, str] = {
                CAST(CAST(l_shipdate AS DATE) - 30 AS VARCHAR) AS payment_start,
                'PAS' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS payment_pas_reference,
                'PAY-' || CAST(l_orderkey AS VARCHAR) || '-' || strftime(l_shipdate, '%Y%m%d')
-                   AS payment_name
+                   AS payment_name,
+               CAST(date_trunc('month', l_shipdate) AS DATE) AS payment_release_month
         FROM lineitem""",
     "journal": """
         SELECT c_custkey AS id, c_custkey AS claim_id FROM customer""",

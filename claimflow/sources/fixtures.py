@@ -197,6 +197,7 @@ def _build_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .alias("payment_pas_reference"),
         F.concat(F.lit("PAY-"), _s(lk), F.lit("-"), F.date_format(ship, "yyyyMMdd"))
         .alias("payment_name"),
+        F.trunc(ship, "month").alias("payment_release_month"),
     )
     journal = customer.select(ck.alias("id"), ck.alias("claim_id"))
     code = F.get_json_object(F.col("props"), "$.k")

@@ -3,7 +3,7 @@ from collections import Counter
 from claimflow.plans.acr import acr_report
 from claimflow.plans.ocr import ocr_report
 from claimflow.session import scratch_path
-from claimflow.sources.entities import SCHEMAS, read_entities
+from claimflow.sources.entities import SCHEMAS, read_entities, write_entities
 from claimflow.sources.extracts import diagnosis_extract, payments_extract
 from claimflow.sources.fixtures import REP_END, REP_START
 
@@ -18,8 +18,7 @@ def test_production_reader_roundtrip(spark, fixture_tables):
     """Objects written as one parquet folder each and read back with the
     declared schemas give the same reports."""
     root = scratch_path(spark, "extracts")
-    for name, df in fixture_tables.items():
-        df.write.parquet(f"{root}/{name}")
+    write_entities(fixture_tables, root)
     tables = read_entities(spark, root)
     for build in (lambda t: acr_report(t, REP_START, REP_END),
                   lambda t: ocr_report(t, REP_END),
@@ -32,11 +31,13 @@ def test_production_reader_roundtrip(spark, fixture_tables):
 
 def test_production_reader_scan_is_pruned_and_filtered(spark, fixture_tables):
     root = scratch_path(spark, "extracts")
-    fixture_tables["payment_contribution"].write.parquet(f"{root}/payment_contribution")
-    for name in SCHEMAS:
-        if name != "payment_contribution":
-            fixture_tables[name].write.parquet(f"{root}/{name}")
-    plan = acr_report(read_entities(spark, root), REP_START)._jdf.queryExecution() \
-        .executedPlan().toString()
+    write_entities(fixture_tables, root)
+    tables = read_entities(spark, root)
+    plan = acr_report(tables, REP_START)._jdf.queryExecution().executedPlan().toString()
+    # whole release-month folders before the period start are never listed for reading
+    assert "PartitionFilters: [isnotnull(payment_release_month" in plan
+    assert "payment_release_month#" in plan and ">= 1999-01-01" in plan
     assert "GreaterThanOrEqual(payment_release,1999-01-01)" in plan
     assert "payment_name" not in plan  # unread column never scanned
+    plan = payments_extract(tables, REP_END)._jdf.queryExecution().executedPlan().toString()
+    assert "<= 2000-12-01" in plan
