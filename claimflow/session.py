@@ -8,12 +8,20 @@ partitions and splits skewed ones at runtime).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Operational settings applied when this process starts the context: no web
+# UI server, no console progress bar.
+STARTUP = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
+# SQL defaults, applied only where the deployment (spark-defaults, --conf,
+# builder) left the key unset.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -23,23 +31,25 @@ DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
-    # Remove reliable-checkpoint files once their DataFrame is unreachable.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
 def get_session(master: str | None = None, app_name: str = "claimflow",
                 shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
+    """Get or create the session; explicit arguments win, then the deployment's
+    settings, then :data:`DEFAULTS`."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULTS, **conf}.items():
+    for k, v in {**STARTUP, **conf}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
+    configured = {k for k, _ in spark.sparkContext.getConf().getAll()} | set(conf)
+    for k, v in DEFAULTS.items():
+        if k not in configured and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -84,4 +94,4 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-__all__ = ["DEFAULTS", "get_session", "checkpoint_dir", "scratch_path", "materialize", "os"]
+__all__ = ["DEFAULTS", "get_session", "checkpoint_dir", "scratch_path", "materialize"]
