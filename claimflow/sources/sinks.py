@@ -1,9 +1,10 @@
 """CSV report sink: header, missing values as empty fields, doubled quotes.
 
 Spark writes a folder of part files per target (one file per task, written in
-parallel); nothing is funnelled through one task or the driver.  Numbers are
-written in Java's shortest round-trip form (large values use an exponent,
-e.g. ``1.2345678E7``), so a report read back with its schema is value-exact.
+parallel); nothing is funnelled through one task or the driver.  Doubles are
+written in plain notation (``12345678.9``, never ``1.23456789E7``) with the
+digits of Java's round-trip form, so a report read back with its schema is
+bit-exact; only non-finite or astronomically large values keep the exponent.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import datetime as dt
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +38,19 @@ def acr_file_name(rep_start: dt.date, rep_end: dt.date) -> str:
     return f"ACR_{rep_start.isoformat()}_{rep_end.isoformat()}.csv"
 
 
+def plain_number(c: Column) -> Column:
+    """Double as plain-notation text with its round-trip digits."""
+    text = c.cast("string")
+    fixed = text.try_cast("decimal(38,18)").cast("string")
+    trimmed = F.regexp_replace(F.regexp_replace(fixed, "0+$", ""), "[.]$", "")
+    return F.coalesce(trimmed, text)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    doubles = {f.name: plain_number(F.col(f"`{f.name}`")) for f in df.schema.fields
+               if isinstance(f.dataType, T.DoubleType)}
+    out = df.withColumns(doubles) if doubles else df
+    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -114,3 +114,24 @@ def test_audited_runs_match_stage_audit(spark):
         assert got[key] == want[key], key
     assert got[("acr_base", "no_diagnosis")] == want[("acr_report", "no_diagnosis")]
     assert got[("acr_base", "rows")] == want[("acr_report", "rows")]
+
+
+def test_csv_numbers_are_plain_and_exact(spark):
+    import glob as g
+
+    values = [12345678.9, 1e7, 0.30000000000000004, -0.5, 100.0, 1355355.12 * 1.0, 5e-7,
+              float("nan"), 1e25, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    target = scratch_path(spark, "numbers")
+    write_report(df, [target])
+    local = target[len("file:"):] if target.startswith("file:") else target
+    text = "".join(open(f).read() for f in sorted(g.glob(os.path.join(local, "part-*.csv"))))
+    assert "12345678.9" in text and "10000000\n" in text and "E7" not in text
+    back = {r.i: r.x for r in read_csv(spark, target, df.schema).collect()}
+    for i, v in enumerate(values):
+        if v is None:
+            assert back[i] is None
+        elif v != v:
+            assert back[i] != back[i]
+        else:
+            assert back[i] == v, (v, back[i])
