@@ -13,12 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import ascending, first_in_order, latest_first, merge_first
+from .ordering import first_in_order, latest_first, merge_first, nulls_last
 
 
 def latest_state(order_date: Column, tiebreak: Column, payload: Sequence[str]) -> Column:
-    """Partial top-1 state; merge with :func:`merge_first`."""
-    return first_in_order([latest_first(order_date), ascending(tiebreak)],
+    """Partial top-1 state (ties: ``tiebreak`` ascending, missing last); merge
+    with :func:`merge_first`."""
+    return first_in_order([latest_first(order_date), nulls_last(tiebreak)],
                           {c: F.col(c) for c in payload})
 
 

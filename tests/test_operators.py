@@ -86,6 +86,7 @@ def test_latest_per_group(spark):
         ("C1", "DX-0", D("2019-01-01"), None, "z"),
         ("C2", "DX-3", None, None, "x"),             # no date at all: no row
         ("C3", "DX-4", D("2018-05-05"), None, "c"),
+        ("C3", None, D("2018-05-05"), None, "n"),    # missing name loses the tie
     ], "claim string, name string, start date, created date, code string")
     aux = F.coalesce(F.col("start"), F.col("created"))
     got = {r.claim: r.code for r in latest_per_group(df, "claim", aux, F.col("name"),
