@@ -41,3 +41,31 @@ def test_production_reader_scan_is_pruned_and_filtered(spark, fixture_tables):
     assert "payment_name" not in plan  # unread column never scanned
     plan = payments_extract(tables, REP_END)._jdf.queryExecution().executedPlan().toString()
     assert "<= 2000-12-01" in plan
+
+
+def test_month_end_run(spark, fixture_tables, capsys):
+    import datetime as dt
+    import json
+
+    from claimflow.__main__ import main, previous_month_end
+
+    assert previous_month_end(dt.date(2026, 3, 31)) == dt.date(2026, 2, 28)
+    assert previous_month_end(dt.date(2024, 3, 1)) == dt.date(2024, 2, 29)
+    root = scratch_path(spark, "extracts")
+    write_entities(fixture_tables, root)
+    out_a, out_b = scratch_path(spark, "reports"), scratch_path(spark, "synced")
+    audit = main(["--extracts", root, "--reports", out_a, "--reports", out_b,
+                  "--rep-start", REP_START.isoformat(), "--rep-end", REP_END.isoformat()])
+    got = {(s, m): v for s, m, v in audit}
+    assert got[("ocr_report", "rows")] == ocr_report(fixture_tables, REP_END).count()
+    assert got[("acr_report", "rows")] == acr_report(fixture_tables, REP_START).count()
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert len(lines) == len(audit)
+    from claimflow.sources.sinks import acr_file_name, ocr_file_name, read_csv
+    for folder in (out_a, out_b):
+        ocr_back = read_csv(spark, f"{folder}/{ocr_file_name(REP_END)}",
+                            ocr_report(fixture_tables, REP_END).schema)
+        assert ocr_back.count() == got[("ocr_report", "rows")]
+        acr_back = read_csv(spark, f"{folder}/{acr_file_name(REP_START, REP_END)}",
+                            acr_report(fixture_tables, REP_START).schema)
+        assert acr_back.count() == got[("acr_report", "rows")]
