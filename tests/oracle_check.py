@@ -68,3 +68,37 @@ def compare(spark_df, con, sql):
         out["sample_spark_only"] = list((a - b).elements())[:3]
         out["sample_oracle_only"] = list((b - a).elements())[:3]
     return out
+
+
+def main(argv):
+    """``python tests/oracle_check.py /root/testdata/sf0.01 [query ...]``"""
+    import json
+    import os
+    import sys
+    import time
+
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    import __spark_entry__ as E
+    from claimflow.session import get_session
+
+    sf_dir, names = argv[0], argv[1:] or sorted(E.queries())
+    spark = get_session("local[8]", shuffle_partitions=8)
+    con, sqls, failures = duck(sf_dir), E.oracle_sql(), 0
+    for name in names:
+        t0 = time.time()
+        try:
+            r = compare(E.queries()[name](spark, sf_dir), con, sqls[name])
+        except Exception as exc:  # report and go on with the next query
+            r = {"error": repr(exc)[:500]}
+        ok = bool(r.get("exact")) and r.get("spark_rows") == r.get("oracle_rows")
+        failures += not ok
+        print(("OK  " if ok else "BAD ") + name, f"{time.time() - t0:.1f}s",
+              json.dumps(r, default=str)[:600], flush=True)
+    print("failures:", failures)
+    return failures
+
+
+if __name__ == "__main__":
+    import sys
+
+    raise SystemExit(main(sys.argv[1:]))
