@@ -9,8 +9,11 @@ fields that the reports never cast are kept as text, as delivered.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import parse_date, parse_number
+
 _S, _D, _F, _L, _I = T.StringType(), T.DateType(), T.DoubleType(), T.LongType(), T.IntegerType()
 
 
@@ -67,17 +70,37 @@ def write_entities(tables: dict[str, DataFrame], root: str, mode: str = "errorif
         writer.parquet(f"{root.rstrip('/')}/{name}")
 
 
+def typed_from_text(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast an all-text extract to ``schema`` with the tolerant parsers: a value
+    that does not parse becomes null instead of failing the job or the row."""
+    cols = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DateType):
+            c = parse_date(c)
+        elif isinstance(f.dataType, T.DoubleType):
+            c = parse_number(c)
+        elif not isinstance(f.dataType, T.StringType):
+            c = c.try_cast(f.dataType)
+        cols.append(c.alias(f.name))
+    return df.select(cols)
+
+
 def read_entities(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Read every object from ``{root}/{object}`` with its declared schema.
 
-    Parquet scans get column pruning and filter pushdown from the extract
-    predicates, and partition pruning on :data:`PARTITION_COLUMNS`; CSV
-    extracts are read with a header and no inference.
+    Parquet extracts are typed: scans get column pruning, filter pushdown from
+    the extract predicates and partition pruning on :data:`PARTITION_COLUMNS`.
+    CSV extracts are text as delivered: every column is read as a string (header,
+    no inference pass) and cast with the tolerant parsers.
     """
     out = {}
     for name, schema in SCHEMAS.items():
-        reader = spark.read.schema(schema)
+        path = f"{root.rstrip('/')}/{name}"
         if fmt == "csv":
-            reader = reader.option("header", "true")
-        out[name] = reader.format(fmt).load(f"{root.rstrip('/')}/{name}")
+            text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+            raw = spark.read.schema(text).options(header="true", escape='"').csv(path)
+            out[name] = typed_from_text(raw, schema)
+        else:
+            out[name] = spark.read.schema(schema).format(fmt).load(path)
     return out
