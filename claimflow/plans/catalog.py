@@ -17,7 +17,7 @@ from ..operators import audit as A
 from ..operators import predicates as P
 from ..operators.relate import relate
 from ..operators.supplements import SUPPLEMENT_COLUMNS, fold, fold_with_orphans, orphans
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import extracts as X
 from ..sources.fixtures import (REP_END, REP_START, entities, payment_text_extract,
                                 read_driver_table)
@@ -179,7 +179,7 @@ def gsc_days(spark, sf):
 def stage_audit(spark, sf):
     t = entities(spark, sf)
     typed = ocr.ocr_typed(t, REP_END)
-    clean = ocr.ocr_clean(t, REP_END)
+    clean = materialize(ocr.ocr_clean(t, REP_END), "ocr_open_claims")  # as in the report
     folded, orphan_rows = fold(clean), orphans(clean)
     measured = ocr.apply_measures(fold_with_orphans(clean), REP_END)
     acr_rows = acr.acr_frame(t, REP_START)
