@@ -76,6 +76,9 @@ def _attach_parents(tables: Mapping[str, DataFrame], entity: str, df: DataFrame,
     for rel, sub in tree.items():
         if rel == _OWN:
             continue
+        if rel not in RELATIONSHIPS.get(entity, {}):
+            known = ", ".join(sorted(RELATIONSHIPS.get(entity, {}))) or "none"
+            raise ValueError(f"{entity} has no relationship {rel!r} (known: {known})")
         fk, parent_entity = RELATIONSHIPS[entity][rel]
         grand = RELATIONSHIPS.get(parent_entity, {})
         needed = ["id", *sorted((set(sub.get(_OWN, ()))

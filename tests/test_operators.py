@@ -201,3 +201,11 @@ def test_lookup_keys_are_unique(fixture_tables):
     assert r.count() == r.select("benefit_claimed_name").distinct().count()
     d = latest_diagnosis(t)
     assert d.count() == d.select("claim_name").distinct().count()
+
+
+def test_relate_rejects_unknown_paths(spark):
+    import pytest
+
+    t = make_tables(spark)
+    with pytest.raises(ValueError, match="no relationship 'polcy'"):
+        relate(t, "claim", {"x": "polcy.name"})
