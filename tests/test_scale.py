@@ -87,3 +87,42 @@ def test_payment_states_aggregate_partially_before_the_shuffle(fixture_tables):
     assert "partial_sum" in plan and "partial_min" in plan
     before_exchange = plan.split("Exchange")[1]
     assert "partial_" in before_exchange
+
+
+LARGE_DATA_PATHS = {
+    # no broadcasts: every join is a shuffled sort-merge join, as at 100 TB
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    # skew handling on with tiny thresholds; AQE splits a partition only by ranges
+    # of map outputs, so single-file fixtures (one map task) are rarely split
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+def test_reports_unchanged_on_large_data_join_paths(spark, fixture_tables):
+    """With broadcasts off, every join is a shuffled sort-merge join (null-safe
+    keys included), as at 100 TB; the reports must not change."""
+    from claimflow.plans.acr import acr_report
+    from claimflow.plans.ocr import ocr_report
+    from claimflow.sources.fixtures import REP_START
+
+    builds = (lambda: ocr_report(fixture_tables, REP_END),
+              lambda: acr_report(fixture_tables, REP_START))
+    expected = [_rows(b()) for b in builds]
+    saved = {k: spark.conf.get(k, None) for k in LARGE_DATA_PATHS}
+    try:
+        for k, v in LARGE_DATA_PATHS.items():
+            spark.conf.set(k, v)
+        df = builds[1]()
+        got = [_rows(b()) for b in builds[:1]] + [_rows(df)]
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == expected
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
