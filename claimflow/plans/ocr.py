@@ -16,7 +16,7 @@ from ..functions.text import merge_key
 from ..operators import predicates as P
 from ..operators.audit import StageTaps, no_tap
 from ..operators.supplements import fold, orphans
-from ..session import materialize
+from ..session import materialize, staging_scope
 from ..sources.sinks import write_report
 from ..sources.extracts import ocr_base
 from ..operators.rollup import measure_columns
@@ -164,7 +164,10 @@ def ocr_report(tables: Mapping[str, DataFrame], rep_end: dt.date,
 def run_ocr(tables: Mapping[str, DataFrame], rep_end: dt.date,
             targets: Sequence[str]) -> list[tuple[str, str, int]]:
     """Write the open-claims report to every target; return the stage audit
-    ``(stage, metric, value)`` gathered during the run (no extra jobs)."""
+    ``(stage, metric, value)`` gathered during the run (no extra jobs).
+    The staged open-claims table is deleted once the report is written."""
     taps = StageTaps()
-    rows = write_report(ocr_report(tables, rep_end, taps), targets)
+    spark = tables["claim"].sparkSession
+    with staging_scope(spark):
+        rows = write_report(ocr_report(tables, rep_end, taps), targets)
     return taps.results() + [("ocr_report", "rows", rows)]

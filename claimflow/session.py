@@ -8,8 +8,11 @@ partitions and splits skewed ones at runtime).
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +82,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Paths staged by materialize() inside the innermost staging_scope(), if any.
+_STAGED: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar(
+    "claimflow_staged", default=None)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` on whatever file system it names."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+@contextlib.contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that :func:`materialize` stages inside the block are deleted when
+    the block exits.
+
+    For end-to-end runs whose actions all finish inside the block (a report
+    write); frames returned lazily out of the block must not read staged data.
+    """
+    paths: list[str] = []
+    token = _STAGED.set(paths)
+    try:
+        yield paths
+    finally:
+        _STAGED.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read
     it back.
@@ -86,12 +118,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     For a frame that a plan reads many times: it is computed once, its
     lineage is cut, its files survive the loss of any executor, and readers
     get column pruning (a branch that needs 4 of 60 columns reads 4) and true
-    sizes for the planner.  Staged tables live in the checkpoint folder and
-    are left to the cluster's retention of that folder.
+    sizes for the planner.  Inside a :func:`staging_scope` the table is
+    deleted when the scope exits; otherwise it is left to the cluster's
+    retention of the checkpoint folder.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    staged = _STAGED.get()
+    if staged is not None:
+        staged.append(path)
     return df.sparkSession.read.parquet(path)
 
 
-__all__ = ["DEFAULTS", "get_session", "checkpoint_dir", "scratch_path", "materialize"]
+__all__ = ["DEFAULTS", "get_session", "checkpoint_dir", "scratch_path", "materialize",
+           "staging_scope", "delete_path"]

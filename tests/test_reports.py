@@ -102,8 +102,14 @@ def test_audited_runs_match_stage_audit(spark):
     from claimflow.plans.ocr import run_ocr
     from claimflow.sources.fixtures import entities
 
+    from claimflow.session import checkpoint_dir
+
     t = entities(spark, SF_SMALL)
+    staged_before = set(glob.glob(checkpoint_dir(spark).removeprefix("file:") + "/ocr_open_claims-*"))
     got = {(s, m): v for s, m, v in run_ocr(t, REP_END, [scratch_path(spark, "ocr")])}
+    # the run deletes the table it staged once the report is written
+    assert set(glob.glob(checkpoint_dir(spark).removeprefix("file:") + "/ocr_open_claims-*")) \
+        <= staged_before
     got.update({(s, m): v for s, m, v in
                 run_acr(t, REP_START, REP_END, [scratch_path(spark, "acr")])})
     want = {(r.stage, r.metric): r.value for r in E.queries()["stage_audit"](spark, SF_SMALL)
