@@ -126,3 +126,43 @@ def test_reports_unchanged_on_large_data_join_paths(spark, fixture_tables):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert got == expected
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_hot_merge_key_is_split_by_aqe(spark):
+    """A merge key holding 80% of the rows, spread over many map tasks: with
+    broadcasts off, AQE splits the hot partition of the fold joins across
+    tasks (by ranges of map outputs), and the folded rows do not change."""
+    import contextlib
+    import io
+
+    i = F.col("id")
+    clean = spark.range(0, 20000, numPartitions=20).select(
+        F.when(i % 10 < 8, F.lit("HOT-NA-NA"))
+        .otherwise(F.concat(F.lit("K"), (i % 997).cast("string"))).alias("sc_key"),
+        F.when(i % 2000 == 0, "Super Contribution")
+        .when(i % 2000 == 1, "Additional Income Protection")
+        .otherwise("Income Protection").alias("benefit_name"),
+        (i % 100).cast("double").alias("coverage_amount"),
+        (i % 7).cast("double").alias("total_paid"),
+        i.alias("row"))
+
+    def summary(df):  # row count and an order-free checksum of every column
+        return df.agg(F.count(F.lit(1)).alias("n"),
+                      F.sum(F.xxhash64(*df.columns) % 1000003).alias("h"))
+
+    expected = summary(fold(clean)).collect()
+    saved = {k: spark.conf.get(k, None) for k in LARGE_DATA_PATHS}
+    try:
+        for k, v in LARGE_DATA_PATHS.items():
+            spark.conf.set(k, v)
+        df = summary(fold(clean))
+        got = df.collect()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()  # the final adaptive plan of the action above
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == expected and got[0]["n"] > 1_000_000
+    plan = buf.getvalue()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
