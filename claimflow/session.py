@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Operational settings applied when this process starts the context: no web
 # UI server, no console progress bar.
@@ -127,7 +128,10 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     staged = _STAGED.get()
     if staged is not None:
         staged.append(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: no footer-reading job to infer it on the way back
+    schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata)
+                           for f in df.schema.fields])
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 __all__ = ["DEFAULTS", "get_session", "checkpoint_dir", "scratch_path", "materialize",
