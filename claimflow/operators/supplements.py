@@ -18,7 +18,8 @@ primary row out (one row per combination).
 :func:`orphans` builds three branches with a supplement on the left and the
 *complement* of its class on the right (so the added columns hold the other
 row's cover and paid total), stacks them, and keeps only claims without any
-primary row.  As in the original report an orphan 'Additional Super
+primary row (tested first, on the left rows; then one tagged join does the
+three branches, with lookups reduced to the candidates' keys).  As in the original report an orphan 'Additional Super
 Contribution' row enters through two branches, and in the third it also
 matches itself.  A row that mentions 'Super Contribution' without matching
 the SC or SCAdd tests (and does not start with 'Additional') appears in no
@@ -57,19 +58,24 @@ def fold(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
     return out
 
 
-def orphan_branches(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
-                    cover: str = "coverage_amount", paid: str = "total_paid") -> DataFrame:
-    """The three orphan branches stacked, before the per-claim test."""
-    n = F.col(name)
-    branches = []
-    for left, right, cover_as, paid_as in (
+def _orphan_classes(n: Column):
+    """(left rows, lookup rows, cover as, paid as) of the three orphan branches."""
+    return (
         (text.is_super_contribution(n), ~text.is_super_contribution(n),
          "benefit_sc", "total_paid_sc"),
         (text.is_additional_super_contribution(n), ~text.is_additional_super_contribution(n),
          "benefit_sc_add", "total_paid_sc_add"),
         (text.starts_additional(n), ~text.is_additional_benefit(n),
          "benefit_add", "total_paid_add"),
-    ):
+    )
+
+
+def orphan_branches(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
+                    cover: str = "coverage_amount", paid: str = "total_paid") -> DataFrame:
+    """The three orphan branches stacked, before the per-claim test (the
+    definition :func:`orphans` is tested against)."""
+    branches = []
+    for left, right, cover_as, paid_as in _orphan_classes(F.col(name)):
         branches.append(clean.filter(left).join(
             _lookup(clean, right, key, cover, paid, cover_as, paid_as), key, "left"))
     stacked = branches[0]
@@ -78,20 +84,54 @@ def orphan_branches(clean: DataFrame, key: str = "sc_key", name: str = "benefit_
     return stacked
 
 
+def _branch_tags(conds) -> Column:
+    """One tag per branch whose condition holds (1, 2, 3), as rows."""
+    return F.explode(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(conds, 1)]))
+
+
 def orphans(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
             claim: str = "claim_name", cover: str = "coverage_amount",
             paid: str = "total_paid") -> DataFrame:
     """Orphan supplements: branch rows whose claim has no primary row.
 
-    The claim test is a null-safe anti join against the distinct claims of
-    the primary rows (the claims of the folded frame are exactly those).
+    Same rows as stacking :func:`orphan_branches` and then dropping claims
+    that have a primary row, computed in an order that scales:
+
+    * the claim test (a null-safe anti join against the distinct claims of
+      the primary rows) reads only the left row's claim, so it runs first, on
+      the rows of any branch class: only orphan candidates go further;
+    * each candidate is tagged with the branches it enters (an 'Additional
+      Super Contribution' row enters two), each lookup row with the branches
+      it serves (the complement classes), and one left join on
+      ``(key, branch)`` does all three branches;
+    * the lookup, most of ``clean`` three times over, is first semi-joined to
+      the candidates' ``(key, branch)`` pairs, so only rows that can match
+      are shuffled to the join.
     """
-    stacked = orphan_branches(clean, key, name, cover, paid)
-    primary_claims = (clean.filter(text.is_primary_benefit(F.col(name)))
+    n = F.col(name)
+    classes = _orphan_classes(n)
+    primary_claims = (clean.filter(text.is_primary_benefit(n))
                       .select(F.col(claim).alias("_primary_claim")).distinct())
-    return stacked.join(primary_claims,
-                        stacked[claim].eqNullSafe(primary_claims["_primary_claim"]),
-                        "left_anti")
+    any_branch = classes[0][0] | classes[1][0] | classes[2][0]
+    candidates = clean.filter(any_branch)
+    candidates = candidates.join(
+        primary_claims, candidates[claim].eqNullSafe(primary_claims["_primary_claim"]),
+        "left_anti")
+    tagged = (candidates.withColumn("_branch", _branch_tags([c[0] for c in classes]))
+              .filter(F.col("_branch").isNotNull()))
+    lookup = (clean.select(key, F.col(cover).alias("_cover"), F.col(paid).alias("_paid"),
+                           _branch_tags([c[1] for c in classes]).alias("_branch"))
+              .filter(F.col("_branch").isNotNull()))
+    lookup = lookup.join(tagged.select(key, "_branch").distinct(), [key, "_branch"],
+                         "left_semi")
+    joined = tagged.join(lookup, [key, "_branch"], "left")
+    added = []
+    for i, (_, _, cover_as, paid_as) in enumerate(classes, 1):
+        mine = F.col("_branch") == i
+        added += [F.when(mine, F.col("_cover")).alias(cover_as),
+                  F.when(mine, F.col("_paid")).alias(paid_as)]
+    # column order of the stacked branches: the join key first
+    return joined.select(key, *[F.col(f"`{c}`") for c in clean.columns if c != key], *added)
 
 
 def fold_with_orphans(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
