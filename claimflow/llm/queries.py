@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimflow.llm import exact, mixing
+from claimflow.llm import exact, minhash, mixing, packing, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_warc_revisits": warc.op2_warc_revisits,
     "op4_exact_dedup": exact.op4_exact_dedup,
+    "op5_quality": quality.op5_quality,
+    "op9_pack_sequences": packing.op9_pack_sequences,
+    "op10_near_duplicates": minhash.op10_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc_revisits": warc.OP2_SQL,
     "op4_exact_dedup": exact.OP4_SQL,
 }
