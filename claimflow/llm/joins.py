@@ -21,13 +21,13 @@ def lookup(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str,
     read twice and should be staged tables.  ``weight`` is dropped.  A null key
     matches nothing; with ``how="left"`` its row stays.
     """
-    total = groups.agg(F.sum(weight).alias("n")).first()["n"] or 0
-    limit = max(total // HOT_KEYS, 1000)
+    size = groups.agg(F.sum(weight).alias("all"), F.max(weight).alias("most")).first()
+    limit = max((size["all"] or 0) // HOT_KEYS, 1000)
     hot = F.broadcast(groups.filter(F.col(weight) > limit).drop(weight))
     values = [c for c in groups.columns if c not in keys and c != weight]
     if not values:
         raise ValueError("groups carry no column besides the key")
-    if total <= limit:  # no key can be hot
+    if (size["most"] or 0) <= limit:  # no key is hot
         return rows.join(groups.drop(weight), keys, how).select(*rows.columns, *values)
     direct = rows.join(hot, keys, "inner").select(*rows.columns, *values)
     cold = rows.join(hot.select(*keys), keys, "left_anti")

@@ -10,8 +10,8 @@ Candidates.  Documents with equal shingle sets form one class.  Signature bands
 put classes into buckets; each class is confirmed against the smallest class of
 its buckets, which takes one pair per class and bucket and joins nearly all of
 a group.  Only buckets whose members are still in different components
-are compared in full, in blocks of bounded size, by their signatures; what is
-likely is confirmed too.  Every link rests on the intersection of whole sets.
+are compared in full, in blocks of bounded size.  Every link rests on the
+intersection of whole sets.
 """
 
 from __future__ import annotations
@@ -145,40 +145,61 @@ def confirm(run: Scratch, docs: DataFrame, pairs: DataFrame, size: int, percent:
     return two.filter(both * 100 >= (F.size("x") + F.size("y") - both) * percent).select("a", "b").distinct()
 
 
-def _unlike(rows: list[np.ndarray], roots: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Index pairs with different roots whose signatures agree in enough places."""
-    table = np.stack(rows)
-    for k in range(len(table) - 1):
-        other = np.flatnonzero(roots[k + 1:] != roots[k]) + k + 1
-        near = (table[other] == table[k]).mean(axis=1) >= LIKELY
-        for j in other[near]:
-            yield k, int(j)
+def _connect(sets: list[np.ndarray], roots: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Index pairs of similar sets that join different components, until none are left.
 
-
-def leftover_pairs(run: Scratch, reps: DataFrame, keys: DataFrame, roots: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) of one bucket that are in different components."""
+    ``roots`` are the components so far; only members outside the largest one are
+    compared with all others, through an index from shingles to members.
+    """
+    roots = roots.copy()
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(np.concatenate(sets), kind="stable")
+    ranked, owner = np.concatenate(sets)[order], owner[order]
+    values, counts = np.unique(roots, return_counts=True)
+    for k in np.flatnonzero(roots != values[counts.argmax()]):
+        lo = np.searchsorted(ranked, sets[k], "left")
+        length = np.searchsorted(ranked, sets[k], "right") - lo
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
+        common = np.bincount(owner[at], minlength=len(sets))
+        alike = 100 * common >= percent * (sizes + sizes[k] - common)
+        for j in np.flatnonzero(alike):
+            if roots[j] != roots[k]:
+                roots[roots == roots[j]] = roots[k]
+                yield int(k), int(j)
+
+
+def leftover_links(run: Scratch, docs: DataFrame, keys: DataFrame, roots: DataFrame, size: int,
+                   percent: int) -> DataFrame:
+    """Links (a, b) between members of one bucket that are still in different components.
+
+    Buckets with the same members are compared once.  A large bucket is cut into
+    blocks, every two of which meet in one task with their whole shingle sets; the
+    task emits the links that join components, not the pairs.
+    """
     labelled = run.stage(keys.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         "key", "class_id", F.coalesce("root", "class_id").alias("root")), "labelled")
     mixed = run.stage(
-        labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-        .filter("lo <> hi").select("key", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    members = lookup(labelled, mixed, ["key"], "n").distinct()
+        labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"),
+                                    F.bit_xor(F.xxhash64("class_id")).alias("who"))
+        .filter("lo <> hi").groupBy("n", "who").agg(F.min("key").alias("key"))
+        .select("key", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
+    members = run.stage(lookup(labelled, mixed, ["key"], "n").distinct(), "members")
+    ids = members.select(F.col("class_id").alias("doc_id")).distinct()
+    sets = run.stage(shingle_sets(docs.join(ids, "doc_id", "left_semi"), size), "member-sets")
     # every two blocks of a bucket meet once: block i of a member goes to (i, j) and (j, i)
     block = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
     placed = members.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("key", "class_id", "root", "i", F.least("i", "j").alias("lo"),
-                           F.greatest("i", "j").alias("hi"))
-    sketched = placed.join(reps.select("class_id", "sketch"), "class_id")
+    placed = placed.select("key", F.col("class_id").alias("doc_id"), "root", F.least("i", "j").alias("lo"),
+                           F.greatest("i", "j").alias("hi")).join(sets, "doc_id")
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, roots_ = (table.column(c).to_numpy() for c in ("class_id", "root"))
-        rows = [np.frombuffer(x.as_py(), "<u2") for x in table.column("sketch")]
-        found = list(_unlike(rows, roots_))
-        a = np.array([min(ids[x], ids[y]) for x, y in found], np.int64)
-        b = np.array([max(ids[x], ids[y]) for x, y in found], np.int64)
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+        ids_, roots_ = (table.column(c).to_numpy() for c in ("doc_id", "root"))
+        found = list(_connect([x.values.to_numpy() for x in table.column("shingles")], roots_, percent))
+        return pa.table({"a": pa.array([min(ids_[x], ids_[y]) for x, y in found], pa.int64()),
+                         "b": pa.array([max(ids_[x], ids_[y]) for x, y in found], pa.int64())})
 
-    return sketched.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").filter("a <> b").distinct()
+    return placed.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(run: Scratch, docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
@@ -210,11 +231,9 @@ def near_duplicates(run: Scratch, docs: DataFrame, size: int = 3, percent: int =
     links = run.stage(confirm(run, docs, _agreeing(run, stars, likely), size, percent, "star"), "links")
     roots = run.stage(components(run, links), "roots")
 
-    rest = run.stage(leftover_pairs(run, reps, keys, roots).join(stars, ["a", "b"], "left_anti"), "rest")
-    if rest.limit(1).count():
-        more = run.stage(confirm(run, docs, rest, size, percent, "rest"), "more")
-        if more.limit(1).count():
-            roots = run.stage(components(run, links.unionByName(more)), "roots")
+    more = run.stage(leftover_links(run, docs, keys, roots, size, percent), "more")
+    if more.limit(1).count():
+        roots = run.stage(components(run, links.unionByName(more)), "roots")
 
     rooted = classes.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         "n", "s1", "s2", F.coalesce("root", "class_id").alias("component_id"), "rows")
