@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimflow.llm.scratch import Scratch, scratch
-from claimflow.llm.tokens import Encoder, encoded
+from claimflow.llm.tokens import encoded, shared_encoder
 
 LENGTH = 2048
 END_ID = 1
@@ -40,7 +40,7 @@ def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None, id_co
     them within the task that made them.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = Encoder(path), TaskContext.get().partitionId()
+        encoder, task = shared_encoder(path), TaskContext.get().partitionId()
         seen = [0] * (length + 1)
         for batch in batches:
             names, rows = batch.column(0).to_pylist(), []
