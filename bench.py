@@ -14,6 +14,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,9 +30,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
+    shared = tempfile.TemporaryDirectory(prefix="claimflow-bench-")
     spark = get_session(f"local[{cpus}]", app_name="claimflow-bench",
                         shuffle_partitions=cpus * 2,
-                        **{"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                        **{"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                           "spark.checkpoint.dir": f"file://{shared.name}/checkpoints",
+                           "spark.sql.warehouse.dir": f"file://{shared.name}/warehouse"})
     times = {}
     for name in names:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up

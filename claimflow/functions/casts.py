@@ -23,9 +23,14 @@ _YMD_PREFIX = r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}"
 _YMD_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 
 
+# Fixed text shape accepted as a number: decimal digits with an optional sign,
+# point and exponent, blanks around them.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def parse_number(text: Column) -> Column:
-    """Text to double; unparsable text gives null."""
-    return text.try_cast("double")
+    """Text to double; any other text, number suffixes and NaN included, gives null."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def parse_date(text: Column) -> Column:
@@ -63,6 +68,14 @@ def as_date(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
+def date_column(df: DataFrame, name: str) -> Column:
+    """The column as a date, whether it was delivered typed or as text."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return parse_date(F.col(name))
+    return F.col(name) if isinstance(kind, T.DateType) else F.col(name).cast("date")
+
+
 def prior_month_end(d: Column) -> Column:
     """Last day of the month before ``d`` (also when ``d`` is itself a month end)."""
     return F.date_sub(F.trunc(d, "month"), 1)

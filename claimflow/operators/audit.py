@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -36,6 +37,17 @@ def audit(metrics: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
+def observed_value(obs: Observation, name: str) -> int:
+    """An observed metric; 0 when the planner dropped the observed part because
+    its input is known to be empty."""
+    try:
+        return int(obs.get.get(name) or 0)
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error):  # that is: no row of metrics was delivered
+            raise
+        return 0
+
+
 class StageTaps:
     """Row counts of pipeline stages gathered *while* the pipeline runs.
 
@@ -47,17 +59,17 @@ class StageTaps:
     """
 
     def __init__(self) -> None:
-        self._observations: list[tuple[str, Observation]] = []
+        self._observations: list[tuple[str, Observation, list[str]]] = []
 
     def __call__(self, stage: str, df: DataFrame, **metrics: Column) -> DataFrame:
         obs = Observation(stage)
-        self._observations.append((stage, obs))
+        self._observations.append((stage, obs, ["rows", *metrics]))
         cols = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in metrics.items()]
         return df.observe(obs, *cols)
 
     def results(self) -> list[tuple[str, str, int]]:
-        return [(stage, metric, int(value)) for stage, obs in self._observations
-                for metric, value in obs.get.items()]
+        return [(stage, metric, observed_value(obs, metric))
+                for stage, obs, names in self._observations for metric in names]
 
 
 def no_tap(stage: str, df: DataFrame, **metrics: Column) -> DataFrame:

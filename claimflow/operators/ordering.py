@@ -1,10 +1,12 @@
 """First row of a group in a declared order, as a plain aggregate.
 
 ``min(struct(sort key..., payload...))`` picks the payload of the first row in
-the order.  It is an ordinary hash aggregate with a map-side partial step, so
-a hot group is pre-reduced in every task before the shuffle and never lands
-whole in one task (a window ``row_number`` would sort the whole group in one
-task).  Partial results combine with ``min`` again, which lets a plan
+the order.  It has a map-side partial step, so a hot group is pre-reduced in
+every task before the shuffle and never lands whole in one task (a window
+``row_number`` would sort the whole group in one task).  Its buffer holds text
+of any length, so Spark sorts each task's rows by group for it (a sort
+aggregate); payments, the large fact, use numbers of fixed width instead (see
+``rollup``).  Partial results combine with ``min`` again, which lets a plan
 pre-aggregate below a join and finish above it.
 
 Sort keys are written in ascending form: :func:`latest_first` for dates
@@ -30,10 +32,6 @@ def nulls_last(c: Column) -> list[Column]:
     return [c.isNull(), c]
 
 
-def ascending(c: Column) -> list[Column]:
-    return [c]
-
-
 def first_in_order(keys: Sequence[list[Column]], payload: Mapping[str, Column]) -> Column:
     """Aggregate: struct whose named fields are the first row's ``payload``."""
     flat = [k.alias(f"_k{i}") for i, k in enumerate(c for part in keys for c in part)]

@@ -66,10 +66,11 @@ def released_from(release: Column, rep_start: dt.date,
                   release_month: Column | None = None) -> Column:
     """Released on or after ``rep_start``.  With ``release_month`` (the first
     day of the release month, a partition column of the extract) the implied
-    month bound is added so whole month folders are pruned before reading."""
+    month bound is added so whole month folders are pruned before reading; a
+    source that does not fill the month loses no row by it."""
     cond = release >= F.lit(rep_start)
     if release_month is not None:
-        cond = cond & (release_month >= F.lit(rep_start.replace(day=1)))
+        cond = cond & (release_month.isNull() | (release_month >= F.lit(rep_start.replace(day=1))))
     return cond
 
 
@@ -79,7 +80,7 @@ def processed_by(status: Column, release: Column, rep_end: dt.date,
     :func:`released_from`)."""
     cond = (status == PROCESSED_PAYMENT) & (release <= F.lit(rep_end))
     if release_month is not None:
-        cond = cond & (release_month <= F.lit(rep_end.replace(day=1)))
+        cond = cond & (release_month.isNull() | (release_month <= F.lit(rep_end.replace(day=1))))
     return cond
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 RELATIONSHIPS: dict[str, dict[str, tuple[str, str]]] = {
     "payment_contribution": {
         "benefit_claimed": ("benefit_claimed_id", "benefit_claimed"),
+        "payment": ("payment_id", "payment"),
     },
     "benefit_claimed": {
         "claim": ("claim_id", "claim"),

@@ -3,19 +3,23 @@
 Measures, with a missing value poisoning its group (a summary that does not
 drop missing values: one missing amount makes the total missing):
 
-* ``total_paid``            sum of amounts (summed as decimal(18,2): exact and
-                            independent of row order, returned as double)
+* ``total_paid``            sum of amounts: exact, and so independent of row
+                            order, when every amount of the group is a decimal
+                            of at most 20 digits before and 8 after the point;
+                            a sum of doubles otherwise (NaN stays NaN)
 * ``first_payment``         min of coalesce(start, release)
 * ``last_payment``          max of coalesce(through, release)
-* ``last_amount``           amount of the first row, in tie order, on the
-                            latest release date
+* ``last_amount``           amount of the row with the latest release date; ties
+                            go to the smallest line number, then to the smallest
+                            amount, missing ones last (see :func:`pick_order`)
 * ``eff_date_last_payment`` max of release
 
 The rollup is split into a *partial* state per arbitrary key and a *final*
 merge, so a plan can pre-aggregate payments by their foreign key before
 joining the (much smaller) result to its parent and finishing by name.
-Every state field merges with sum/min/max, so both steps are map-side
-combinable and a hot benefit cannot overload one task.
+Every state field is a number or date of fixed width that merges with
+sum/min/max, so both steps are hash aggregates that combine map-side without
+sorting the payments, and a hot benefit cannot overload one task.
 """
 
 from __future__ import annotations
@@ -23,11 +27,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import first_in_order, latest_first, merge_first, nulls_last
-
 MEASURES = ("total_paid", "first_payment", "last_payment", "last_amount",
             "eff_date_last_payment")
-MONEY = "decimal(18,2)"
+EXACT = "decimal(28,8)"
+
+
+def pick_order(release: Column, tiebreak: Column, amount: Column) -> Column:
+    """The tie order as one number, smallest first; null without a release date.
+
+    Seven digits for the day (latest first), ten for the line number, 21 for the
+    amount in millionths; a missing line number or amount comes after all others.
+    Amounts beyond 100,000 billion either way are ranked as if they were at that
+    bound, amounts that agree to the millionth have the same rank.
+    """
+    bound = 10 ** 14
+    day = (F.lit(5_000_000) - F.unix_date(release)).cast("decimal(7,0)")
+    line = F.coalesce(tiebreak.cast("bigint") + 2 ** 31, F.lit(2 ** 33)).cast("decimal(10,0)")
+    within = F.greatest(F.least(amount, F.lit(float(bound))), F.lit(float(-bound)))
+    rank = F.when(amount.isNull(), F.lit(3 * bound).cast("decimal(15,0)")).otherwise(
+        F.when(F.isnan(amount), F.lit(2 * bound).cast("decimal(15,0)")).otherwise(
+            within.cast("decimal(21,6)"))).cast("decimal(21,6)")
+    text = F.concat(F.lpad(day.cast("string"), 7, "0"), F.lpad(line.cast("string"), 10, "0"),
+                    F.lpad(((rank + bound) * 1_000_000).cast("decimal(21,0)").cast("string"), 21, "0"))
+    return text.cast("decimal(38,0)")
 
 
 def partial_states(amount: Column, start: Column, through: Column, release: Column,
@@ -35,29 +57,35 @@ def partial_states(amount: Column, start: Column, through: Column, release: Colu
     """Aggregate expressions of the partial state (one row per key)."""
     first = F.coalesce(start, release)
     last = F.coalesce(through, release)
+    exact = amount.try_cast(EXACT)
+    fits = F.when(exact.cast("double") == amount, exact)
+    order = pick_order(release, tiebreak, amount)
     return [
         F.count(F.lit(1)).alias("n"),
         F.count(amount).alias("n_amount"),
-        F.sum(amount.cast(MONEY)).alias("total"),
+        F.count(fits).alias("n_exact"),
+        F.sum(fits).alias("exact"),
+        F.sum(amount).alias("total"),
         F.count(first).alias("n_first"),
         F.min(first).alias("first"),
         F.count(last).alias("n_last"),
         F.max(last).alias("last"),
         F.count(release).alias("n_release"),
         F.max(release).alias("eff"),
-        first_in_order([latest_first(release), nulls_last(tiebreak), nulls_last(amount)],
-                       {"amount": amount}).alias("pick"),
+        F.min(order).alias("pick_order"),
+        F.min_by(amount, order).alias("pick"),
     ]
 
 
 def merge_states() -> list[Column]:
     """Aggregate expressions merging partial states of the same group."""
-    return [F.sum(c).alias(c) for c in ("n", "n_amount", "total", "n_first", "n_last",
-                                        "n_release")] + [
+    return [F.sum(c).alias(c) for c in ("n", "n_amount", "n_exact", "exact", "total", "n_first",
+                                        "n_last", "n_release")] + [
         F.min("first").alias("first"),
         F.max("last").alias("last"),
         F.max("eff").alias("eff"),
-        merge_first(F.col("pick")).alias("pick"),
+        F.min_by("pick", "pick_order").alias("pick"),
+        F.min("pick_order").alias("pick_order"),
     ]
 
 
@@ -66,10 +94,12 @@ def measure_columns() -> list[Column]:
     missing value.  A row without states (no payments) gets all nulls."""
     complete = lambda n: F.col(n) == F.col("n")
     return [
-        F.when(complete("n_amount"), F.col("total")).cast("double").alias("total_paid"),
+        F.when(complete("n_amount"),
+               F.when(F.col("n_exact") == F.col("n_amount"), F.col("exact").cast("double"))
+               .otherwise(F.col("total"))).alias("total_paid"),
         F.when(complete("n_first"), F.col("first")).alias("first_payment"),
         F.when(complete("n_last"), F.col("last")).alias("last_payment"),
-        F.when(complete("n_release"), F.col("pick.amount")).alias("last_amount"),
+        F.when(complete("n_release"), F.col("pick")).alias("last_amount"),
         F.when(complete("n_release"), F.col("eff")).alias("eff_date_last_payment"),
     ]
 

@@ -70,20 +70,6 @@ def _orphan_classes(n: Column):
     )
 
 
-def orphan_branches(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
-                    cover: str = "coverage_amount", paid: str = "total_paid") -> DataFrame:
-    """The three orphan branches stacked, before the per-claim test (the
-    definition :func:`orphans` is tested against)."""
-    branches = []
-    for left, right, cover_as, paid_as in _orphan_classes(F.col(name)):
-        branches.append(clean.filter(left).join(
-            _lookup(clean, right, key, cover, paid, cover_as, paid_as), key, "left"))
-    stacked = branches[0]
-    for b in branches[1:]:
-        stacked = stacked.unionByName(b, allowMissingColumns=True)
-    return stacked
-
-
 def _branch_tags(conds) -> Column:
     """One tag per branch whose condition holds (1, 2, 3), as rows."""
     return F.explode(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(conds, 1)]))
@@ -94,7 +80,7 @@ def orphans(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
             paid: str = "total_paid") -> DataFrame:
     """Orphan supplements: branch rows whose claim has no primary row.
 
-    Same rows as stacking :func:`orphan_branches` and then dropping claims
+    Same rows as stacking the three branches' left joins and then dropping claims
     that have a primary row, computed in an order that scales:
 
     * the claim test (a null-safe anti join against the distinct claims of
@@ -104,9 +90,9 @@ def orphans(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
       Super Contribution' row enters two), each lookup row with the branches
       it serves (the complement classes), and one left join on
       ``(key, branch)`` does all three branches;
-    * the lookup, most of ``clean`` three times over, is first semi-joined to
-      the candidates' ``(key, branch)`` pairs, so only rows that can match
-      are shuffled to the join.
+    * the lookup, most of ``clean`` up to three times over, is first semi-joined
+      to the candidates' keys, before it is tagged, so only rows that can match
+      are multiplied and shuffled to the join.
     """
     n = F.col(name)
     classes = _orphan_classes(n)
@@ -119,11 +105,10 @@ def orphans(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
         "left_anti")
     tagged = (candidates.withColumn("_branch", _branch_tags([c[0] for c in classes]))
               .filter(F.col("_branch").isNotNull()))
-    lookup = (clean.select(key, F.col(cover).alias("_cover"), F.col(paid).alias("_paid"),
-                           _branch_tags([c[1] for c in classes]).alias("_branch"))
+    near = clean.join(tagged.select(key).distinct(), key, "left_semi")
+    lookup = (near.select(key, F.col(cover).alias("_cover"), F.col(paid).alias("_paid"),
+                          _branch_tags([c[1] for c in classes]).alias("_branch"))
               .filter(F.col("_branch").isNotNull()))
-    lookup = lookup.join(tagged.select(key, "_branch").distinct(), [key, "_branch"],
-                         "left_semi")
     joined = tagged.join(lookup, [key, "_branch"], "left")
     added = []
     for i, (_, _, cover_as, paid_as) in enumerate(classes, 1):

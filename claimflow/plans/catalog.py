@@ -29,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RELATE_FIELDS = {
     "contribution_name": "name",
+    "payment_name": "payment.name",
     "benefit_claimed_name": "benefit_claimed.name",
     "claim_name": "benefit_claimed.claim.name",
     "policy_name": "benefit_claimed.claim.policy.name",

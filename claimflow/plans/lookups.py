@@ -33,34 +33,34 @@ def _group_parents(tables: Mapping[str, DataFrame], entity: str, name_path: str,
 def payment_states(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
     """Partial rollup states of processed payments, one row per benefit-claimed id.
 
-    Reduced map-side before any shuffle; the fact rows never cross the network.
+    The payments are filtered and pruned to their release date first and joined
+    to the contributions once; the contributions are then reduced map-side.
     """
-    pc = tables["payment_contribution"].filter(
-        P.processed_by(F.col("payment_status"), F.col("payment_release"), rep_end,
-                       F.col("payment_release_month")))
-    pc = as_date(as_number(pc, ["amount"]), ["start", "through", "payment_release"])
+    paid = as_date(tables["payment"], ["release"])
+    paid = paid.filter(P.processed_by(F.col("status"), F.col("release"), rep_end,
+                                      F.col("release_month"))) \
+        .select(F.col("id").alias("_payment"), "release")
+    pc = as_date(as_number(tables["payment_contribution"], ["amount"]), ["start", "through"])
+    pc = pc.select("benefit_claimed_id", "payment_id", "line_number", "amount", "start", "through")
+    pc = pc.join(paid, pc["payment_id"] == paid["_payment"])
     return pc.groupBy("benefit_claimed_id").agg(*partial_states(
-        F.col("amount"), F.col("start"), F.col("through"), F.col("payment_release"),
+        F.col("amount"), F.col("start"), F.col("through"), F.col("release"),
         F.col("line_number")))
 
 
-def payment_rollup(tables: Mapping[str, DataFrame], rep_end: dt.date,
-                   names_unique: bool = True) -> DataFrame:
-    """Rollup of the payments extract per benefit-claimed name.
-
-    Same result as ``rollup_payments(payments_extract(...))``: states per
-    foreign key (:func:`payment_states`) joined to the group benefits for
-    their name.  A benefit claimed's name is its record's unique name, so a
-    name has one id; with ``names_unique=False`` states of ids sharing a name
-    are merged as well (one more aggregation).
-    """
+def payment_states_by_name(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
+    """:func:`payment_states` merged per benefit-claimed name (one state row per
+    name, a missing name included): the payments extract groups by name."""
     states = payment_states(tables, rep_end)
     parents = _group_parents(tables, "benefit_claimed", "name", "claim.business_type",
                              "benefit_claimed_name")
     joined = states.join(parents, states["benefit_claimed_id"] == parents["_id"])
-    if not names_unique:
-        joined = joined.groupBy("benefit_claimed_name").agg(*merge_states())
-    return finish(joined, "benefit_claimed_name")
+    return joined.groupBy("benefit_claimed_name").agg(*merge_states())
+
+
+def payment_rollup(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
+    """Rollup of the payments extract per benefit-claimed name."""
+    return finish(payment_states_by_name(tables, rep_end), "benefit_claimed_name")
 
 
 def latest_diagnosis(tables: Mapping[str, DataFrame]) -> DataFrame:

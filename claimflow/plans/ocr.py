@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 
 from ..functions import measures as M
 from ..operators.relate import rename_select
-from ..functions.casts import as_date, as_number
+from ..functions.casts import as_date, as_number, date_column
 from ..functions.text import merge_key
 from ..operators import predicates as P
 from ..operators.audit import StageTaps, no_tap
 from ..operators.supplements import fold, orphans
 from ..session import materialize, staging_scope
 from ..sources.sinks import write_report
-from ..sources.extracts import ocr_base
+from ..sources.extracts import benefits_in_scope, ocr_base
 from ..operators.rollup import measure_columns
-from .lookups import diagnosis_fields, payment_states, with_latest_diagnosis
+from .lookups import diagnosis_fields, payment_states_by_name, with_latest_diagnosis
 
 # Report columns in output order -> internal column.
 OCR_COLUMNS = (
@@ -81,10 +81,11 @@ OCR_COLUMNS = (
 )
 
 
-def ocr_typed(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
+def ocr_typed(tables: Mapping[str, DataFrame], rep_end: dt.date,
+              rows: DataFrame | None = None) -> DataFrame:
     """OCR extract with casts, derived key columns, and the latest diagnosis."""
     t = with_latest_diagnosis(tables)
-    df = ocr_base(t, rep_end, extra={"id": "id", **diagnosis_fields("claim")})
+    df = ocr_base(t, rep_end, extra=diagnosis_fields("claim"), rows=rows)
     df = as_date(df, ["reopened_date", "date_of_disability", "notification_date"])
     df = as_date(df, ["closure_date", "reopened_date", "date_of_reoccurrence"])
     df = as_number(df, ["waiting_period", "waiting_period_extension", "coverage_amount"])
@@ -99,21 +100,21 @@ def ocr_typed(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
 
 def ocr_open(tables: Mapping[str, DataFrame], rep_end: dt.date,
              tap: Callable = no_tap) -> DataFrame:
-    df = tap("ocr_base", ocr_typed(tables, rep_end))
-    return tap("open_at", df.filter(P.open_at(F.col("status"), F.col("closure_date"), rep_end)))
+    """Open rows.  Scope and openness are tested (and counted) on the benefit rows
+    with the claim's tested fields alone; only open rows meet the wide parents."""
+    rows = tap("ocr_base", benefits_in_scope(tables, rep_end))
+    rows = tap("open_at", rows.filter(P.open_at(F.col("status"), date_column(rows, "closure_date"),
+                                                rep_end)))
+    return ocr_typed(tables, rep_end, rows)
 
 
 def ocr_clean(tables: Mapping[str, DataFrame], rep_end: dt.date,
               tap: Callable = no_tap) -> DataFrame:
-    """Open benefits with their payment rollup (and latest diagnosis).
-
-    The rollup is keyed by benefit-claimed name; the open rows *are* group
-    benefits claimed and a name has one id, so the per-id payment states are
-    joined on the row's own id, without a detour through the parent objects.
-    """
-    states = payment_states(tables, rep_end)
+    """Open benefits with their payment rollup (and latest diagnosis), joined by
+    benefit-claimed name; a missing name meets the rollup of the missing name."""
+    states = payment_states_by_name(tables, rep_end)
     df = ocr_open(tables, rep_end, tap)
-    joined = df.join(states, df["id"] == states["benefit_claimed_id"], "left")
+    joined = df.join(states, df["name"].eqNullSafe(states["benefit_claimed_name"]), "left")
     clean = joined.select(*[df[c] for c in df.columns], *measure_columns())
     return tap("ocr_with_payments", clean,
                unmatched=F.count_if(F.col("eff_date_last_payment").isNull()))

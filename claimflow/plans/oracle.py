@@ -9,10 +9,12 @@ names match the Spark queries exactly.
 from __future__ import annotations
 
 from ..sources.fixture_sql import PARAMS_SQL, with_entities
+from ..operators.predicates import EXCLUDED_CLOSED_REASONS
 from .acr import ACR_COLUMNS
 from .ocr import OCR_COLUMNS
 
 S, E = PARAMS_SQL
+_REASONS = "(" + ", ".join(f"'{r}'" for r in EXCLUDED_CLOSED_REASONS) + ")"
 
 
 def _q(name: str) -> str:
@@ -32,17 +34,21 @@ PRIMARY = f"(NOT {SC_ANY} AND NOT {SCADD} AND NOT {ADD_ANY})"
 CTE = {
     "payments": f"""
         SELECT bc.name AS benefit_claimed_name, pc.name AS contribution_name, pc.amount,
-               pc.start, pc.through, pc.payment_release AS release, cl.name AS claim_name,
+               pc.start, pc.through, pm.release, cl.name AS claim_name,
                pc.line_number
         FROM payment_contribution pc
+        LEFT JOIN payment pm ON pm.id = pc.payment_id
         LEFT JOIN benefit_claimed bc ON bc.id = pc.benefit_claimed_id
         LEFT JOIN claim cl ON cl.id = bc.claim_id
-        WHERE cl.business_type = 'Group' AND pc.payment_status = 'Processed'
-          AND pc.payment_release <= {E}""",
+        WHERE cl.business_type = 'Group' AND pm.status = 'Processed'
+          AND pm.release <= {E}""",
     "rollup": """
         SELECT benefit_claimed_name,
                CASE WHEN count(amount) = count(*)
-                    THEN CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) END AS total_paid,
+                    THEN CASE WHEN bool_or(isnan(amount)) THEN CAST('NaN' AS DOUBLE)
+                              ELSE CAST(sum(CASE WHEN NOT isnan(amount) THEN CAST(
+                                       CAST(amount AS VARCHAR) AS DECIMAL(28,8)) END) AS DOUBLE)
+                         END END AS total_paid,
                CASE WHEN count(coalesce(start, release)) = count(*)
                     THEN min(coalesce(start, release)) END AS first_payment,
                CASE WHEN count(coalesce(through, release)) = count(*)
@@ -99,8 +105,7 @@ CTE = {
           AND (cl.form_received <= {E} OR bc.initial_under_assessment <= {E}
                OR bc.notification_date <= {E})
           AND (bc.closed_reason IS NULL OR bc.closed_reason = ''
-               OR bc.closed_reason NOT IN ('Duplicate Claim in the Administration System',
-                                           'Not a Legitimate Benefit'))""",
+               OR bc.closed_reason NOT IN {_REASONS})""",
     "ocr_typed": """
         SELECT *, date_of_disability AS date_incurred,
                waiting_period + waiting_period_extension AS waiting_period_total,
@@ -179,9 +184,10 @@ CTE = {
                bc.benefit_period, bc.expected_closure, bc.end_of_benefit_period,
                bc.closure_date, po.in_super, cl.name AS claim_name, b.name AS benefit_name,
                pc.name AS contribution_name, pc.amount, pc.start, pc.through,
-               pc.payment_start, pc.payment_release, pc.payment_status,
-               pc.payment_pas_reference
+               pm.start AS payment_start, pm.release AS payment_release,
+               pm.status AS payment_status, pm.pas_reference AS payment_pas_reference
         FROM payment_contribution pc
+        LEFT JOIN payment pm ON pm.id = pc.payment_id
         LEFT JOIN benefit_claimed bc ON bc.id = pc.benefit_claimed_id
         LEFT JOIN claim cl ON cl.id = bc.claim_id
         LEFT JOIN policy po ON po.id = cl.policy_id
@@ -192,7 +198,7 @@ CTE = {
         WHERE cl.business_type = 'Group'
           AND cl.claim_type IN ('Claim', 'Post Claim')
           AND cl.status IS DISTINCT FROM 'Incomplete'
-          AND pc.payment_release >= {S}""",
+          AND pm.release >= {S}""",
     "acr_frame": f"""
         SELECT a.* REPLACE (CAST(a.date_of_disability AS VARCHAR) AS date_of_disability,
                             CAST(a.payment_release AS VARCHAR) AS payment_release,
@@ -209,16 +215,20 @@ CTE = {
     "typed_text": """
         SELECT name AS contribution_name, line_number,
                CASE WHEN amount IS NULL THEN NULL
-                    WHEN benefit_claimed_id % 7 = 0 THEN 'abc'
-                    WHEN benefit_claimed_id % 7 = 1 THEN ''
-                    ELSE CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) END AS amount_text,
-               CASE (benefit_claimed_id + line_number) % 6
-                    WHEN 0 THEN strftime(payment_release, '%Y-%m-%d')
-                    WHEN 1 THEN strftime(payment_release, '%Y/%m/%d')
-                    WHEN 2 THEN strftime(payment_release, '%Y%m%d')
-                    WHEN 3 THEN strftime(payment_release, '%Y-%m-%d') || 'T23:30:00.000Z'
+                    WHEN k % 7 = 0 THEN 'abc' WHEN k % 7 = 1 THEN '' WHEN k % 7 = 2 THEN '12d'
+                    WHEN k % 7 = 3 THEN 'NaN' WHEN k % 7 = 4 THEN ' 1.5e3 '
+                    WHEN NOT isnan(amount)
+                    THEN CAST(CAST(CAST(amount AS VARCHAR) AS DECIMAL(28,2)) AS VARCHAR) END
+                   AS amount_text,
+               CASE (k + line_number) % 6
+                    WHEN 0 THEN strftime(release, '%Y-%m-%d')
+                    WHEN 1 THEN strftime(release, '%Y/%m/%d')
+                    WHEN 2 THEN strftime(release, '%Y%m%d')
+                    WHEN 3 THEN strftime(release, '%Y-%m-%d') || 'T23:30:00.000Z'
                     WHEN 4 THEN 'junk' END AS release_text
-        FROM payment_contribution""",
+        FROM (SELECT pc.name, pc.line_number, pc.amount, pm.release,
+                     CAST(pc.benefit_claimed_id AS BIGINT) AS k
+              FROM payment_contribution pc LEFT JOIN payment pm ON pm.id = pc.payment_id)""",
 }
 
 
@@ -272,11 +282,12 @@ def _audit_sql() -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "relate_paths": with_entities(select="""
-        SELECT pc.name AS contribution_name, bc.name AS benefit_claimed_name,
+        SELECT pc.name AS contribution_name, pm.name AS payment_name, bc.name AS benefit_claimed_name,
                cl.name AS claim_name, po.name AS policy_name, sc.number AS scheme_number,
                org.name AS organisation, b.name AS benefit_name,
                ct.last_name AS claimant_last_name, ow.name AS claim_owner
         FROM payment_contribution pc
+        LEFT JOIN payment pm ON pm.id = pc.payment_id
         LEFT JOIN benefit_claimed bc ON bc.id = pc.benefit_claimed_id
         LEFT JOIN claim cl ON cl.id = bc.claim_id
         LEFT JOIN policy po ON po.id = cl.policy_id
@@ -291,7 +302,8 @@ ORACLE_SQL: dict[str, str] = {
     "acr_base": _sql("SELECT * FROM acr_base", "acr_base"),
     "typed_casts": _sql(f"""
         SELECT contribution_name, line_number, amount_text,
-               TRY_CAST(amount_text AS DOUBLE) AS amount, release_text,
+               CASE WHEN regexp_full_match(trim(amount_text), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')
+                    THEN TRY_CAST(trim(amount_text) AS DOUBLE) END AS amount, release_text,
                {_DATE_PARSE} AS release
         FROM typed_text""", "typed_text"),
     "prior_month_end": with_entities(select="""
@@ -303,11 +315,10 @@ ORACLE_SQL: dict[str, str] = {
         FROM benefit_claimed bc LEFT JOIN claim cl ON cl.id = bc.claim_id
         WHERE cl.form_received <= {E} OR bc.initial_under_assessment <= {E}
               OR bc.notification_date <= {E}"""),
-    "closed_reason": with_entities(select="""
+    "closed_reason": with_entities(select=f"""
         SELECT name, closed_reason FROM benefit_claimed
         WHERE closed_reason IS NULL OR closed_reason = ''
-              OR closed_reason NOT IN ('Duplicate Claim in the Administration System',
-                                       'Not a Legitimate Benefit')"""),
+              OR closed_reason NOT IN {_REASONS}"""),
     "open_at": _sql("SELECT name, status, closure_date FROM ocr_open",
                     "ocr_base", "ocr_typed", "ocr_open"),
     "benefit_class": with_entities(select=f"""

@@ -8,8 +8,10 @@ partitions and splits skewed ones at runtime).
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import contextvars
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -30,6 +32,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # chained joins on one key share a partitioning; split a hot partition all the
+    # same, at the price of one more shuffle after it
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Spark's own size check before broadcasting a join side (static stats,
     # then AQE on actual shuffle sizes); larger sides shuffle instead.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -61,9 +66,11 @@ def get_session(master: str | None = None, app_name: str = "claimflow",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only a local session without one gets a fresh temporary folder; a cluster
-    session must name a shared folder, since a machine-local path is not
-    visible to executors and is lost with them.
+    Only an application whose executors run in this very process (``local``,
+    ``local[n]``) gets a temporary folder when it names none, removed when the
+    process ends; any cluster, ``local-cluster`` included, must name a shared
+    folder, since a machine-local path is not visible to executors and is lost
+    with them.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -71,10 +78,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
-    path = tempfile.mkdtemp(prefix="claimflow-ckpt-")
-    sc.setCheckpointDir(path)
+    own = tempfile.TemporaryDirectory(prefix="claimflow-ckpt-")
+    atexit.register(own.cleanup)
+    sc.setCheckpointDir(own.name)
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -124,10 +132,10 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     retention of the checkpoint folder.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
     staged = _STAGED.get()
     if staged is not None:
-        staged.append(path)
+        staged.append(path)  # before the write: a failed one leaves files too
+    df.write.parquet(path)
     # the schema is known: no footer-reading job to infer it on the way back
     schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata)
                            for f in df.schema.fields])

@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import as_date, as_number
+from ..functions.casts import as_date, as_number, date_column
 from ..operators import predicates as P
 from ..operators.relate import relate
 
@@ -26,7 +26,7 @@ PAYMENT_FIELDS = {
     "amount": "amount",
     "start": "start",
     "through": "through",
-    "release": "payment_release",
+    "release": "payment.release",
     "claim_name": "benefit_claimed.claim.name",
     "line_number": "line_number",
 }
@@ -114,10 +114,10 @@ ACR_FIELDS = {
     "amount": "amount",
     "start": "start",
     "through": "through",
-    "payment_start": "payment_start",
-    "payment_release": "payment_release",
-    "payment_status": "payment_status",
-    "payment_pas_reference": "payment_pas_reference",
+    "payment_start": "payment.start",
+    "payment_release": "payment.release",
+    "payment_status": "payment.status",
+    "payment_pas_reference": "payment.pas_reference",
 }
 
 
@@ -129,13 +129,13 @@ def payments_extract(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataF
     """Processed payments of group claims released up to ``rep_end`` (all history)."""
     df = relate(tables, "payment_contribution", {**PAYMENT_FIELDS, **_hidden({
         "business_type": "benefit_claimed.claim.business_type",
-        "payment_status": "payment_status",
-        "release_month": "payment_release_month"})})
+        "payment_status": "payment.status",
+        "release_month": "payment.release_month"})})
+    df = as_date(as_number(df, ["amount"]), ["start", "through", "release"])
     df = df.filter(P.is_group_business(F.col("_business_type"))
                    & P.processed_by(F.col("_payment_status"), F.col("release"), rep_end,
                                     F.col("_release_month")))
-    df = df.drop("_business_type", "_payment_status", "_release_month")
-    return as_date(as_number(df, ["amount"]), ["start", "through", "release"])
+    return df.drop("_business_type", "_payment_status", "_release_month")
 
 
 def diagnosis_extract(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -147,24 +147,42 @@ def diagnosis_extract(tables: Mapping[str, DataFrame]) -> DataFrame:
     return as_date(df, ["start", "created"])
 
 
-def ocr_base(tables: Mapping[str, DataFrame], rep_end: dt.date,
-             extra: Mapping[str, str] | None = None) -> DataFrame:
-    """Benefits claimed of in-scope group claims, reported by ``rep_end``."""
-    df = relate(tables, "benefit_claimed", {**OCR_FIELDS, **(extra or {}), **_hidden({
-        "business_type": "claim.business_type",
-        "claim_type": "claim.claim_type",
-        "form_received": "claim.form_received",
-        "initial_under_assessment": "initial_under_assessment"})})
+OCR_SCOPE_FIELDS = {
+    "business_type": "claim.business_type",
+    "claim_type": "claim.claim_type",
+    "scope_claim_status": "claim.status",
+    "form_received": "claim.form_received",
+}
+
+
+def benefits_in_scope(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
+    """The benefit-claimed rows of the open-claims extract, their own columns only.
+
+    Reads of the parents just the claim fields that are tested, so that whatever
+    is filtered next is filtered before the wide parents are joined.
+    """
+    own = {c: c for c in tables["benefit_claimed"].columns}
+    df = relate(tables, "benefit_claimed", {**own, **_hidden(OCR_SCOPE_FIELDS)})
     df = df.filter(
         P.is_group_business(F.col("_business_type"))
         & P.claim_type_in_scope(F.col("_claim_type"))
-        & P.differs_from(F.col("claim_status"), P.INCOMPLETE_CLAIM)
+        & P.differs_from(F.col("_scope_claim_status"), P.INCOMPLETE_CLAIM)
         & P.differs_from(F.col("status"), P.SUSPENDED_BENEFIT)
-        & P.reported_by(rep_end, F.col("_form_received"), F.col("_initial_under_assessment"),
-                        F.col("notification_date"))
+        & P.reported_by(rep_end, date_column(df, "_form_received"),
+                        date_column(df, "initial_under_assessment"),
+                        date_column(df, "notification_date"))
         & P.closed_reason_in_scope(F.col("closed_reason")))
-    return df.drop("_business_type", "_claim_type", "_form_received",
-                   "_initial_under_assessment")
+    return df.drop(*_hidden(OCR_SCOPE_FIELDS))
+
+
+def ocr_base(tables: Mapping[str, DataFrame], rep_end: dt.date,
+             extra: Mapping[str, str] | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """Benefits claimed of in-scope group claims, reported by ``rep_end``.
+
+    ``rows`` are :func:`benefits_in_scope`, already filtered further.
+    """
+    fact = benefits_in_scope(tables, rep_end) if rows is None else rows
+    return relate(tables, "benefit_claimed", {**OCR_FIELDS, **(extra or {})}, fact=fact)
 
 
 def acr_base(tables: Mapping[str, DataFrame], rep_start: dt.date,
@@ -175,10 +193,10 @@ def acr_base(tables: Mapping[str, DataFrame], rep_start: dt.date,
         "business_type": "benefit_claimed.claim.business_type",
         "claim_type": "benefit_claimed.claim.claim_type",
         "claim_status": "benefit_claimed.claim.status",
-        "release_month": "payment_release_month"})})
+        "release_month": "payment.release_month"})})
     df = df.filter(
         P.is_group_business(F.col("_business_type"))
         & P.claim_type_in_scope(F.col("_claim_type"))
         & P.differs_from(F.col("_claim_status"), P.INCOMPLETE_CLAIM)
-        & P.released_from(F.col("payment_release"), rep_start, F.col("_release_month")))
+        & P.released_from(date_column(df, "payment_release"), rep_start, F.col("_release_month")))
     return df.drop("_business_type", "_claim_type", "_claim_status", "_release_month")

@@ -15,8 +15,8 @@ policy, claimant,  customer (1:1 with the claim)
 claim, journal
 benefit            distinct customer segments x the five order priorities
 benefit_claimed    orders (+ the customer's segment for the benefit id)
-payment_contrib.   lineitem; the parent payment is 1:1 with the line, so its
-                   fields are carried on the row as ``payment_*`` columns
+payment_contrib.   lineitem, with a few amounts missing, NaN, below a cent or huge
+payment            lineitem, 1:1 with the line; some release months not filled
 diagnosis          events
 =================  ==========================================================
 """
@@ -28,6 +28,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.predicates import EXCLUDED_CLOSED_REASONS
+from ..operators.relate import relate
+
 # Fixed values of the fixture mapping (not taken from any source system).
 # Reporting period used by every registered query.
 REP_START = dt.date(1999, 1, 1)
@@ -84,37 +87,37 @@ def _build_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     eid = F.col("event_id")
 
     organisation = region.select(
-        F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("name")
+        _s(F.col("r_regionkey").cast("bigint")).alias("id"), F.col("r_name").alias("name")
     )
     scheme = nation.select(
-        F.col("n_nationkey").cast("bigint").alias("id"),
+        _s(F.col("n_nationkey").cast("bigint")).alias("id"),
         F.concat(F.lit("SCH"), F.lpad(_s(F.col("n_nationkey")), 5, "0")).alias("number"),
         F.col("n_name").alias("name"),
-        F.col("n_regionkey").cast("bigint").alias("organisation_id"),
+        _s(F.col("n_regionkey").cast("bigint")).alias("organisation_id"),
     )
     user = nation.select(
-        F.col("n_nationkey").cast("bigint").alias("id"),
+        _s(F.col("n_nationkey").cast("bigint")).alias("id"),
         F.concat(F.lit("User "), F.col("n_name")).alias("name"),
     )
     policy = customer.select(
-        ck.alias("id"),
+        _s(ck).alias("id"),
         F.concat(F.lit("POL"), F.lpad(_s(ck), 9, "0")).alias("name"),
         F.when(ck % 3 != 0, F.concat(F.lit("L"), _s(ck))).alias("legacy_member_number"),
         F.concat(F.lit("M"), _s(ck)).alias("member_number"),
         F.concat(F.lit("P"), _s(ck)).alias("pas_member_id"),
         _s(_days("1990-01-01", ck % 3650)).alias("date_joined_fund"),
         F.when(F.col("c_acctbal") >= 0, "Yes").otherwise("No").alias("in_super"),
-        F.col("c_nationkey").cast("bigint").alias("scheme_id"),
+        _s(F.col("c_nationkey").cast("bigint")).alias("scheme_id"),
     )
     claimant = customer.select(
-        ck.alias("id"),
+        _s(ck).alias("id"),
         F.concat(F.lit("First"), _s(ck)).alias("first_name"),
         F.concat(F.lit("Last"), _s(ck)).alias("last_name"),
         _s(_days("1950-01-01", (ck * 37) % 15000)).alias("birthdate"),
         F.when(ck % 2 == 0, "Female").otherwise("Male").alias("gender"),
     )
     claim = customer.select(
-        ck.alias("id"),
+        _s(ck).alias("id"),
         F.col("c_name").alias("name"),
         F.when(ck % 20 == 5, "Incomplete").when(ck % 20 == 6, None).otherwise("Open")
         .alias("status"),
@@ -124,9 +127,9 @@ def _build_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .alias("business_type"),
         F.when(ck % 7 != 0, _days("1995-01-01", ck % 2500)).alias("form_received"),
         F.concat(F.lit("Team "), _s(ck % 4 + 1)).alias("team"),
-        ck.alias("policy_id"),
-        ck.alias("claimant_id"),
-        (ck % 25).alias("owner_id"),
+        _s(ck).alias("policy_id"),
+        _s(ck).alias("claimant_id"),
+        _s(ck % 25).alias("owner_id"),
     )
     # 5 priorities per distinct segment: a generator, not a join.
     prio_name = F.lit(None).cast("string")
@@ -149,14 +152,15 @@ def _build_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     status = F.col("o_orderstatus")
     benefit_claimed = o.select(
-        ok.alias("id"),
-        _s(ok).alias("name"),
+        _s(ok).alias("id"),
+        F.when(ok % 101 == 5, F.concat(F.lit("Shared "), _s(ok % 13)))
+        .when(ok % 103 != 7, _s(ok)).alias("name"),
         F.concat(F.lit("Variant "), _s(ok % 7)).alias("product_name"),
         F.when(ok % 50 == 7, "Suspended").when(ok % 50 == 8, None)
         .when(status == "F", "Closed").when(status == "P", "Open")
         .when(status == "O", "Approved").alias("status"),
-        F.when(ok % 25 == 3, "Duplicate Claim in the Administration System")
-        .when(ok % 25 == 4, "Not a Legitimate Benefit")
+        F.when(ok % 25 == 3, EXCLUDED_CLOSED_REASONS[0])
+        .when(ok % 25 == 4, EXCLUDED_CLOSED_REASONS[1])
         .when(ok % 25 == 5, "")
         .when(ok % 25 == 6, "Withdrawn").alias("closed_reason"),
         F.when(status == "F", "Finalised").otherwise("Active").alias("benefit_status_recorded"),
@@ -177,29 +181,38 @@ def _build_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(ok % 11 == 0, "Data Update").alias("reopened_reason"),
         _s(F.date_add(odate, 730)).alias("expected_closure"),
         _s(F.date_add(odate, 1825)).alias("end_of_benefit_period"),
-        F.col("o_custkey").alias("claim_id"),
+        _s(F.col("o_custkey")).alias("claim_id"),
         F.concat(F.col("o_orderpriority"), F.lit("|"), F.col("c_mktsegment")).alias("benefit_id"),
-        (ok % 25).alias("modified_by_id"),
+        _s(ok % 25).alias("modified_by_id"),
     )
     lk, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    # order and line numbers repeat; with part, supplier and day the line is unique
+    pay_id = F.concat_ws("-", F.lit("P"), _s(lk), _s(ln), _s(F.col("l_partkey")),
+                         _s(F.col("l_suppkey")), F.date_format(ship, "yyyyMMdd"))
     payment_contribution = lineitem.select(
         F.concat(F.lit("PC-"), _s(lk), F.lit("-"), _s(ln)).alias("name"),
         ln.alias("line_number"),
-        F.when(F.col("l_partkey") % 500 != 1, F.col("l_extendedprice")).alias("amount"),
+        F.when(F.col("l_partkey") % 500 == 1, None)
+        .when(lk % 997 == 3, F.lit(float("nan")))
+        .when((lk % 1009 == 4) & (ln == 1), F.lit(1e17))
+        .when(lk % 211 == 6, F.lit(0.005))
+        .otherwise(F.col("l_extendedprice")).alias("amount"),
         F.when(ln != 1, F.date_sub(ship, 30)).alias("start"),
         F.when(ln != 2, F.date_sub(ship, 1)).alias("through"),
-        lk.alias("benefit_claimed_id"),
-        ship.alias("payment_release"),
-        F.when(F.col("l_returnflag") == "N", "Pending").otherwise("Processed")
-        .alias("payment_status"),
-        _s(F.date_sub(ship, 30)).alias("payment_start"),
-        F.concat(F.lit("PAS"), F.lpad(_s(F.col("l_suppkey")), 8, "0"))
-        .alias("payment_pas_reference"),
+        _s(lk).alias("benefit_claimed_id"),
+        pay_id.alias("payment_id"),
+    )
+    payment = lineitem.select(
+        pay_id.alias("id"),
         F.concat(F.lit("PAY-"), _s(lk), F.lit("-"), F.date_format(ship, "yyyyMMdd"))
-        .alias("payment_name"),
-        F.trunc(ship, "month").alias("payment_release_month"),
+        .alias("name"),
+        F.when(F.col("l_returnflag") == "N", "Pending").otherwise("Processed").alias("status"),
+        ship.alias("release"),
+        _s(F.date_sub(ship, 30)).alias("start"),
+        F.concat(F.lit("PAS"), F.lpad(_s(F.col("l_suppkey")), 8, "0")).alias("pas_reference"),
+        F.when(lk % 10 != 2, F.trunc(ship, "month")).alias("release_month"),
     )
-    journal = customer.select(ck.alias("id"), ck.alias("claim_id"))
+    journal = customer.select(_s(ck).alias("id"), _s(ck).alias("claim_id"))
     code = F.get_json_object(F.col("props"), "$.k")
     created = F.col("ts").cast("date")
     etype = F.col("event_type")
@@ -212,7 +225,7 @@ def _build_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .otherwise("Secondary").alias("type"),
         F.when(eid % 3 != 0, F.date_sub(created, (eid % 90).cast("int"))).alias("start"),
         created.alias("created"),
-        F.col("user_id").alias("journal_id"),
+        _s(F.col("user_id")).alias("journal_id"),
     )
     return {
         "organisation": organisation,
@@ -224,6 +237,7 @@ def _build_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "benefit": benefit,
         "benefit_claimed": benefit_claimed,
         "payment_contribution": payment_contribution,
+        "payment": payment,
         "journal": journal,
         "diagnosis": diagnosis,
     }
@@ -232,12 +246,15 @@ def _build_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def payment_text_extract(tables: dict[str, DataFrame]) -> DataFrame:
     """Payments as an untyped extract would deliver them: amounts and release
     dates as text, in rotating date formats, with junk and blanks mixed in."""
-    pc = tables["payment_contribution"]
-    k, rel = F.col("benefit_claimed_id"), F.col("payment_release")
+    pc = relate(tables, "payment_contribution", {
+        "name": "name", "line_number": "line_number", "amount": "amount",
+        "benefit_claimed_id": "benefit_claimed_id", "release": "payment.release"})
+    k, rel = F.col("benefit_claimed_id").cast("bigint"), F.col("release")
     fmt = (k + F.col("line_number")) % 6
     amount_text = (F.when(F.col("amount").isNull(), None)
-                   .when(k % 7 == 0, "abc").when(k % 7 == 1, "")
-                   .otherwise(F.col("amount").cast("decimal(18,2)").cast("string")))
+                   .when(k % 7 == 0, "abc").when(k % 7 == 1, "").when(k % 7 == 2, "12d")
+                   .when(k % 7 == 3, "NaN").when(k % 7 == 4, " 1.5e3 ")
+                   .otherwise(F.col("amount").try_cast("decimal(28,2)").cast("string")))
     release_text = (F.when(fmt == 0, F.date_format(rel, "yyyy-MM-dd"))
                     .when(fmt == 1, F.date_format(rel, "yyyy/MM/dd"))
                     .when(fmt == 2, F.date_format(rel, "yyyyMMdd"))

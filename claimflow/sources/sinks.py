@@ -2,9 +2,11 @@
 
 Spark writes a folder of part files per target (one file per task, written in
 parallel); nothing is funnelled through one task or the driver.  Doubles are
-written in plain notation (``12345678.9``, never ``1.23456789E7``) with the
-digits of Java's round-trip form, so a report read back with its schema is
-bit-exact; only non-finite or astronomically large values keep the exponent.
+written in plain notation (``12345678.9``, never ``1.23456789E7``) with all
+digits of Java's round-trip form, so a finite double read back is the same
+double; NaN and infinities are written as those words.  Outer blanks and line
+ends inside a field survive; a missing text and an empty one are both empty
+fields.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.audit import observed_value
+from ..session import materialize, staging_scope
+
 log = logging.getLogger(__name__)
 
 CSV_OPTIONS = {
@@ -26,10 +31,14 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "dateFormat": "yyyy-MM-dd",
+    "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
 }
-EMPTY_REPORT_NOTICE = "NO RECORDS! REPORT EXPORTED!"
+EMPTY_REPORT_NOTICE = "the report has a header and no rows"
 
 
+# The report file names.
 def ocr_file_name(rep_end: dt.date) -> str:
     return f"OCR_{rep_end.isoformat()}_modified.csv"
 
@@ -38,12 +47,24 @@ def acr_file_name(rep_start: dt.date, rep_end: dt.date) -> str:
     return f"ACR_{rep_start.isoformat()}_{rep_end.isoformat()}.csv"
 
 
+def _without_exponent(text: Column) -> Column:
+    sign, head, tail, exponent = (
+        F.regexp_extract(text, r"^(-?)(\d+)\.(\d+)E(-?\d+)$", k) for k in range(1, 5))
+    digits = F.concat(head, F.regexp_replace(tail, "0+$", ""))
+    point = F.length(head) + exponent.try_cast("int")      # digits before the point
+    plain = (F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+             .when(point >= F.length(digits), F.rpad(digits, point, "0"))
+             .otherwise(F.concat_ws(".", F.substring(digits, F.lit(1), point),
+                                    F.substring(digits, point + 1, F.length(digits)))))
+    return F.concat(sign, plain)
+
+
 def plain_number(c: Column) -> Column:
     """Double as plain-notation text with its round-trip digits."""
     text = c.cast("string")
-    fixed = text.try_cast("decimal(38,18)").cast("string")
-    trimmed = F.regexp_replace(F.regexp_replace(fixed, "0+$", ""), "[.]$", "")
-    return F.coalesce(trimmed, text)
+    # the rare exponent is expanded inside a lambda, outside of the generated code
+    return F.when(text.contains("E"), F.get(F.transform(F.array(text), _without_exponent), 0)) \
+        .otherwise(F.regexp_replace(text, r"\.0$", ""))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -55,25 +76,31 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a report back with its declared schema (no inference pass)."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true").csv(path)
 
 
 def write_report(df: DataFrame, targets: Sequence[str]) -> int:
     """Write ``df`` to every target folder; return its row count.
 
-    The report plan runs once, for the first target, with the row count
-    observed on the way (no extra job).  Further targets are distributed
-    copies read back from the first, so the plan is not recomputed.  An empty
+    The report plan runs once, with the row count observed on the way (no extra
+    job): straight into a single target, or into a staged table in the shared
+    folder from which every target is written, deleted afterwards.  An empty
     report still gets its header and a notice is logged.
     """
     if not targets:
         raise ValueError("no target")
     obs = Observation("report")
-    write_csv(df.observe(obs, F.count(F.lit(1)).alias("rows")), targets[0])
-    rows = int(obs.get["rows"])
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if len(targets) == 1:
+        write_csv(observed, targets[0])
+    else:
+        with staging_scope(df.sparkSession):
+            # any column name can be staged: positions stand in for the report's names
+            numbered = observed.toDF(*[f"c{i}" for i in range(len(df.columns))])
+            staged = materialize(numbered, "report").toDF(*df.columns)
+            for target in targets:
+                write_csv(staged, target)
+    rows = observed_value(obs, "rows")
     if rows == 0:
         log.warning("%s (%s)", EMPTY_REPORT_NOTICE, targets[0])
-    spark = df.sparkSession
-    for target in targets[1:]:
-        write_csv(read_csv(spark, targets[0], df.schema), target)
     return rows

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,9 +16,12 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from claimflow.session import get_session
 
-    s = get_session("local[4]", app_name="claimflow-tests", shuffle_partitions=8)
-    yield s
-    s.stop()
+    with tempfile.TemporaryDirectory(prefix="claimflow-tests-") as shared:
+        s = get_session("local[4]", app_name="claimflow-tests", shuffle_partitions=8,
+                        **{"spark.checkpoint.dir": f"file://{shared}/checkpoints",
+                           "spark.sql.warehouse.dir": f"file://{shared}/warehouse"})
+        yield s
+        s.stop()
 
 
 @pytest.fixture(scope="session")

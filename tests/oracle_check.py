@@ -14,7 +14,8 @@ import math
 
 import duckdb
 
-VIEWS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+VIEWS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+         "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -81,7 +82,7 @@ def main(argv):
     import __spark_entry__ as E
     from claimflow.session import get_session
 
-    sf_dir, names = argv[0], argv[1:] or sorted(E.queries())
+    sf_dir, names = argv[0], argv[1:] or sorted(E.oracle_sql())
     spark = get_session("local[8]", shuffle_partitions=8)
     con, sqls, failures = duck(sf_dir), E.oracle_sql(), 0
     for name in names:

@@ -45,9 +45,9 @@ def test_report_to_two_destinations_roundtrips(spark, fixture_tables):
     b = scratch_path(spark, "synced-" + ocr_file_name(REP_END))
     n = write_report(report, [a, b])
     assert n == report.count() > 0
-    expected = Counter(map(tuple, report.collect()))
+    expected = Counter(map(repr, report.collect()))
     for target in (a, b):
-        assert Counter(map(tuple, read_csv(spark, target, report.schema).collect())) == expected
+        assert Counter(map(repr, read_csv(spark, target, report.schema).collect())) == expected
 
 
 def test_file_names():
@@ -82,17 +82,18 @@ def test_result_unchanged_after_repartitioning_inputs(spark):
 
     t = entities(spark, SF_SMALL)
     shuffled = {k: v.repartition(7) for k, v in t.items()}
-    a = Counter(map(tuple, acr_report(t, REP_START).collect()))
-    b = Counter(map(tuple, acr_report(shuffled, REP_START).collect()))
+    a = Counter(map(repr, acr_report(t, REP_START).collect()))
+    b = Counter(map(repr, acr_report(shuffled, REP_START).collect()))
     assert a == b
 
 
 def test_entry_smoke(spark):
     import __spark_entry__ as E
+    from claimflow.plans.catalog import QUERIES
 
     df = E.entry(spark)
     assert df.count() > 0 and len(df.columns) == 54
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_audited_runs_match_stage_audit(spark):
