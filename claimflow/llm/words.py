@@ -93,7 +93,7 @@ def _pieces(data: np.ndarray, a: int, b: int) -> Iterator[tuple[int, int]]:
                 cut = a + int(at[-1]) + 1
             else:  # one word longer than a slice
                 step = a + SLICE
-                while step < b and not len(at := np.flatnonzero(_SPACE[data[step:step + SLICE]])):
+                while step < b and not len(at := np.flatnonzero(_SPACE[data[step:min(step + SLICE, b)]])):
                     step += SLICE
                 cut = step + int(at[0]) + 1 if step < b else b
         yield a, cut
