@@ -153,9 +153,9 @@ def stage_exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rows = docs.withColumn("digest", digest(F.col("text"))) if "digest" in keys else docs
     if dropped.filter("doc_id IS NULL").limit(1).count():
         gone = [rows[k].eqNullSafe(dropped[k]) for k in keys]
-        kept = rows.join(dropped, gone, "left_anti")
+        kept = rows.join(dropped.hint("merge"), gone, "left_anti")
     else:
-        kept = rows.join(dropped, keys, "left_anti")
+        kept = rows.join(dropped.hint("merge"), keys, "left_anti")
     if repeated:
         kept = kept.dropDuplicates(["doc_id", "digest"])
     return kept.select(*docs.columns)

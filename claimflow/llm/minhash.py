@@ -120,6 +120,12 @@ def shingle_sets(docs: DataFrame, size: int = 3) -> DataFrame:
         make, "doc_id long, shingles array<long>").filter("size(shingles) > 0")
 
 
+def named_docs(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with one of the ids: one sort-merge join at every size, so that
+    a run's needs grow with its input and not in steps."""
+    return docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
+
+
 def confirm(run: Scratch, docs: DataFrame, pairs: DataFrame, size: int, percent: int, tag: str) -> DataFrame:
     """The (a, b) of ``pairs`` whose whole shingle sets are similar enough.
 
@@ -128,7 +134,7 @@ def confirm(run: Scratch, docs: DataFrame, pairs: DataFrame, size: int, percent:
     """
     ids = run.stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(
         F.count("*").alias("pairs")), f"{tag}-ids")
-    sets = run.stage(shingle_sets(docs.join(ids.select("doc_id"), "doc_id", "left_semi"), size).join(ids, "doc_id")
+    sets = run.stage(shingle_sets(named_docs(docs, ids.select("doc_id")), size).join(ids, "doc_id")
                      .select("doc_id", "shingles", F.ceil(F.col("pairs") / PER_KEY).cast("int").alias("copies")),
                      f"{tag}-sets")
     spread = sets.select("doc_id", "shingles", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
@@ -186,7 +192,7 @@ def leftover_links(run: Scratch, docs: DataFrame, keys: DataFrame, roots: DataFr
         .select("key", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
     members = run.stage(lookup(labelled, mixed, ["key"], "n").distinct(), "members")
     ids = members.select(F.col("class_id").alias("doc_id")).distinct()
-    sets = run.stage(shingle_sets(docs.join(ids, "doc_id", "left_semi"), size), "member-sets")
+    sets = run.stage(shingle_sets(named_docs(docs, ids), size), "member-sets")
     # every two blocks of a bucket meet once: block i of a member goes to (i, j) and (j, i)
     block = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
     placed = members.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -288,4 +294,4 @@ def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     with scratch(spark) as run:
         found = near_duplicates(run, docs, size=5, percent=80)
         dropped = run.result(found.filter("doc_id <> component_id").select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(*docs.columns)

@@ -200,6 +200,6 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     m, size = copies.withColumnsRenamed({"doc_id": "mix_id", "source": "mix_source", "size": "mix_size"}), \
         word_count(F.col("text"))
     taken = docs.withColumn("mix_words", size)
-    joined = taken.join(m, taken["doc_id"].eqNullSafe(m["mix_id"]) & taken["source"].eqNullSafe(m["mix_source"])
+    joined = taken.join(m.hint("merge"), taken["doc_id"].eqNullSafe(m["mix_id"]) & taken["source"].eqNullSafe(m["mix_source"])
                         & (taken["mix_words"] == m["mix_size"]))
     return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
