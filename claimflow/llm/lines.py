@@ -35,46 +35,109 @@ def _key(length: Column, number: int, text: Column) -> Column:
     return F.xxhash64(length, F.lit(number), text)
 
 
+# Characters whose numbers are compared before anything else.
+COUNTED = "etaoinshrdlucmg"
+
+
+def counts(line: Column) -> Column:
+    """How often a line has each counted character, modulo 16, four bits each."""
+    out = F.lit(0).cast("long")
+    for k, char in enumerate(COUNTED):
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(char), F.lit("")))
+        out = out.bitwiseOR(F.shiftleft((n % 16).cast("long"), 4 * k))
+    return out
+
+
+def alike(x: Column, y: Column, edits: int) -> Column:
+    """An edit changes the counts by two at most, so lines within reach differ by ``2 * edits``."""
+    total = F.lit(0).cast("long")
+    for k in range(len(COUNTED)):
+        d = F.abs(F.shiftright(x, 4 * k).bitwiseAND(F.lit(15)) - F.shiftright(y, 4 * k).bitwiseAND(F.lit(15)))
+        total = total + F.least(d, 16 - d)
+    return total <= 2 * edits
+
+
 def index_keys(line: Column, length: Column, edits: int) -> Column:
     """The keys of a line's own segments."""
     return F.array(*[_key(length, k, F.substring(line, *_segment(length, k, edits))) for k in range(1, edits + 2)])
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
+def probe_keys(line: Column, length: Column, edits: int) -> tuple[list[Column], list[Column]]:
     """The keys by which a line can meet lines of its own length or up to ``edits`` shorter.
 
     If segment k is the first that matches, each segment before it holds an edit,
     and so does, seen from the end, each one after it: that bounds how far the match
-    is shifted from either side.
+    is shifted from either side.  Returns the keys for lines of the same length and
+    those for shorter ones.
     """
-    keys = []
+    equal, keys = [], []
     for shorter in range(edits + 1):
         other = length - shorter
         for k in range(1, edits + 2):
             start, size = _segment(other, k, edits)
             before, after = k - 1, edits + 1 - k
             for shift in range(max(-before, shorter - after), min(before, shorter + after) + 1):
-                keys.append(_key(other, k, F.substring(line, start + shift, size)))
-    return F.array(*keys)
+                (keys if shorter else equal).append(_key(other, k, F.substring(line, start + shift, size)))
+    return equal, keys
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def common_prefix(a: Column, b: Column) -> Column:
+    """Length of the longest common prefix, found by halving steps."""
+    shorter = F.least(F.length(a), F.length(b))
+    steps = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(shorter + 1.0)).cast("int")),
+                        lambda k: F.floor(F.pow(F.lit(2.0), F.ceil(F.log2(shorter + 1.0)) - k)).cast("int"))
+
+    def longer(at: Column, step: Column) -> Column:
+        same = F.substring(a, at + 1, step) == F.substring(b, at + 1, step)
+        return F.when((at + step <= shorter) & same, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), longer)
 
 
 def within(a: Column, b: Column, edits: int) -> Column:
-    """Whether two lines are within ``edits`` edits: banded bit-parallel columns.
+    """Whether two lines are within ``edits`` edits.
+
+    What the lines have in common at both ends cannot matter and is left out; the
+    rest is compared by :func:`_banded`.
+    """
+    def middle(head: Column) -> Column:
+        return F.struct(F.substring(a, head + 1, F.length(a)).alias("a"), F.substring(b, head + 1, F.length(b)).alias("b"))
+
+    def ends(m: Column) -> Column:
+        def cut(tail: Column) -> Column:
+            return _banded(F.substring(m["a"], F.lit(1), F.length(m["a"]) - tail),
+                           F.substring(m["b"], F.lit(1), F.length(m["b"]) - tail), edits)
+
+        return _let(common_prefix(F.reverse(m["a"]), F.reverse(m["b"])), cut)
+
+    far = F.abs(F.length(a) - F.length(b)) > edits
+    return F.when(a == b, F.lit(True)).when(far, F.lit(False)).otherwise(
+        _let(common_prefix(a, b), lambda head: _let(middle(head), ends)))
+
+
+def _banded(a: Column, b: Column, edits: int) -> Column:
+    """Banded bit-parallel columns.
 
     Bit k of a column word is the row ``column - edits + k``.  ``up`` and ``down`` mark
     rows whose value is one more or one less than the row above; the value on the
     diagonal that ends in the last cell is carried along.  Once it is beyond
     ``edits`` the columns are skipped.
     """
-    x, y = F.split(a, ""), F.split(b, "")
+    return _let(F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y"), F.length(a).alias("n"),
+                         F.length(b).alias("m")), lambda t: _columns(t, edits))
+
+
+def _columns(t: Column, edits: int) -> Column:
+    x, y, n, m = t["x"], t["y"], t["n"], t["m"]
     width = 2 * edits + 1
     mask = (1 << width) - 1
-    diagonal = F.length(a) - F.length(b)
     start = F.struct(F.lit(mask & ~((1 << edits) - 1)).cast("long").alias("up"), F.lit(0).cast("long").alias("down"),
-                     F.greatest(diagonal, F.lit(0)).cast("int").alias("value"))
-
-    def let(value: Column, use) -> Column:
-        return F.get(F.transform(F.array(value), use), 0)
+                     F.greatest(n - m, F.lit(0)).cast("int").alias("value"))
 
     def column(state: Column, j: Column) -> Column:
         char = F.get(y, j - 1)
@@ -89,7 +152,7 @@ def within(a: Column, b: Column, edits: int) -> Column:
             right = down.bitwiseOR(F.bitwise_not(zero.bitwiseOR(up))).bitwiseAND(F.lit(mask))
             left = zero.bitwiseAND(up)
             shifted = F.shiftright(zero, 1)
-            same = F.call_function("shiftright", zero, (diagonal + edits).cast("int")).bitwiseAND(F.lit(1))
+            same = F.call_function("shiftright", zero, (n - m + edits).cast("int")).bitwiseAND(F.lit(1))
             return F.struct(
                 left.bitwiseOR(F.bitwise_not(shifted.bitwiseOR(right))).bitwiseAND(F.lit(mask)).alias("up"),
                 shifted.bitwiseAND(right).alias("down"),
@@ -103,12 +166,10 @@ def within(a: Column, b: Column, edits: int) -> Column:
 
         met = F.struct(equal.alias("equal"), state["up"].alias("up"), state["down"].alias("down"),
                        state["value"].alias("value"))
-        return F.when(state["value"] > edits, state).otherwise(let(let(met, zeros), moved))
+        return F.when(state["value"] > edits, state).otherwise(_let(_let(met, zeros), moved))
 
-    far = F.abs(diagonal) > edits
-    value = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(b), F.lit(1))), start, column, lambda s: s["value"])
-    return F.when(a == b, F.lit(True)).when(far, F.lit(False)).when(F.length(b) == 0, F.length(a) <= edits) \
-        .otherwise(value <= edits)
+    value = F.aggregate(F.sequence(F.lit(1), F.greatest(m, F.lit(1))), start, column, lambda s: s["value"])
+    return F.when((n == 0) | (m == 0), n + m <= edits).otherwise(value <= edits)
 
 
 def distinct_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -120,17 +181,26 @@ def distinct_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def edit_links(run: Scratch, lines: DataFrame, edits: int, shortest: int) -> DataFrame:
-    """(a, b) ids of the lines (id, line) that are within ``edits`` edits."""
-    long = lines.filter(F.length("line") >= shortest)
+    """(a, b) ids of the lines (id, line) that are within ``edits`` edits, a < b."""
     length = F.length("line")
-    index = long.select(F.col("id").alias("a"), length.alias("a_length"),
+    # counted below the explode: once for each line, not for each of its keys
+    long = lines.filter(length >= shortest).select("id", "line", counts(F.col("line")).alias("counts"))
+    index = long.select(F.col("id").alias("a"), F.col("counts").alias("x"),
                         F.explode(index_keys(F.col("line"), length, edits)).alias("key"))
-    probe = long.select(F.col("id").alias("b"), length.alias("b_length"),
-                        F.explode(probe_keys(F.col("line"), length, edits)).alias("key"))
-    # a key that one line alone has on the index side and nobody else probes meets nothing
-    apart = (F.col("a") != F.col("b")) & ((F.col("a_length") < F.col("b_length")) | (F.col("a") < F.col("b")))
-    pairs = run.stage(index.join(probe, "key").filter(apart).select("a", "b").distinct(), "pairs")
-    texts = lines.select("id", "line")
+    equal, others = probe_keys(F.col("line"), length, edits)
+    marked = F.array(*[F.struct(k.alias("key"), F.lit(same).alias("same")) for ks, same in ((equal, 1), (others, 0))
+                       for k in ks])
+    # one bit beyond the counts says that the probed length is the line's own
+    probe = long.select(F.col("id").alias("b"), F.col("counts").alias("y"), F.explode(marked).alias("k")).select(
+        "b", F.col("y").bitwiseOR(F.shiftleft(F.col("k.same").cast("long"), 4 * len(COUNTED))).alias("y"), "k.key")
+    # the counts are compared inside the join: what cannot match is no row of it
+    once = (F.shiftright("y", 4 * len(COUNTED)) == 0) | (F.col("a") < F.col("b"))
+    met = index.join(probe, (index["key"] == probe["key"]) & (F.col("a") != F.col("b")) & once
+                     & alike(F.col("x"), F.col("y"), edits))
+    pairs = run.stage(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    # only the lines that met another one go on
+    texts = run.stage_texts(lines.select("id", "line").join(ids, "id", "left_semi"), "met")
     one = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
     two = one.join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     return run.stage(two.filter(within(F.col("x"), F.col("y"), edits)).select("a", "b"), "links")
@@ -147,8 +217,8 @@ def near_lines(run: Scratch, docs: DataFrame, edits: int = EDITS, shortest: int
     Lines of fewer than ``shortest`` characters are linked with nothing: two edits
     make them another line.  Other columns are not read.
     """
-    lines = run.stage(distinct_lines(docs), "lines")
-    named = run.stage(lines.withColumn("id", F.xxhash64("doc_id", "line_no")), "named")
+    # numbers given by the written table; the smallest place of a class is found by the place itself
+    named = run.stage_texts(distinct_lines(docs).withColumn("id", F.monotonically_increasing_id()), "lines")
     links = edit_links(run, named, edits, shortest)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = run.stage(both.groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "id"), "degree")
