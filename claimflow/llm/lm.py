@@ -6,13 +6,14 @@ word's share of the corpus, times 0.4.  Logarithms are whole millionths, so
 sums do not depend on their order.
 
 Counting and joining are one pass.  Word pairs, exploded from the texts, are
-shuffled to buckets by the hash of their second word, so that a bucket holds
-every occurrence of its words and pairs: it is the count table of that part of
-the hash range and the join with it at once.  The most common words (at most
-32,768, whatever the corpus) have their counts at hand everywhere, and their
-pairs are spread over all buckets by the first word.  The one count that a bucket
-lacks, that of a rare first word, is joined from the word table.  Sums per
-document end it.
+shuffled to buckets by hash, so that a bucket holds every occurrence of its words
+and pairs: it is the count table of that part of the hash range and the join with
+it at once.  The most common words (at most 32,768, whatever the corpus) have
+their counts at hand everywhere.  A pair goes to the bucket of its second word, if
+that is rare, else to that of its first word, if that is rare; pairs of common
+words are spread by the pair.  The one count that a bucket then lacks, that of a
+rare word before another rare one, is joined from the word table.  Sums per
+document end it.  All occurrences of one pair meet in one task.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from claimflow.llm.words import mix, word_hashes
 BACKOFF = 0.4
 LEAST = 2               # pairs seen less often are not in the table
 COMMON = 1 << 15        # a word is common when it is more than 1/COMMON of all words
-BUCKET_WORDS = 2_000_000
-COLD, START = 0xFFFE, 0xFFFF    # codes of a first word that is not common, or that there is none
+BUCKET_WORDS = 1_500_000
+COLD, START = 0xFFFE, 0xFFFF    # codes of a word that is not common, or that there is none
 _ROW = 1 << 33          # rows of a task, in its documents' numbers
 
 
@@ -69,8 +70,8 @@ def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
                                       ["word", "c"])
 
 
-PAIRS = ("bucket int, base long, ids array<long>, words binary, seconds binary, second_at binary, "
-         "first_code binary, first_cold binary, per_doc binary")
+PAIRS = ("bucket int, base long, ids array<long>, words binary, first binary, second binary, "
+         "rare binary, rare_at binary, per_doc binary")
 
 
 def exploded_pairs(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
@@ -109,28 +110,52 @@ def _found(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 
 def _packed(hashes: np.ndarray, first: np.ndarray, base: int, hot: np.ndarray, buckets: int) -> Iterator[dict]:
+    """A slice's positions by bucket: the codes of both words, and for rare ones
+    where they are in the bucket's list of rare words."""
     if not len(hashes):
         return
     before = np.concatenate([hashes[:1], hashes[:-1]])
     place = _found(hashes, hot)
-    code = np.concatenate([place[:1], place[:-1]])
-    code = np.where(code < 0, COLD, code)
+    second = np.where(place < 0, COLD, place)
+    code = np.concatenate([second[:1], second[:-1]])
     code[first[:-1][np.diff(first) > 0]] = START
-    route = np.where(place >= 0, mix(hashes ^ mix(before)), hashes) % np.uint64(buckets)
-    route[(place >= 0) & (code == START)] = 0   # a common word that begins a text needs no count
+    key = np.where(second == COLD, hashes, np.where(code == COLD, before, mix(hashes ^ mix(before))))
+    route = key % np.uint64(buckets)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     order = np.argsort(route, kind="stable")
-    cuts = np.flatnonzero(np.diff(route[order])) + 1
-    for at in np.split(order, cuts):
-        seconds, second_at = np.unique(hashes[at], return_inverse=True)
-        codes = code[at]
-        yield {"bucket": int(route[at[0]]), "base": base, "seconds": seconds.tobytes(),
-               "second_at": second_at.astype("<u2" if len(seconds) < 1 << 16 else "<u4").tobytes(),
-               "first_code": codes.astype("<u2").tobytes(), "first_cold": before[at][codes == COLD].tobytes(),
+    for at in np.split(order, np.flatnonzero(np.diff(route[order])) + 1):
+        codes, seconds = code[at], second[at]
+        # rare first words in order, then rare second words in order
+        rare, where = np.unique(np.concatenate([before[at][codes == COLD], hashes[at][seconds == COLD]]),
+                                return_inverse=True)
+        yield {"bucket": int(route[at[0]]), "base": base, "first": codes.astype("<u2").tobytes(),
+               "second": seconds.astype("<u2").tobytes(), "rare": rare.tobytes(),
+               "rare_at": where.astype("<u2" if len(rare) < 1 << 16 else "<u4").tobytes(),
                "per_doc": np.bincount(doc[at], minlength=len(first) - 1).astype("<u4").tobytes()}
 
 
-PARTS = ("base long, ids array<long>, words array<long>, docs array<int>, sums array<long>, hits array<long>, "
+def _unpacked(rows: list[dict], hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(first word, second word, first code, second code, document, sizes) of packed rows."""
+    firsts, seconds, codes, others, docs = [], [], [], [], []
+    for r in rows:
+        code, other = np.frombuffer(r["first"], "<u2"), np.frombuffer(r["second"], "<u2")
+        rare = np.frombuffer(r["rare"], np.uint64)
+        rare = rare[np.frombuffer(r["rare_at"], "<u2" if len(rare) < 1 << 16 else "<u4")]
+        cut = int((code == COLD).sum())
+        for out, c, own in ((firsts, code, rare[:cut]), (seconds, other, rare[cut:])):
+            words = np.zeros(len(c), np.uint64)
+            words[c == COLD] = own
+            words[c < COLD] = hot[c[c < COLD]]
+            out.append(words)
+        codes.append(code)
+        others.append(other)
+        per_doc = np.frombuffer(r["per_doc"], "<u4")
+        docs.append(np.repeat(np.arange(len(per_doc), dtype=np.int32), per_doc))
+    sizes = [len(c) for c in codes]
+    return (*(np.concatenate(x) for x in (firsts, seconds, codes, others, docs)), sizes)
+
+
+PARTS = ("base long, ids array<long>, words array<long>, docs array<int>, sums array<long>, hits array<int>, "
          "open_docs array<int>, open_words array<long>")
 _PART_TYPES = pa.schema([("base", pa.int64())] + [
     (c.split()[0], pa.list_(pa.int32() if "<int>" in c else pa.int64())) for c in PARTS.split(", ")[1:]])
@@ -143,51 +168,42 @@ def bucket_scores(pairs: DataFrame, common: np.ndarray, counts: np.ndarray, tota
 
     def join(table: pa.Table) -> pa.Table:
         hot, hot_counts = shared.value
-        rows = table.to_pylist()
+        packed = table.to_pylist()
         out = [{"base": r["base"], "ids": r["ids"], "words": np.frombuffer(r["words"], "<i8").tolist()}
-               for r in rows if r["words"] is not None]
-        rows = [r for r in rows if r["words"] is None]
-        if not rows:
+               for r in packed if r["words"] is not None]
+        packed = [r for r in packed if r["words"] is None]
+        if not packed:
             return pa.Table.from_pylist(out, _PART_TYPES)
-        second, first, code, doc, sizes = [], [], [], [], []
-        for r in rows:
-            distinct = np.frombuffer(r["seconds"], np.uint64)
-            second.append(distinct[np.frombuffer(r["second_at"], "<u2" if len(distinct) < 1 << 16 else "<u4")])
-            codes = np.frombuffer(r["first_code"], "<u2")
-            names = np.zeros(len(codes), np.uint64)
-            names[codes == COLD] = np.frombuffer(r["first_cold"], np.uint64)
-            known = codes < COLD
-            names[known] = hot[codes[known]]
-            first.append(names)
-            code.append(codes)
-            per_doc = np.frombuffer(r["per_doc"], "<u4")
-            doc.append(np.repeat(np.arange(len(per_doc), dtype=np.int32), per_doc))
-            sizes.append(len(codes))
-        second, first, code, doc = (np.concatenate(x) for x in (second, first, code, doc))
-        distinct, inverse, own = np.unique(second, return_inverse=True, return_counts=True)
-        place = _found(distinct, hot)
-        single = micro(np.where(place >= 0, hot_counts[place] if len(hot) else 0, own))[inverse]
+        first, second, code, other, doc, sizes = _unpacked(packed, hot)
+        # a rare word's occurrences are all here as second words
+        rare, times = np.unique(second[other == COLD], return_counts=True)
+        known = np.append(micro(hot_counts), 0)
+
+        def single(words: np.ndarray, codes: np.ndarray) -> np.ndarray:
+            logs = known[np.minimum(codes, len(known) - 1)]
+            if len(rare):
+                at = np.minimum(np.searchsorted(rare, words), len(rare) - 1)
+                logs = np.where(codes == COLD, micro(times)[at], logs)
+            return logs
+
         pair = mix(second * np.uint64(3) + first)
-        pair[code == START] = mix(second[code == START])  # not counted as pairs, never looked at
-        _, inverse, times = np.unique(pair, return_inverse=True, return_counts=True)
-        times = times[inverse]
-        held = (times >= LEAST) & (code != START)
-        known, cold = held & (code < COLD), held & (code == COLD)
-        score = single - int(micro(np.array([total]))[0])
-        score[(code != START)] += int(np.rint(np.log(BACKOFF) * 1e6))
-        score[held] = micro(times[held])
-        if len(hot):
-            score[known] -= micro(hot_counts)[code[known]]
+        pair[code == START] = 0      # not counted as pairs, never looked at
+        _, inverse, twice = np.unique(pair, return_inverse=True, return_counts=True)
+        held = (twice[inverse] >= LEAST) & (code != START)
+        open_ = held & (code == COLD) & (other == COLD)
+        score = single(second, other) - int(micro(np.array([total]))[0])
+        score[code != START] += int(np.rint(np.log(BACKOFF) * 1e6))
+        score[held] = micro(twice)[inverse[held]] - np.where(open_[held], 0, single(first[held], code[held]))
+        del pair, inverse
         at = 0
-        for r, size in zip(rows, sizes, strict=True):
+        for r, size in zip(packed, sizes, strict=True):
             part = slice(at, at + size)
             docs, which = np.unique(doc[part], return_inverse=True)
             sums = np.zeros(len(docs), np.int64)
             np.add.at(sums, which, score[part])
-            out.append({"base": r["base"], "docs": docs.tolist(), "sums": sums.tolist(),
-                        "hits": np.bincount(which, held[part], len(docs)).astype(np.int64).tolist(),
-                        "open_docs": doc[part][cold[part]].tolist(),
-                        "open_words": first[part][cold[part]].view(np.int64).tolist()})
+            out.append({"base": r["base"], "docs": docs, "sums": sums,
+                        "hits": np.bincount(which, held[part], len(docs)).astype(np.int32),
+                        "open_docs": doc[part][open_[part]], "open_words": first[part][open_[part]].view(np.int64)})
             at += size
         return pa.Table.from_pylist(out, _PART_TYPES)
 
@@ -214,23 +230,25 @@ def score_corpus(run: Scratch, docs: DataFrame) -> DataFrame:
     pairs = exploded_pairs(docs, common, buckets)
     parts = run.stage(bucket_scores(pairs, common, counts, total), "parts")
 
-    names = parts.filter("ids IS NOT NULL").select("base", F.posexplode(F.arrays_zip("ids", "words"))).select(
-        (F.col("base") + F.col("pos")).alias("row"), "col.ids", "col.words")
-    sums = parts.filter("docs IS NOT NULL").select("base", F.explode(F.arrays_zip("docs", "sums", "hits")).alias("x"))
-    sums = sums.select((F.col("base") + F.col("x.docs")).alias("row"), F.col("x.sums").alias("score"),
-                       F.col("x.hits").alias("hits"))
+    none = F.lit(None).cast("long")
+    named = F.transform(F.arrays_zip("ids", "words"), lambda x, k: F.struct(
+        k.alias("doc"), x["ids"].alias("id"), x["words"].alias("words"), F.lit(0).cast("long").alias("score"),
+        F.lit(0).alias("hits")))
+    added = F.transform(F.arrays_zip("docs", "sums", "hits"), lambda x: F.struct(
+        x["docs"].alias("doc"), none.alias("id"), none.alias("words"), x["sums"].alias("score"),
+        x["hits"].alias("hits")))
+    # a slice's rows meet packed; its documents are summed where they are
+    each = parts.select("base", "ids", "words", "docs", "sums", "hits").repartition("base").select(
+        "base", F.explode(F.when(F.col("ids").isNotNull(), named).otherwise(added)).alias("x")).select("base", "x.*")
+    sums = each.groupBy("base", "doc").agg(F.max("id").alias("doc_id"), F.max("words").alias("words"),
+                                           F.sum("hits").alias("pair_hits"), F.sum("score").alias("score"))
     rest = parts.filter("size(open_docs) > 0").select(
         "base", F.explode(F.arrays_zip("open_docs", "open_words")).alias("x")).select(
-        (F.col("base") + F.col("x.open_docs")).alias("row"), F.col("x.open_words").alias("word"))
+        "base", F.col("x.open_docs").alias("doc"), F.col("x.open_words").alias("word"))
     # rare words: each is at most 1/COMMON of all, so no key is hot
-    taken = rest.join(table, "word").select("row", (-micro_log(F.col("c"))).alias("score"), F.lit(0).cast("long").alias("hits"))
-    none = F.lit(None).cast("long")
-    added = names.select("row", F.col("ids").alias("id"), F.col("words"), F.lit(0).cast("long").alias("score"),
-                         F.lit(0).cast("long").alias("hits")).unionByName(
-        sums.unionByName(taken).select("row", none.alias("id"), none.alias("words"), "score", "hits"))
-    return added.groupBy("row").agg(
-        F.max("id").alias("doc_id"), F.max("words").alias("words"), F.sum("hits").alias("pair_hits"),
-        F.sum("score").alias("score_micro")).drop("row")
+    taken = rest.join(table, "word").groupBy("base", "doc").agg(F.sum(micro_log(F.col("c"))).alias("off"))
+    return sums.join(taken, ["base", "doc"], "left").select(
+        "doc_id", "words", "pair_hits", (F.col("score") - F.coalesce("off", F.lit(0))).alias("score_micro"))
 
 
 def op3_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
