@@ -210,6 +210,20 @@ def bucket_scores(pairs: DataFrame, common: np.ndarray, counts: np.ndarray, tota
     return pairs.groupBy("bucket").applyInArrow(join, PARTS)
 
 
+def _slice_sums(table: pa.Table) -> pa.Table:
+    rows = table.to_pylist()
+    [names] = [r for r in rows if r["ids"] is not None]
+    n = len(names["ids"])
+    score, hits = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for r in rows:
+        if r["ids"] is None:
+            score[r["docs"]] += r["sums"]     # a document is listed once in a row
+            hits[r["docs"]] += r["hits"]
+    return pa.table({"base": pa.array([names["base"]] * n, pa.int64()), "doc": pa.array(range(n), pa.int32()),
+                     "doc_id": pa.array(names["ids"], pa.int64()), "words": pa.array(names["words"], pa.int64()),
+                     "pair_hits": pa.array(hits), "score": pa.array(score)})
+
+
 def score_corpus(run: Scratch, docs: DataFrame) -> DataFrame:
     """(doc_id, words, pair_hits, score_micro) of every row of ``docs`` (doc_id, text).
 
@@ -230,18 +244,9 @@ def score_corpus(run: Scratch, docs: DataFrame) -> DataFrame:
     pairs = exploded_pairs(docs, common, buckets)
     parts = run.stage(bucket_scores(pairs, common, counts, total), "parts")
 
-    none = F.lit(None).cast("long")
-    named = F.transform(F.arrays_zip("ids", "words"), lambda x, k: F.struct(
-        k.alias("doc"), x["ids"].alias("id"), x["words"].alias("words"), F.lit(0).cast("long").alias("score"),
-        F.lit(0).alias("hits")))
-    added = F.transform(F.arrays_zip("docs", "sums", "hits"), lambda x: F.struct(
-        x["docs"].alias("doc"), none.alias("id"), none.alias("words"), x["sums"].alias("score"),
-        x["hits"].alias("hits")))
-    # a slice's rows meet packed; its documents are summed where they are
-    each = parts.select("base", "ids", "words", "docs", "sums", "hits").repartition("base").select(
-        "base", F.explode(F.when(F.col("ids").isNotNull(), named).otherwise(added)).alias("x")).select("base", "x.*")
-    sums = each.groupBy("base", "doc").agg(F.max("id").alias("doc_id"), F.max("words").alias("words"),
-                                           F.sum("hits").alias("pair_hits"), F.sum("score").alias("score"))
+    # a slice's rows meet packed and leave as one row per document
+    sums = parts.select("base", "ids", "words", "docs", "sums", "hits").groupBy("base").applyInArrow(
+        _slice_sums, "base long, doc int, doc_id long, words long, pair_hits long, score long")
     rest = parts.filter("size(open_docs) > 0").select(
         "base", F.explode(F.arrays_zip("open_docs", "open_words")).alias("x")).select(
         "base", F.col("x.open_docs").alias("doc"), F.col("x.open_words").alias("word"))
