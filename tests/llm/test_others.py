@@ -134,7 +134,7 @@ def test_search_is_exact_on_one_list_and_handles_odd_vectors(spark, run):
     rng = np.random.default_rng(8)
     rows = [(k, rng.standard_normal(6).round(1).tolist()) for k in range(150)]
     rows += [(200 + k, rows[20][1]) for k in range(30)]
-    rows += [(300, None), (400, [0.0] * 6), (500, [1.0, None, 0, 0, 0, 0]), (600, [float("nan")] * 6),
+    rows += [(300, None), (400, [0.0] * 6), (500, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (600, [float("nan")] * 6),
              (700, [float("inf")] + [1.0] * 5), (800, [1.0, 2.0]), (None, rows[1][1]), rows[100], rows[100]]
     table = spark.createDataFrame([(*r, "q", "l") for r in rows], "vec_id long, embedding array<float>, query string, list string")
     got = defaultdict(list)
