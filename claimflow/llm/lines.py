@@ -5,8 +5,10 @@ into ``edits + 1`` segments; two lines within ``edits`` edits share at least one
 segment of the shorter one, at a place that the lengths narrow down to a few
 positions.  So the index holds each line's segments by (length, segment number,
 text) and a line probes it with the few substrings that could match, for its
-own and the next smaller lengths.  Lines that meet are confirmed by a banded
-edit distance whose column is one machine word.  DataFrame functions only.
+own and the next smaller lengths.  A line of a few characters, whose segments
+would tell little, is found by what is left of it without any ``edits`` of its
+characters: lines within reach share such a rest.  Lines that meet are confirmed
+by a banded edit distance whose column is one machine word.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from claimflow.llm.joins import lookup
 from claimflow.llm.scratch import Scratch, scratch
 
 EDITS = 2
-SHORTEST = 16      # shorter lines are duplicates only when equal
+SHORTEST = 1       # shorter lines are duplicates only when equal: none
+BRIEF = 6          # lines of so many characters are found by their rests, longer ones by segments
 
 
 def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
@@ -180,11 +183,42 @@ def distinct_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.count("*").alias("copies")).select("f.doc_id", "f.line_no", "line", "copies")
 
 
+def rests(line: Column, edits: int) -> Column:
+    """What is left of a line without up to ``edits`` of its characters; the empty rest is left out."""
+    def shorter(text: Column) -> Column:
+        return F.when(F.length(text) > 1, F.transform(F.sequence(F.lit(1), F.length(text)), lambda k: F.concat(
+            F.substring(text, F.lit(1), k - 1), F.substring(text, k + 1, F.length(text))))).otherwise(
+            F.array().cast("array<string>"))
+
+    out = F.array(line)
+    for _ in range(edits):
+        out = _let(out, lambda found: F.array_distinct(F.concat(found, F.flatten(F.transform(found, shorter)))))
+    return out
+
+
+def brief_pairs(lines: DataFrame, edits: int, brief: int) -> DataFrame:
+    """(a, b) candidates, a < b, of which one has at most ``brief`` characters and one more than ``edits``."""
+    short = lines.filter(F.length("line") <= brief + edits).select(
+        "id", F.length("line").alias("length"), counts(F.col("line")).alias("counts"),
+        F.explode(rests(F.col("line"), edits)).alias("rest"))
+    one = short.select(F.col("id").alias("a"), F.col("length").alias("n"), F.col("counts").alias("x"), "rest")
+    two = short.select(F.col("id").alias("b"), F.col("length").alias("m"), F.col("counts").alias("y"),
+                       F.col("rest").alias("same"))
+    return one.join(two, (F.col("rest") == F.col("same")) & (F.col("a") < F.col("b"))
+                    & (F.least("n", "m") <= brief) & (F.greatest("n", "m") > edits)
+                    & (F.abs(F.col("n") - F.col("m")) <= edits) & alike(F.col("x"), F.col("y"), edits)).select("a", "b")
+
+
 def edit_links(run: Scratch, lines: DataFrame, edits: int, shortest: int) -> DataFrame:
-    """(a, b) ids of the lines (id, line) that are within ``edits`` edits, a < b."""
-    length = F.length("line")
+    """(a, b) ids of the lines (id, line) that are within ``edits`` edits, a < b.
+
+    Without those of two lines of at most ``edits`` characters, which are all
+    within reach of each other.
+    """
+    length, brief = F.length("line"), max(BRIEF, edits)
     # counted below the explode: once for each line, not for each of its keys
-    long = lines.filter(length >= shortest).select("id", "line", counts(F.col("line")).alias("counts"))
+    long = lines.filter((length >= shortest) & (length > brief)).select(
+        "id", "line", counts(F.col("line")).alias("counts"))
     index = long.select(F.col("id").alias("a"), F.col("counts").alias("x"),
                         F.explode(index_keys(F.col("line"), length, edits)).alias("key"))
     equal, others = probe_keys(F.col("line"), length, edits)
@@ -197,7 +231,9 @@ def edit_links(run: Scratch, lines: DataFrame, edits: int, shortest: int) -> Dat
     once = (F.shiftright("y", 4 * len(COUNTED)) == 0) | (F.col("a") < F.col("b"))
     met = index.join(probe, (index["key"] == probe["key"]) & (F.col("a") != F.col("b")) & once
                      & alike(F.col("x"), F.col("y"), edits))
-    pairs = run.stage(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    found = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(
+        brief_pairs(lines.filter(length >= shortest), edits, brief))
+    pairs = run.stage(found.distinct(), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     # only the lines that met another one go on
     texts = run.stage_texts(lines.select("id", "line").join(ids, "id", "left_semi"), "met")
@@ -214,15 +250,21 @@ def near_lines(run: Scratch, docs: DataFrame, edits: int = EDITS, shortest: int
     within ``edits`` edits; ``class_doc_id``, ``class_line_no``: the first place of the
     smallest line, in the order of places, that links reach; ``kept``: the line is that
     line.  Lines end at line feeds; empty lines are no lines, nor are null texts.
-    Lines of fewer than ``shortest`` characters are linked with nothing: two edits
-    make them another line.  Other columns are not read.
+    Lines of fewer than ``shortest`` characters are linked with nothing.  Other
+    columns are not read.
     """
     # numbers given by the written table; the smallest place of a class is found by the place itself
     named = run.stage_texts(distinct_lines(docs).withColumn("id", F.monotonically_increasing_id()), "lines")
     links = edit_links(run, named, edits, shortest)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = run.stage(both.groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "id"), "degree")
-    roots = components(run, links).select(F.col("node").alias("id"), "root")
+    # the shortest lines are all linked with each other: counted, and tied to one of them, not paired
+    tiny = run.stage(named.filter(F.length("line").between(shortest, edits)).select("id"), "tiny")
+    size = tiny.agg(F.count("*").alias("n"), F.min("id").alias("first")).first()
+    others = tiny.filter(F.lit(size["n"] > 1)).select("id", F.lit(size["n"] - 1).cast("long").alias("links"))
+    degree = run.stage(both.groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "id")
+                       .unionByName(others).groupBy("id").agg(F.sum("links").alias("links")), "degree")
+    ties = tiny.select(F.lit(size["first"]).cast("long").alias("a"), F.col("id").alias("b"))
+    roots = components(run, links.unionByName(ties)).select(F.col("node").alias("id"), "root")
     linked = run.stage(degree.join(roots.unionByName(
         roots.select(F.col("root").alias("id"), "root").distinct()).distinct(), "id")
         .join(named.select("id", "doc_id", "line_no"), "id"), "linked")
