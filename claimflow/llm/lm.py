@@ -13,12 +13,15 @@ their counts at hand everywhere.  A pair goes to the bucket of its second word,
 that is rare, else to that of its first word, if that is rare; pairs of common
 words are spread by the pair.  The one count that a bucket then lacks, that of a
 rare word before another rare one, is joined from the word table.  Sums per
-document end it.  All occurrences of one pair meet in one task.
+document end it.  The most common pairs (each more than 1/32,768 of all words, so
+fewer than that) are counted beforehand, pre-summed in every task, and scored
+where they stand: they go to no bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.llm.scratch import Scratch, scratch
-from claimflow.llm.words import mix, word_hashes
+from claimflow.llm.words import Words, mix, word_hashes
 
 BACKOFF = 0.4
 LEAST = 2               # pairs seen less often are not in the table
@@ -64,33 +67,108 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
+def _counted(held: list[np.ndarray], over: int = 0) -> pa.RecordBatch:
     words, counts = np.unique(np.concatenate(held), return_counts=True)
+    words, counts = words[counts > over], counts[counts > over]
     return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))],
                                       ["word", "c"])
 
 
+def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(second * np.uint64(3) + first)
+
+
+def _inner_pairs(words: Words) -> np.ndarray:
+    """The hashes of the pairs inside the texts of a slice."""
+    inner = np.ones(len(words.hashes), bool)
+    inner[words.first[:-1][np.diff(words.first) > 0]] = False
+    at = np.flatnonzero(inner)
+    return _pair(words.hashes[at - 1], words.hashes[at])
+
+
+def common_pairs(docs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, counts) of the pairs that are more than 1/COMMON of all ``total`` words, by hash.
+
+    A chunk of a task's words names its pairs of more than half that share; a pair
+    loses at most the other half by that, so all common ones are among the at most
+    ``2 * COMMON`` that are named for more than a half.  Those are counted.
+    """
+    shares = 2 * COMMON
+    texts = docs.select("text")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            for words in word_hashes(batch.column(0)):
+                held.append(_inner_pairs(words))
+                size += len(words.hashes)
+                if size > 4_000_000:
+                    yield _counted(held, size // shares)
+                    held, size = [], 0
+        if size:
+            yield _counted(held, size // shares)
+
+    named = texts.mapInArrow(likely, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    rows = named.filter(F.col("c") > total // shares).select("word").collect()
+    candidates = np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))
+    if not len(candidates):
+        return candidates, np.zeros(0, np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(candidates)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(shared.value), np.int64)
+        for batch in batches:
+            for words in word_hashes(batch.column(0)):
+                at = _found(_inner_pairs(words), shared.value)
+                counts += np.bincount(at[at >= 0], minlength=len(counts))
+        met = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(shared.value[met].view(np.int64)), pa.array(counts[met])],
+                                         ["word", "c"])
+
+    exact = texts.mapInArrow(count, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return _sorted(exact.filter(F.col("c") > max(total // COMMON, LEAST - 1, 1)))
+
+
+def _sorted(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of a small count table, by hash."""
+    at = {r["word"]: r["c"] for r in table.collect()}
+    hashes = np.sort(np.array(list(at), np.int64).view(np.uint64))
+    return hashes, np.array([at[w] for w in hashes.view(np.int64).tolist()], np.int64)
+
+
 PAIRS = ("bucket int, base long, ids array<long>, words binary, first binary, second binary, "
-         "rare binary, rare_at binary, per_doc binary")
+         "rare binary, rare_at binary, per_doc binary, sums binary, hits binary")
+
+
+class Known(NamedTuple):
+    words: np.ndarray      # common words, sorted, and their counts
+    counts: np.ndarray
+    pairs: np.ndarray      # common pairs, sorted, and their counts
+    pair_counts: np.ndarray
+    total: int
 
 
-def exploded_pairs(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
+def exploded_pairs(docs: DataFrame, known: Known, buckets: int) -> DataFrame:
     """The word pairs of all texts, packed per slice of texts and bucket.
 
     ``base`` numbers the slice's first document; a row of ``ids`` and ``words``
-    names its documents; the other rows list a bucket's positions, in the order
-    of documents, ``per_doc`` of them in each.
+    names its documents and has the ``sums`` and ``hits`` of the positions that
+    need no bucket, those of common pairs and common first words; the other rows
+    list a bucket's positions, in the order of documents, ``per_doc`` of them in each.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, base = shared.value, TaskContext.get().partitionId() * _ROW
+        base = TaskContext.get().partitionId() * _ROW
         for batch in batches:
             for words in word_hashes(batch.column(1)):
+                sums, hits, packed = _packed(words.hashes, words.first, base, shared.value, buckets)
                 rows = [{"bucket": int(mix(np.array([base], np.uint64))[0] % np.uint64(buckets)), "base": base,
                          "ids": batch.column(0).slice(words.lo, words.hi - words.lo).to_pylist(),
-                         "words": np.diff(words.first).astype("<i8").tobytes()}]
-                rows += _packed(words.hashes, words.first, base, hot, buckets)
+                         "words": np.diff(words.first).astype("<i8").tobytes(),
+                         "sums": sums.tobytes(), "hits": hits.tobytes()}]
+                rows += packed
                 yield pa.RecordBatch.from_pylist(rows, _PAIR_TYPES)
                 base += words.hi - words.lo
 
@@ -109,29 +187,51 @@ def _found(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return np.where(hot[at] == hashes, at, -1)
 
 
-def _packed(hashes: np.ndarray, first: np.ndarray, base: int, hot: np.ndarray, buckets: int) -> Iterator[dict]:
-    """A slice's positions by bucket: the codes of both words, and for rare ones
-    where they are in the bucket's list of rare words."""
+def _packed(hashes: np.ndarray, first: np.ndarray, base: int, known: Known,
+            buckets: int) -> tuple[np.ndarray, np.ndarray, list[dict]]:
+    """(sums, hits) of each document's positions that are scored at once, and the
+    others by bucket: the codes of both words, and for rare ones where they are in
+    the bucket's list of rare words."""
+    docs = len(first) - 1
     if not len(hashes):
-        return
+        return np.zeros(docs, np.int64), np.zeros(docs, np.int32), []
     before = np.concatenate([hashes[:1], hashes[:-1]])
-    place = _found(hashes, hot)
+    place = _found(hashes, known.words)
     second = np.where(place < 0, COLD, place)
     code = np.concatenate([second[:1], second[:-1]])
     code[first[:-1][np.diff(first) > 0]] = START
+    doc = np.repeat(np.arange(docs), np.diff(first))
+
+    sums, hits = np.zeros(docs, np.int64), np.zeros(docs, np.int32)
+    logs = micro(known.counts)
+    alone = np.flatnonzero((code == START) & (second != COLD))
+    np.add.at(sums, doc[alone], logs[second[alone]] - int(micro(np.array([known.total]))[0]))
+    both = np.flatnonzero((code < COLD) & (second != COLD))
+    pair = _found(_pair(before[both], hashes[both]), known.pairs)
+    both, pair = both[pair >= 0], pair[pair >= 0]
+    np.add.at(sums, doc[both], micro(known.pair_counts)[pair] - logs[code[both]])
+    hits += np.bincount(doc[both], minlength=docs).astype(np.int32)
+
+    left = np.ones(len(hashes), bool)
+    left[alone] = left[both] = False
+    left = np.flatnonzero(left)
+    if not len(left):
+        return sums, hits, []
     key = np.where(second == COLD, hashes, np.where(code == COLD, before, mix(hashes ^ mix(before))))
-    route = key % np.uint64(buckets)
-    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    route = key[left] % np.uint64(buckets)
     order = np.argsort(route, kind="stable")
-    for at in np.split(order, np.flatnonzero(np.diff(route[order])) + 1):
+    rows = []
+    for part in np.split(order, np.flatnonzero(np.diff(route[order])) + 1):
+        at = left[part]
         codes, seconds = code[at], second[at]
         # rare first words in order, then rare second words in order
         rare, where = np.unique(np.concatenate([before[at][codes == COLD], hashes[at][seconds == COLD]]),
                                 return_inverse=True)
-        yield {"bucket": int(route[at[0]]), "base": base, "first": codes.astype("<u2").tobytes(),
-               "second": seconds.astype("<u2").tobytes(), "rare": rare.tobytes(),
-               "rare_at": where.astype("<u2" if len(rare) < 1 << 16 else "<u4").tobytes(),
-               "per_doc": np.bincount(doc[at], minlength=len(first) - 1).astype("<u4").tobytes()}
+        rows.append({"bucket": int(route[part[0]]), "base": base, "first": codes.astype("<u2").tobytes(),
+                     "second": seconds.astype("<u2").tobytes(), "rare": rare.tobytes(),
+                     "rare_at": where.astype("<u2" if len(rare) < 1 << 16 else "<u4").tobytes(),
+                     "per_doc": np.bincount(doc[at], minlength=docs).astype("<u4").tobytes()})
+    return sums, hits, rows
 
 
 def _unpacked(rows: list[dict], hot: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -161,15 +261,16 @@ _PART_TYPES = pa.schema([("base", pa.int64())] + [
     (c.split()[0], pa.list_(pa.int32() if "<int>" in c else pa.int64())) for c in PARTS.split(", ")[1:]])
 
 
-def bucket_scores(pairs: DataFrame, common: np.ndarray, counts: np.ndarray, total: int) -> DataFrame:
+def bucket_scores(pairs: DataFrame, known: Known) -> DataFrame:
     """Per slice and bucket: what its positions add to each document, and the rare
     first words whose counts are still to be taken off."""
-    shared = pairs.sparkSession.sparkContext.broadcast((common, counts))
+    shared = pairs.sparkSession.sparkContext.broadcast(known)
 
     def join(table: pa.Table) -> pa.Table:
-        hot, hot_counts = shared.value
+        hot, hot_counts, _, _, total = shared.value
         packed = table.to_pylist()
-        out = [{"base": r["base"], "ids": r["ids"], "words": np.frombuffer(r["words"], "<i8").tolist()}
+        out = [{"base": r["base"], "ids": r["ids"], "words": np.frombuffer(r["words"], "<i8").tolist(),
+                "sums": np.frombuffer(r["sums"], "<i8").tolist(), "hits": np.frombuffer(r["hits"], "<i4").tolist()}
                for r in packed if r["words"] is not None]
         packed = [r for r in packed if r["words"] is None]
         if not packed:
@@ -177,16 +278,16 @@ def bucket_scores(pairs: DataFrame, common: np.ndarray, counts: np.ndarray, tota
         first, second, code, other, doc, sizes = _unpacked(packed, hot)
         # a rare word's occurrences are all here as second words
         rare, times = np.unique(second[other == COLD], return_counts=True)
-        known = np.append(micro(hot_counts), 0)
+        logs_known = np.append(micro(hot_counts), 0)
 
         def single(words: np.ndarray, codes: np.ndarray) -> np.ndarray:
-            logs = known[np.minimum(codes, len(known) - 1)]
+            logs = logs_known[np.minimum(codes, len(logs_known) - 1)]
             if len(rare):
                 at = np.minimum(np.searchsorted(rare, words), len(rare) - 1)
                 logs = np.where(codes == COLD, micro(times)[at], logs)
             return logs
 
-        pair = mix(second * np.uint64(3) + first)
+        pair = _pair(first, second)
         pair[code == START] = 0      # not counted as pairs, never looked at
         _, inverse, twice = np.unique(pair, return_inverse=True, return_counts=True)
         held = (twice[inverse] >= LEAST) & (code != START)
@@ -214,7 +315,7 @@ def _slice_sums(table: pa.Table) -> pa.Table:
     rows = table.to_pylist()
     [names] = [r for r in rows if r["ids"] is not None]
     n = len(names["ids"])
-    score, hits = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    score, hits = np.array(names["sums"], np.int64), np.array(names["hits"], np.int64)
     for r in rows:
         if r["ids"] is None:
             score[r["docs"]] += r["sums"]     # a document is listed once in a row
@@ -235,14 +336,11 @@ def score_corpus(run: Scratch, docs: DataFrame) -> DataFrame:
     """
     table = run.stage(word_counts(docs), "words")
     total = table.agg(F.sum("c").alias("n")).first()["n"] or 0
-    often = table.filter(F.col("c") > max(total // COMMON, 1)).orderBy("word").collect()  # fewer than COMMON rows
-    common = np.sort(np.array([r["word"] for r in often], np.int64).view(np.uint64))
-    at = {r["word"]: r["c"] for r in often}
-    counts = np.array([at[w] for w in common.view(np.int64).tolist()], np.int64)
+    often = table.filter(F.col("c") > max(total // COMMON, 1))  # fewer than COMMON rows
+    known = Known(*_sorted(often), *common_pairs(docs, total), total)
     least = int(run.spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(least, -(-total // BUCKET_WORDS))
-    pairs = exploded_pairs(docs, common, buckets)
-    parts = run.stage(bucket_scores(pairs, common, counts, total), "parts")
+    parts = run.stage(bucket_scores(exploded_pairs(docs, known, buckets), known), "parts")
 
     # a slice's rows meet packed and leave as one row per document
     sums = parts.select("base", "ids", "words", "docs", "sums", "hits").groupBy("base").applyInArrow(
