@@ -16,7 +16,9 @@ intersection of whole sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,25 @@ from claimflow.llm.scratch import Scratch, scratch
 from claimflow.llm.words import Words, mix, word_hashes
 
 PLACES = 1 << 20
-BANDS, ROWS = 24, 6          # a pair of similarity 0.85 shares no band once in 100,000 times
+MISSED = 1.2e-5              # how often a pair just similar enough shares no band, at most
+MOST = 160                   # coordinates of a signature, at most
+
+
+def layout(percent: int) -> tuple[int, int]:
+    """(bands, rows): as many rows as ``MOST`` allows at ``MISSED``.
+
+    24 of 6 at 85 percent, 29 of 5 at 80.  Below 7 percent there is no such layout:
+    then ``MOST`` bands of one row.
+    """
+    similar, best = min(percent, 99) / 100, (MOST, 1)
+    for rows in range(1, MOST):
+        bands = math.ceil(math.log(MISSED) / math.log1p(-similar ** rows)) if similar > 0 else MOST + 1
+        if bands * rows <= MOST:
+            best = (bands, rows)
+    return best
+
+
+BANDS, ROWS = layout(85)
 COORDINATES = BANDS * ROWS
 BLOCK = 512                  # classes of one bucket that are compared by one task
 PER_KEY = 1024               # pairs that meet one class's shingles in one task
@@ -37,9 +57,13 @@ LIKELY = 0.70                # 0.85 is seen below this once in a million times,
 
 _RNG = np.random.Generator(np.random.PCG64(4099))
 _SECOND = _RNG.permutation(PLACES).astype(np.uint32)
-_TABLE = np.concatenate([_SECOND, _SECOND[:COORDINATES]])
-_WINDOWS = np.lib.stride_tricks.sliding_window_view(_TABLE, COORDINATES)
-_FACTORS = _RNG.integers(1, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_TABLE = np.concatenate([_SECOND, _SECOND[:MOST]])
+_FACTORS = _RNG.integers(1, 1 << 63, MOST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+@cache
+def _windows(coordinates: int) -> np.ndarray:
+    return np.lib.stride_tricks.sliding_window_view(_TABLE, coordinates)
 
 
 def shingles(words: Words, size: int) -> Iterator[np.ndarray]:
@@ -60,27 +84,31 @@ def shingles(words: Words, size: int) -> Iterator[np.ndarray]:
             yield h[:0]
 
 
-def signature(sets: np.ndarray) -> np.ndarray:
+def signature(sets: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """The circulant MinHash coordinates of a non-empty set."""
+    windows = _windows(coordinates)
     at = (mix(sets ^ np.uint64(0x5DEECE66D)) >> np.uint64(44)).astype(np.int64)  # first permutation
-    out = _WINDOWS[at[:2048]].min(axis=0)
+    out = windows[at[:2048]].min(axis=0)
     for lo in range(2048, len(at), 2048):
-        np.minimum(out, _WINDOWS[at[lo:lo + 2048]].min(axis=0), out=out)
+        np.minimum(out, windows[at[lo:lo + 2048]].min(axis=0), out=out)
     return out
 
 
-def bands(signatures: np.ndarray) -> np.ndarray:
-    """Band keys (rows x BANDS) of signatures (rows x COORDINATES)."""
-    parts = mix(signatures.astype(np.uint64).reshape(len(signatures), BANDS, ROWS) * _FACTORS)
-    return mix(parts.sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+def bands(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """Band keys, one for each ``rows`` coordinates, of signatures."""
+    count = signatures.shape[1] // rows
+    parts = mix(signatures.astype(np.uint64).reshape(len(signatures), count, rows) * _FACTORS[:rows])
+    return mix(parts.sum(axis=2, dtype=np.uint64) + np.arange(count, dtype=np.uint64))
 
 
 PRINT = "doc_id long, n long, s1 long, s2 long, bands array<long>, sketch binary"
 
 
-def prints(docs: DataFrame, size: int = 3) -> DataFrame:
+def prints(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """One row per document: shingle count, two 64-bit sums that name its set, band
     keys, and the signature's low 16 bits."""
+    count, rows = layout(percent)
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words in word_hashes(batch.column(1), lower=True):
@@ -89,11 +117,11 @@ def prints(docs: DataFrame, size: int = 3) -> DataFrame:
                 sums = np.array([(s.sum(dtype=np.uint64), mix(s).sum(dtype=np.uint64)) for s in sets],
                                 np.uint64).reshape(-1, 2).view(np.int64)
                 full = np.flatnonzero(counts)
-                signatures = np.zeros((len(sets), COORDINATES), np.uint32)
+                signatures = np.zeros((len(sets), count * rows), np.uint32)
                 for k in full:
-                    signatures[k] = signature(sets[k])
-                keys = bands(signatures).view(np.int64)
-                offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, BANDS, 0))]).astype(np.int32)
+                    signatures[k] = signature(sets[k], count * rows)
+                keys = bands(signatures, rows).view(np.int64)
+                offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, count, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(words.lo, words.hi - words.lo), pa.array(counts),
                     pa.array(sums[:, 0]), pa.array(sums[:, 1]),
@@ -220,7 +248,7 @@ def near_duplicates(run: Scratch, docs: DataFrame, size: int = 3, percent: int =
     of them links to is linked.  Other columns are not read; an empty table gives
     no rows.
     """
-    base = run.stage(prints(docs, size), "prints")
+    base = run.stage(prints(docs, size, percent), "prints")
     named = base.filter("n > 0 AND doc_id IS NOT NULL")
     classes = run.stage(named.groupBy("n", "s1", "s2").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("rows"), F.max("doc_id").alias("top")), "classes")
@@ -257,8 +285,8 @@ def _agreeing(run: Scratch, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     two = one.join(sketches.select(F.col("class_id").alias("a"), F.col("sketch").alias("x")), "a")
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), "<u2").reshape(-1, COORDINATES)
+        for batch in filter(len, batches):
+            x, y = (np.frombuffer(b"".join(c.to_pylist()), "<u2").reshape(len(batch), -1)
                     for c in (batch.column(2), batch.column(3)))
             yield batch.filter(pa.array((x == y).mean(axis=1) >= LIKELY)).select([0, 1])
 

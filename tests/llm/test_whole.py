@@ -4,10 +4,12 @@ import math
 import random
 from collections import defaultdict
 
+import numpy as np
+import pytest
 from helpers_llm import edit_distance
 from pyspark.sql import functions as F
 
-from claimflow.llm import lines, lm
+from claimflow.llm import lines, lm, minhash
 
 
 def test_near_lines_of_every_length(spark, run):
@@ -78,3 +80,41 @@ def test_no_bucket_holds_all_positions_of_a_common_pair(spark, run, monkeypatch)
     [pairs] = seen
     most = pairs.groupBy("bucket").agg(F.sum(F.length("first") / 2).alias("n")).agg(F.max("n")).first()[0]
     assert twos["a", "b"] == 8000 and most < 4000 + total / 20
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_pairs_just_similar_enough_share_a_band(spark, percent):
+    """Of the bands that the operator writes: how many, and how often one is shared at the threshold."""
+    size, pairs = {80: (5, 500), 85: (3, 300)}[percent]
+    rng = random.Random(percent)
+    texts = []
+    for k in range(2 * pairs):  # pairs of 400 shingles; the last words differ, so percent of the union is shared
+        if k % 2 == 0:
+            words = [f"w{rng.random()}" for _ in range(400 + size - 1)]
+            texts.append(" ".join(words))
+        else:
+            same = round(800 * percent / (100 + percent)) + size - 1
+            texts.append(" ".join(words[:same] + [f"v{rng.random()}" for _ in range(400 + size - 1 - same)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+
+    class Staged(Exception):
+        pass
+
+    class Run:
+        def stage(self, df, name):
+            seen.append(df.collect())
+            raise Staged
+
+    with pytest.raises(Staged):
+        minhash.near_duplicates(Run(), docs, size, percent)
+    bands = {r["doc_id"]: np.array(r["bands"]) for r in seen[0]}
+    shared = np.mean([(bands[k] == bands[k + 1]).mean() for k in range(0, 2 * pairs, 2)])
+    assert (1 - shared) ** len(bands[0]) < 5e-5
+
+
+def test_layout_misses_as_little_at_every_threshold():
+    assert minhash.layout(85) == (24, 6) and minhash.layout(80) == (29, 5)
+    for percent in range(10, 100):
+        bands, rows = minhash.layout(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= minhash.MISSED and bands * rows <= minhash.MOST
