@@ -17,6 +17,7 @@ from claimflow.llm.joins import lookup
 from claimflow.llm.scratch import Scratch, scratch
 
 SPACES = r"[\x20\x09-\x0D]+"
+BATCHES = 2             # of documents, that the query feeds to the index
 
 
 def normalised(text: Column) -> Column:
@@ -107,13 +108,31 @@ def new_index(spark: SparkSession) -> DigestIndex:
     return DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", buckets).open()
 
 
+def dedup_batches(run: Scratch, docs: DataFrame, index: DigestIndex, batches: int = BATCHES) -> DataFrame:
+    """:func:`dedup` of ``docs`` in batches of rising doc_id, null ids last.
+
+    Each batch meets what those before it left in the index.  ``group_size`` counts
+    the rows with the text in all batches.
+    """
+    cuts = sorted(set(docs.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01)))
+    rows, doc_id = None, F.col("doc_id")
+    for lo, hi in zip([None, *cuts], [*cuts, None], strict=True):
+        inside = F.lit(True) if lo is None else doc_id > lo
+        inside = inside | doc_id.isNull() if hi is None else inside & (doc_id <= hi)
+        found = run.stage(dedup(run, docs.filter(inside), index), "batch")
+        rows = found if rows is None else rows.unionByName(found)
+    sizes = run.stage(rows.groupBy("digest").agg(F.sum(F.lit(1)).alias("group_size")).withColumn(
+        "n", F.col("group_size")), "sizes")
+    return lookup(rows.drop("group_size"), sizes, ["digest"], "n")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays for its text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     index = new_index(spark)
     try:
         with scratch(spark) as run:
-            out = dedup(run, docs, index).select(
+            out = dedup_batches(run, docs, index).select(
                 "doc_id", "keep_id", "group_size", "kept",
                 F.lower(F.hex("digest")).alias("text_sha256"))
             return run.result(out, "op4")

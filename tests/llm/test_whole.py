@@ -9,7 +9,7 @@ import pytest
 from helpers_llm import edit_distance
 from pyspark.sql import functions as F
 
-from claimflow.llm import lines, lm, minhash
+from claimflow.llm import exact, lines, lm, minhash
 
 
 def test_near_lines_of_every_length(spark, run):
@@ -118,3 +118,24 @@ def test_layout_misses_as_little_at_every_threshold():
     for percent in range(10, 100):
         bands, rows = minhash.layout(percent)
         assert (1 - (percent / 100) ** rows) ** bands <= minhash.MISSED and bands * rows <= minhash.MOST
+
+
+def test_exact_dedup_meets_a_filled_index(spark, tmp_path, monkeypatch):
+    rng = random.Random(6)
+    rows = [(k, f"text {rng.randrange(40)}") for k in range(200)] + [(None, "text 1"), (None, "only null"), (7, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    held, real = [], exact.DigestIndex.unseen
+
+    def spy(index, groups):
+        held.append(index.read().count())
+        return real(index, groups)
+
+    monkeypatch.setattr(exact.DigestIndex, "unseen", spy)
+    got = exact.op4_exact_dedup(spark, str(tmp_path)).collect()
+    assert len(held) > 1 and held[0] == 0 and all(held[1:])
+    first, size = {}, defaultdict(int)
+    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        first.setdefault(t, i)
+        size[t] += 1
+    want = sorted(repr((i, first[t], size[t], i == first[t])) for i, t in rows)
+    assert sorted(repr((r["doc_id"], r["keep_id"], r["group_size"], r["kept"])) for r in got) == want
