@@ -9,7 +9,7 @@ import pytest
 from helpers_llm import edit_distance
 from pyspark.sql import functions as F
 
-from claimflow.llm import exact, lines, lm, minhash
+from claimflow.llm import ann, exact, lines, lm, minhash
 
 
 def test_near_lines_of_every_length(spark, run):
@@ -139,3 +139,20 @@ def test_exact_dedup_meets_a_filled_index(spark, tmp_path, monkeypatch):
         size[t] += 1
     want = sorted(repr((i, first[t], size[t], i == first[t])) for i, t in rows)
     assert sorted(repr((r["doc_id"], r["keep_id"], r["group_size"], r["kept"])) for r in got) == want
+
+
+def test_whole_search_recall_against_brute_force(spark, run):
+    rng = np.random.default_rng(12)
+    data = rng.standard_normal((4000, 64)).astype(np.float32)
+    data /= np.linalg.norm(data, axis=1)[:, None]
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(data)], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in ann.search(run, table, F.col("vec_id") % 100 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    assert len(got) == 40 and all(len(x) == 10 for x in got.values())
+    wide, hit = data.astype(float), 0
+    for q, found in got.items():
+        far = ((wide - wide[q]) ** 2).sum(1)
+        far[q] = np.inf
+        hit += len(found & set(np.argsort(far)[:10].tolist()))
+    assert 0.9 <= hit / 400
