@@ -8,9 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -26,6 +23,8 @@ def spark():
 
 @pytest.fixture(scope="session")
 def fixture_tables(spark):
+    from helpers import SF_SMALL
+
     from claimflow.sources.fixtures import entities
 
     return entities(spark, SF_SMALL)

@@ -12,6 +12,10 @@ from claimflow.sources.entities import SCHEMAS
 
 D = dt.date.fromisoformat
 
+# The driver's tables: smallest, and the size that the driver compares at.
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"
+
 
 def make_tables(spark, **rows):
     """``make_tables(spark, claim=[{...}], ...)``; every object gets a table

@@ -192,7 +192,7 @@ def test_two_level_lookups_equal_direct_aggregation(spark, fixture_tables):
     direct = latest_per_group(dx, "claim_name", aux, F.col("name"),
                               ["medical_code", "description", "duration_factor"])
     assert Counter(map(repr, direct.collect())) == Counter(
-        map(tuple, latest_diagnosis(t).collect()))
+        map(repr, latest_diagnosis(t).collect()))
 
 
 def test_lookup_keys_are_unique(fixture_tables):

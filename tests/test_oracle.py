@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from claimflow.plans.catalog import QUERIES
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from oracle_check import compare, duck
 
 

@@ -9,7 +9,7 @@ from claimflow.plans.ocr import OCR_COLUMNS, ocr_report
 from claimflow.session import scratch_path
 from claimflow.sources.fixtures import REP_END, REP_START
 from claimflow.sources.sinks import (acr_file_name, ocr_file_name, read_csv, write_report)
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from helpers import make_tables
 
 
