@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimflow.llm import ann, exact, lines, lm, minhash, mixing, packing, prefs, quality, warc
+from claimflow.llm import (ann, exact, lines, lm, minhash, mixing, negatives, packing, phrases, prefs, quality, urls,
+                           warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -19,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_vectors": ann.op8_nearest_vectors,
     "op9_pack_sequences": packing.op9_pack_sequences,
     "op10_near_duplicates": minhash.op10_near_duplicates,
+    "op11_url_filter": urls.op11_url_filter,
+    "op12_collocations": phrases.op12_collocations,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
 # The others rest on random rounding, trained weights, signatures, an edit join or
@@ -29,4 +33,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_backoff_scores": lm.OP3_SQL,
     "op4_exact_dedup": exact.OP4_SQL,
     "op6_preference_pairs": prefs.OP6_SQL,
+    "op11_url_filter": urls.OP11_SQL,
+    "op12_collocations": phrases.OP12_SQL,
+    "op13_hard_negatives": negatives.OP13_SQL,
 }
