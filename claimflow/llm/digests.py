@@ -3,11 +3,11 @@
 An array holds distinct strings, each with a few bytes of payload, sorted by the
 xxhash of the string.  Spark builds it from a table: the keys are dealt by their
 highest bits, one task packs each part, and Spark's text writer puts the parts
-into the shared folder (a part is one "line" of raw bytes).  Executors fetch the
-files from there as files of the application, a lost executor's replacement as
-well, and every Python worker maps them: pages of the file are read when a probe
-touches them and are shared by the workers of a machine, so an array may be larger
-than a worker's memory and nothing of it passes through the driver.
+into the shared folder (a part is one "line" of raw bytes, a file of its own).
+Executors fetch the files from there as files of the application, a lost
+executor's replacement as well, and every Python worker maps them: pages of a file
+are read when a probe touches them and are shared by the workers of a machine, so
+an array may be larger than a worker's memory, and no task or driver holds it.
 
 The files stay in the shared folder until the cluster clears it: an executor
 that starts later in the application fetches them again.
@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.session import scratch_path
@@ -43,8 +43,16 @@ def text_key(text: Column, bits: int = 64) -> Column:
     return F.xxhash64(text) if bits == 64 else F.shiftrightunsigned(F.xxhash64(text), 64 - bits)
 
 
-def publish(entries: DataFrame, name: str, bits: int = 64, part_bytes: int = PART_BYTES) -> str:
-    """Build the array of ``entries`` and send it to the executors; returns the name to open it by.
+class Published(NamedTuple):
+    """What a task opens an array by."""
+
+    bits: int
+    part_bits: int
+    files: tuple[str, ...]
+
+
+def publish(entries: DataFrame, name: str, bits: int = 64, part_bytes: int = PART_BYTES) -> Published:
+    """Build the array of ``entries`` and send it to the executors.
 
     ``entries``: key (a long of ``bits`` bits, taken as unsigned), text and payload (string
     or binary, not null).  It is read twice and should be a staged table.
@@ -62,20 +70,28 @@ def publish(entries: DataFrame, name: str, bits: int = 64, part_bytes: int = PAR
         order = np.argsort(group.column("key").to_numpy().view(np.uint64), kind="stable")
         group = group.take(pa.array(order)).combine_chunks()
         keys = group.column("key").to_numpy().view(np.uint64)
-        parts = [np.array([len(keys)], np.int64).tobytes(), keys.tobytes()]
+        parts = [np.array([group.column("part")[0].as_py(), len(keys)], np.int64).tobytes(), keys.tobytes()]
         blobs = []
         for column in ("text", "payload"):
             values = group.column(column).to_pylist()
             parts.append(np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int64).tobytes())
             blobs += values
-        return pa.table({"part": group.column("part").slice(0, 1).cast(pa.int32()),
-                         "blob": pa.array([b"".join(parts + blobs)], pa.binary())})
+        return pa.table({"blob": pa.array([b"".join(parts + blobs)], pa.binary())})
 
-    packed = keyed.groupBy("part").applyInArrow(pack, "part int, blob binary")
+    packed = keyed.groupBy("part").applyInArrow(pack, "blob binary")
     path = scratch_path(spark, name)
-    packed.select("part", F.col("blob").cast("string").alias("value")).write.partitionBy("part").text(path)
-    spark.sparkContext.addFile(path, recursive=True)
-    return f"{os.path.basename(path)}/{bits}/{part_bits}"
+    packed.select(F.col("blob").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    files = _files(spark, path)
+    for file in files:
+        spark.sparkContext.addFile(file)
+    return Published(bits, part_bits, tuple(os.path.basename(f) for f in files))
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The files with data in a folder of any file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(f.getPath().toString() for f in found if f.getLen() and f.getPath().getName().startswith("part-"))
 
 
 class Part(NamedTuple):
@@ -91,16 +107,9 @@ class Part(NamedTuple):
 class DigestArray:
     """A published array, opened in a task."""
 
-    def __init__(self, name: str):
-        folder, bits, part_bits = name.split("/")
-        self.bits, self.part_bits = int(bits), int(part_bits)
-        folder = SparkFiles.get(folder)
-        self.parts: dict[int, Part] = {}
-        for number in range(1 << self.part_bits):
-            inside = f"{folder}/part={number}"
-            for file in os.listdir(inside) if os.path.isdir(inside) else []:
-                if file.startswith("part-"):
-                    self.parts[number] = _mapped(f"{inside}/{file}")
+    def __init__(self, name: Published):
+        self.bits, self.part_bits = name.bits, name.part_bits
+        self.parts: dict[int, Part] = dict(_mapped(SparkFiles.get(f)) for f in name.files)
         # entries are numbered from 0 in the order of their keys
         sizes = [len(self.parts[k].keys) if k in self.parts else 0 for k in range(1 << self.part_bits)]
         self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
@@ -157,13 +166,13 @@ class DigestArray:
                 probes, at = probes[~same], at[~same] + 1
 
 
-def _mapped(path: str) -> Part:
+def _mapped(path: str) -> tuple[int, Part]:
     file = np.memmap(path, np.uint8, "r")
-    n = int(file[:HEADER].view(np.int64)[0])
-    cuts = np.cumsum([HEADER, HEADER * n, HEADER * (n + 1), HEADER * (n + 1)])
+    number, n = file[:2 * HEADER].view(np.int64).tolist()
+    cuts = np.cumsum([2 * HEADER, HEADER * n, HEADER * (n + 1), HEADER * (n + 1)])
     keys, texts, payloads = (file[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
     texts = texts.view(np.int64)
-    return Part(keys.view(np.uint64), texts, payloads.view(np.int64), file[cuts[-1]:], int(texts[-1]))
+    return number, Part(keys.view(np.uint64), texts, payloads.view(np.int64), file[cuts[-1]:], int(texts[-1]))
 
 
 def _same(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, other: np.ndarray,

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimflow.llm import quotient
-from claimflow.llm.digests import DigestArray, digest, publish
+from claimflow.llm.digests import DigestArray, Published, digest, publish
 from claimflow.llm.joins import lookup
 from claimflow.llm.scratch import Scratch, scratch
 from claimflow.llm.words import mix, text_bytes
@@ -173,7 +173,7 @@ def _distinct(held: list[Words], langs: np.ndarray) -> pa.RecordBatch:
          pa.array(n.astype(np.int64))], ["lang", "key", "word", "n"])
 
 
-def numbered(docs: DataFrame, words: str, kind: str = "u4") -> DataFrame:
+def numbered(docs: DataFrame, words: Published, kind: str = "u4") -> DataFrame:
     """(lead, ids): the corpus as numbers of frequent words, 0 where no phrase goes on.
 
     ``ids`` are numbers of type ``kind``; the first ``lead`` ones repeat the end of the row before.
@@ -218,7 +218,7 @@ def _place(values: np.ndarray) -> np.ndarray:
     return (values >> np.uint64(64 - SET_BITS)).astype(np.int64)
 
 
-def count_order(lines: DataFrame, words: str, order: int, bits: int, shard_bits: int, least: int,
+def count_order(lines: DataFrame, words: Published, order: int, bits: int, shard_bits: int, least: int,
                 maybe: np.ndarray | None, kind: str = "u4") -> DataFrame:
     """(lang, phrase, f, place) of the phrases of ``order`` words that occur ``least`` times."""
     layout = quotient.Layout(order, bits)

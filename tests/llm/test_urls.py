@@ -60,7 +60,7 @@ def test_many_rules_in_several_files(spark, run):
     table = spark.createDataFrame(rules, "host string, path string, verdict string")
     entries = run.stage(table.selectExpr("xxhash64(concat(host, path)) key", "concat(host, path) text", "host payload"), "e")
     name = digests.publish(entries, "many", part_bytes=10_000)
-    assert int(name.split("/")[2]) > 2  # files
+    assert len(name.files) > 4
 
     def probe(batches):
         import pyarrow as pa
