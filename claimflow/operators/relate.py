@@ -10,7 +10,7 @@ every parent column the extract does not read.  A missing parent (null or
 dangling foreign key) gives nulls, as a relationship query does.  Join
 strategy is left to the planner: parents below the broadcast threshold are
 broadcast after Spark's own size check, AQE re-plans at runtime, and larger
-parents shuffle.
+parents shuffle.  Parents are joined in the declared order of the relationships.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 # child object -> relationship name -> (foreign key column, parent object)
 RELATIONSHIPS: dict[str, dict[str, tuple[str, str]]] = {
     "payment_contribution": {
-        "benefit_claimed": ("benefit_claimed_id", "benefit_claimed"),
+        # first, so that facts stored by payment id (sources.store) meet it where they lie
         "payment": ("payment_id", "payment"),
+        "benefit_claimed": ("benefit_claimed_id", "benefit_claimed"),
     },
     "benefit_claimed": {
         "claim": ("claim_id", "claim"),
@@ -74,13 +75,14 @@ def rename_select(df: DataFrame, mapping) -> DataFrame:
 
 def _attach_parents(tables: Mapping[str, DataFrame], entity: str, df: DataFrame,
                     columns: list[str], tree: dict) -> tuple[DataFrame, list[str]]:
-    for rel, sub in tree.items():
-        if rel == _OWN:
+    relationships = RELATIONSHIPS.get(entity, {})
+    for rel in tree.keys() - relationships.keys() - {_OWN}:
+        known = ", ".join(sorted(relationships)) or "none"
+        raise ValueError(f"{entity} has no relationship {rel!r} (known: {known})")
+    for rel, (fk, parent_entity) in relationships.items():
+        if rel not in tree:
             continue
-        if rel not in RELATIONSHIPS.get(entity, {}):
-            known = ", ".join(sorted(RELATIONSHIPS.get(entity, {}))) or "none"
-            raise ValueError(f"{entity} has no relationship {rel!r} (known: {known})")
-        fk, parent_entity = RELATIONSHIPS[entity][rel]
+        sub = tree[rel]
         grand = RELATIONSHIPS.get(parent_entity, {})
         needed = ["id", *sorted((set(sub.get(_OWN, ()))
                                  | {grand[r][0] for r in sub if r != _OWN}) - {"id"})]

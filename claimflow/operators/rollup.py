@@ -14,12 +14,14 @@ drop missing values: one missing amount makes the total missing):
                             amount, missing ones last (see :func:`pick_order`)
 * ``eff_date_last_payment`` max of release
 
-The rollup is split into a *partial* state per arbitrary key and a *final*
-merge, so a plan can pre-aggregate payments by their foreign key before
-joining the (much smaller) result to its parent and finishing by name.
-Every state field is a number or date of fixed width that merges with
-sum/min/max, so both steps are hash aggregates that combine map-side without
-sorting the payments, and a hot benefit cannot overload one task.
+Every step is two hash aggregates: first the rows of one (key, day and line) are
+reduced to their sums and their least amount, then those of a key, where the least
+(day and line) brings its amount along.  The tie order is so exact for any amount,
+and every buffer is a number or date of fixed width: no task sorts payments, both
+steps combine map-side, and a hot benefit is spread over its days and lines before
+it is brought together.  The states merge by the same two steps, so a plan can
+reduce payments by their foreign key before it joins the (much smaller) result to
+the parent and finishes by name.
 """
 
 from __future__ import annotations
@@ -30,63 +32,60 @@ from pyspark.sql import functions as F
 MEASURES = ("total_paid", "first_payment", "last_payment", "last_amount",
             "eff_date_last_payment")
 EXACT = "decimal(28,8)"
+LAST_DAY = 5_000_000    # counted from 1970; every date that Spark knows is before it
 
+_SUMS = ("n", "n_amount", "n_exact", "exact", "total", "n_first", "n_last", "n_release")
 
-def pick_order(release: Column, tiebreak: Column, amount: Column) -> Column:
-    """The tie order as one number, smallest first; null without a release date.
 
-    Seven digits for the day (latest first), ten for the line number, 21 for the
-    amount in millionths; a missing line number or amount comes after all others.
-    Amounts beyond 100,000 billion either way are ranked as if they were at that
-    bound, amounts that agree to the millionth have the same rank.
+def pick_at(release: Column, tiebreak: Column) -> Column:
+    """Day and line as one whole number, smallest first; null without a release date.
+
+    The latest day comes first, then the smallest line number (32 bits), a missing one last.
     """
-    bound = 10 ** 14
-    day = (F.lit(5_000_000) - F.unix_date(release)).cast("decimal(7,0)")
-    line = F.coalesce(tiebreak.cast("bigint") + 2 ** 31, F.lit(2 ** 33)).cast("decimal(10,0)")
-    within = F.greatest(F.least(amount, F.lit(float(bound))), F.lit(float(-bound)))
-    rank = F.when(amount.isNull(), F.lit(3 * bound).cast("decimal(15,0)")).otherwise(
-        F.when(F.isnan(amount), F.lit(2 * bound).cast("decimal(15,0)")).otherwise(
-            within.cast("decimal(21,6)"))).cast("decimal(21,6)")
-    text = F.concat(F.lpad(day.cast("string"), 7, "0"), F.lpad(line.cast("string"), 10, "0"),
-                    F.lpad(((rank + bound) * 1_000_000).cast("decimal(21,0)").cast("string"), 21, "0"))
-    return text.cast("decimal(38,0)")
-
-
-def partial_states(amount: Column, start: Column, through: Column, release: Column,
-                   tiebreak: Column) -> list[Column]:
-    """Aggregate expressions of the partial state (one row per key)."""
-    first = F.coalesce(start, release)
-    last = F.coalesce(through, release)
-    exact = amount.try_cast(EXACT)
-    fits = F.when(exact.cast("double") == amount, exact)
-    order = pick_order(release, tiebreak, amount)
-    return [
-        F.count(F.lit(1)).alias("n"),
-        F.count(amount).alias("n_amount"),
-        F.count(fits).alias("n_exact"),
-        F.sum(fits).alias("exact"),
-        F.sum(amount).alias("total"),
-        F.count(first).alias("n_first"),
-        F.min(first).alias("first"),
-        F.count(last).alias("n_last"),
-        F.max(last).alias("last"),
-        F.count(release).alias("n_release"),
-        F.max(release).alias("eff"),
-        F.min(order).alias("pick_order"),
-        F.min_by(amount, order).alias("pick"),
-    ]
+    day = (F.lit(LAST_DAY) - F.unix_date(release)).cast("bigint")
+    return day * 2 ** 34 + F.coalesce(tiebreak.cast("bigint") + 2 ** 31, F.lit(2 ** 33))
+
+
+def _combined() -> list[Column]:
+    """Aggregates that bring states together, but for the pick."""
+    return [*[F.sum(c).alias(c) for c in _SUMS], F.min("first").alias("first"), F.max("last").alias("last"),
+            F.max("eff").alias("eff")]
 
 
-def merge_states() -> list[Column]:
-    """Aggregate expressions merging partial states of the same group."""
-    return [F.sum(c).alias(c) for c in ("n", "n_amount", "n_exact", "exact", "total", "n_first",
-                                        "n_last", "n_release")] + [
+def _picked(reduced: DataFrame, keys: list[str]) -> DataFrame:
+    """States of one (key, pick_at) each -> one state per key."""
+    return reduced.groupBy(*keys).agg(*_combined(), F.min_by("pick", "pick_at").alias("pick"),
+                                      F.min("pick_at").alias("pick_at"))
+
+
+def states(payments: DataFrame, keys: list[str], amount: Column, start: Column, through: Column,
+           release: Column, tiebreak: Column) -> DataFrame:
+    """One partial state per ``keys`` (missing keys are a group) of contribution rows."""
+    exact = amount.try_cast(EXACT)
+    rows = payments.select(
+        *keys, amount.alias("amount"), F.when(exact.cast("double") == amount, exact).alias("fits"),
+        F.coalesce(start, release).alias("first"), F.coalesce(through, release).alias("last"),
+        release.alias("release"), pick_at(release, tiebreak).alias("pick_at"))
+    reduced = rows.groupBy(*keys, "pick_at").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("amount").alias("n_amount"),
+        F.count("fits").alias("n_exact"),
+        F.sum("fits").alias("exact"),
+        F.sum("amount").alias("total"),
+        F.count("first").alias("n_first"),
         F.min("first").alias("first"),
+        F.count("last").alias("n_last"),
         F.max("last").alias("last"),
-        F.max("eff").alias("eff"),
-        F.min_by("pick", "pick_order").alias("pick"),
-        F.min("pick_order").alias("pick_order"),
-    ]
+        F.count("release").alias("n_release"),
+        F.max("release").alias("eff"),
+        F.min("amount").alias("pick"),   # numbers before NaN, missing ones last
+    )
+    return _picked(reduced, keys)
+
+
+def merged(partial: DataFrame, keys: list[str]) -> DataFrame:
+    """One state per ``keys`` from states of finer groups."""
+    return _picked(partial.groupBy(*keys, "pick_at").agg(*_combined(), F.min("pick").alias("pick")), keys)
 
 
 def measure_columns() -> list[Column]:
@@ -104,15 +103,14 @@ def measure_columns() -> list[Column]:
     ]
 
 
-def finish(states: DataFrame, key: str) -> DataFrame:
+def finish(partial: DataFrame, key: str) -> DataFrame:
     """States -> one row of measures per ``key``."""
-    return states.select(key, *measure_columns())
+    return partial.select(key, *measure_columns())
 
 
 def rollup_payments(payments: DataFrame, key: str = "benefit_claimed_name",
                     amount: str = "amount", start: str = "start", through: str = "through",
                     release: str = "release", tiebreak: str = "line_number") -> DataFrame:
     """One row per ``key`` of a payments extract (contribution grain)."""
-    states = payments.groupBy(key).agg(*partial_states(
-        F.col(amount), F.col(start), F.col(through), F.col(release), F.col(tiebreak)))
-    return finish(states, key)
+    return finish(states(payments, [key], F.col(amount), F.col(start), F.col(through), F.col(release),
+                         F.col(tiebreak)), key)

@@ -1,7 +1,8 @@
 """Registered queries: one per operator group, each ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver tables under ``sf_dir`` (through the fixture
-mapping) in full; none samples, caps or subsets rows.
+mapping) in full; none samples, caps or subsets rows.  Those that join payments read
+them from a store written once per application (:mod:`claimflow.sources.store`).
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from ..operators.supplements import SUPPLEMENT_COLUMNS, fold, fold_with_orphans,
 from ..session import materialize, scratch_path
 from ..sources import extracts as X
 from ..sources.fixtures import (REP_END, REP_START, entities, payment_text_extract,
-                                read_driver_table)
+                                read_driver_table, stored_entities)
 from ..sources.sinks import read_csv, write_report
 from . import acr, ocr
 from .lookups import latest_diagnosis, payment_rollup
@@ -42,15 +43,15 @@ RELATE_FIELDS = {
 
 
 def _measured(spark: SparkSession, sf: str) -> DataFrame:
-    return ocr.ocr_frame(entities(spark, sf), REP_END)
+    return ocr.ocr_frame(stored_entities(spark, sf), REP_END)
 
 
 def relate_paths(spark, sf):
-    return relate(entities(spark, sf), "payment_contribution", RELATE_FIELDS)
+    return relate(stored_entities(spark, sf), "payment_contribution", RELATE_FIELDS)
 
 
 def payments_extract(spark, sf):
-    return X.payments_extract(entities(spark, sf), REP_END)
+    return X.payments_extract(stored_entities(spark, sf), REP_END)
 
 
 def diagnosis_extract(spark, sf):
@@ -62,7 +63,7 @@ def ocr_base(spark, sf):
 
 
 def acr_base(spark, sf):
-    return X.acr_base(entities(spark, sf), REP_START)
+    return X.acr_base(stored_entities(spark, sf), REP_START)
 
 
 def typed_casts(spark, sf):
@@ -120,11 +121,11 @@ def merge_key(spark, sf):
 
 
 def payment_rollup_q(spark, sf):
-    return payment_rollup(entities(spark, sf), REP_END)
+    return payment_rollup(stored_entities(spark, sf), REP_END)
 
 
 def ocr_with_payments(spark, sf):
-    return ocr.ocr_clean(entities(spark, sf), REP_END).select(
+    return ocr.ocr_clean(stored_entities(spark, sf), REP_END).select(
         "name", "total_paid", "first_payment", "last_payment", "last_amount",
         "eff_date_last_payment")
 
@@ -134,12 +135,12 @@ def latest_diagnosis_q(spark, sf):
 
 
 def latest_diagnosis_join(spark, sf):
-    return acr.acr_frame(entities(spark, sf), REP_START).select(
+    return acr.acr_frame(stored_entities(spark, sf), REP_START).select(
         "contribution_name", "claim_name", "medical_code", "description", "duration_factor")
 
 
 def source_of_claim(spark, sf):
-    return acr.acr_frame(entities(spark, sf), REP_START).select(
+    return acr.acr_frame(stored_entities(spark, sf), REP_START).select(
         "contribution_name", "source_of_claim")
 
 
@@ -149,17 +150,17 @@ def waiting_total(spark, sf):
 
 
 def annual_sum_insured(spark, sf):
-    return acr.acr_frame(entities(spark, sf), REP_START).select(
+    return acr.acr_frame(stored_entities(spark, sf), REP_START).select(
         "contribution_name", "benefit_name", "coverage_amount", "annual_sum_insured")
 
 
 def supplement_fold(spark, sf):
-    clean = ocr.ocr_clean(entities(spark, sf), REP_END)
+    clean = ocr.ocr_clean(stored_entities(spark, sf), REP_END)
     return fold(clean).select("name", "sc_key", *SUPPLEMENT_COLUMNS)
 
 
 def orphan_supplements(spark, sf):
-    clean = ocr.ocr_clean(entities(spark, sf), REP_END)
+    clean = ocr.ocr_clean(stored_entities(spark, sf), REP_END)
     return orphans(clean).select("name", "sc_key", "claim_name", "benefit_name",
                                  *SUPPLEMENT_COLUMNS)
 
@@ -178,7 +179,7 @@ def gsc_days(spark, sf):
 
 
 def stage_audit(spark, sf):
-    t = entities(spark, sf)
+    t = stored_entities(spark, sf)
     typed = ocr.ocr_typed(t, REP_END)
     clean = materialize(ocr.ocr_clean(t, REP_END), "ocr_open_claims")  # as in the report
     folded, orphan_rows = fold(clean), orphans(clean)
@@ -202,18 +203,18 @@ def stage_audit(spark, sf):
 
 def csv_roundtrip(spark, sf):
     """ACR report written as CSV to the shared scratch folder and read back."""
-    report = acr.acr_report(entities(spark, sf), REP_START, REP_END)
+    report = acr.acr_report(stored_entities(spark, sf), REP_START, REP_END)
     path = scratch_path(spark, "csv_roundtrip")
     write_report(report, [path])
     return read_csv(spark, path, report.schema)
 
 
 def acr_report(spark, sf):
-    return acr.acr_report(entities(spark, sf), REP_START, REP_END)
+    return acr.acr_report(stored_entities(spark, sf), REP_START, REP_END)
 
 
 def ocr_report(spark, sf):
-    return ocr.ocr_report(entities(spark, sf), REP_END)
+    return ocr.ocr_report(stored_entities(spark, sf), REP_END)
 
 
 QUERIES: dict[str, Query] = {

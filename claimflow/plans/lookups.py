@@ -4,7 +4,8 @@ Both are aggregated *before* their join to the parent objects: payments are
 reduced per benefit-claimed foreign key and diagnoses per journal foreign key
 (map-side combinable states), the small state frames are joined to their
 parents to get the grouping name and apply the group-business filter, and the
-states are merged per name.  The big fact tables are never shuffled whole.
+states are merged per name.  The big fact tables are never shuffled whole.  Of the
+diagnoses only (journal, day) is reduced; texts are fetched for the latest day.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import as_date, as_number
 from ..operators import predicates as P
-from ..operators.latest import attach_lookup, finish_latest, latest_state
+from ..operators.latest import attach_lookup, first_of_tied, latest_day
 from ..operators.relate import relate
-from ..operators.rollup import finish, merge_states, partial_states
+from ..operators.rollup import finish, merged, states
 
 DIAGNOSIS_PAYLOAD = ("medical_code", "description", "duration_factor")
 
@@ -43,19 +44,18 @@ def payment_states(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFra
     pc = as_date(as_number(tables["payment_contribution"], ["amount"]), ["start", "through"])
     pc = pc.select("benefit_claimed_id", "payment_id", "line_number", "amount", "start", "through")
     pc = pc.join(paid, pc["payment_id"] == paid["_payment"])
-    return pc.groupBy("benefit_claimed_id").agg(*partial_states(
-        F.col("amount"), F.col("start"), F.col("through"), F.col("release"),
-        F.col("line_number")))
+    return states(pc, ["benefit_claimed_id"], F.col("amount"), F.col("start"), F.col("through"),
+                  F.col("release"), F.col("line_number"))
 
 
 def payment_states_by_name(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
     """:func:`payment_states` merged per benefit-claimed name (one state row per
     name, a missing name included): the payments extract groups by name."""
-    states = payment_states(tables, rep_end)
+    per_id = payment_states(tables, rep_end)
     parents = _group_parents(tables, "benefit_claimed", "name", "claim.business_type",
                              "benefit_claimed_name")
-    joined = states.join(parents, states["benefit_claimed_id"] == parents["_id"])
-    return joined.groupBy("benefit_claimed_name").agg(*merge_states())
+    joined = per_id.join(parents, per_id["benefit_claimed_id"] == parents["_id"])
+    return merged(joined, ["benefit_claimed_name"])
 
 
 def payment_rollup(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
@@ -67,16 +67,22 @@ def latest_diagnosis(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Latest primary / cause-of-death diagnosis per group claim name.
 
     Order: ``coalesce(start, created)`` newest first, then diagnosis name.
+    The latest day is found per journal and then per claim, on ids and days alone;
+    only the diagnoses of that day are read with their texts.
     """
     dx = tables["diagnosis"].filter(P.diagnosis_type_in_scope(F.col("type")))
     dx = as_date(dx, ["start", "created"])
-    aux = F.coalesce(F.col("start"), F.col("created"))
-    states = (dx.filter(aux.isNotNull()).groupBy("journal_id")
-              .agg(latest_state(aux, F.col("name"), DIAGNOSIS_PAYLOAD).alias("_top")))
+    dx = dx.select("journal_id", F.coalesce(F.col("start"), F.col("created")).alias("_day"), "name",
+                   *DIAGNOSIS_PAYLOAD)
     parents = _group_parents(tables, "journal", "claim.name", "claim.business_type",
                              "claim_name")
-    joined = states.join(parents, states["journal_id"] == parents["_id"])
-    return finish_latest(joined, "claim_name", DIAGNOSIS_PAYLOAD)
+    journals = latest_day(dx, "journal_id", "_day").join(parents, F.col("journal_id") == F.col("_id"))
+    claims = latest_day(journals, "claim_name", "_day").toDF("_claim", "_last")
+    winners = journals.join(claims, journals["claim_name"].eqNullSafe(claims["_claim"])
+                            & (journals["_day"] == claims["_last"])) \
+        .select(F.col("_id").alias("_journal"), "claim_name", "_last")
+    tied = dx.join(winners, (dx["journal_id"] == winners["_journal"]) & (dx["_day"] == winners["_last"]))
+    return first_of_tied(tied, "claim_name", "name", DIAGNOSIS_PAYLOAD)
 
 
 def with_latest_diagnosis(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

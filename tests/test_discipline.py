@@ -18,7 +18,7 @@ FORBIDDEN = {
     "python udf": r"\budf\(|pandas_udf|applyInPandas|mapInPandas",
     "localCheckpoint": r"localCheckpoint",
     "cross join": r"crossJoin|\"cross\"",
-    "broadcast hint": r"\bbroadcast\(|\.hint\(",
+    "broadcast hint": r"\bbroadcast\(|\.hint\((?!\"merge\"\))",
 }
 
 
