@@ -28,6 +28,10 @@ _YMD_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+# A field of nothing but blanks is a missing one.
+BLANK = r"^\s*$"
+
+
 def parse_number(text: Column) -> Column:
     """Text to double; any other text, number suffixes and NaN included, gives null."""
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
@@ -76,6 +80,16 @@ def date_column(df: DataFrame, name: str) -> Column:
     return F.col(name) if isinstance(kind, T.DateType) else F.col(name).cast("date")
 
 
+def lost(df: DataFrame, name: str, kind: str) -> Column:
+    """The raw text of ``name`` where it is neither missing nor blank and does not parse as a
+    ``kind`` (number or date); null elsewhere, and always for a column that is delivered typed."""
+    raw = F.col(f"`{name}`")
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return F.lit(None).cast("string")
+    parsed = {"number": parse_number, "date": parse_date}[kind](raw)
+    return F.when(~raw.rlike(BLANK) & parsed.isNull(), raw)
+
+
 def prior_month_end(d: Column) -> Column:
     """Last day of the month before ``d`` (also when ``d`` is itself a month end)."""
     return F.date_sub(F.trunc(d, "month"), 1)

@@ -1,8 +1,9 @@
 """Row-count audit of pipeline stages, as a DataFrame.
 
-Each metric is a one-row global aggregate; the audit is their union, so the
-counts are computed by Spark in one job (shared scans and exchanges are
-reused) and nothing but the final handful of rows reaches the driver.
+The metrics of a stage come of one pass over it; the audit is the union of the
+stages' metrics, and nothing but that handful of rows reaches the driver.  Rows in
+and fan-out need no second read of a stage's input: its rows are numbered, and the
+output of left joins still names each of them.
 """
 
 from __future__ import annotations
@@ -14,20 +15,38 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def metric(stage: str, name: str, df: DataFrame, value: Column | None = None) -> DataFrame:
-    """One row ``(stage, metric, value)``; ``value`` defaults to the row count."""
-    value = F.count(F.lit(1)) if value is None else value
-    return df.agg(value.cast("bigint").alias("value")).select(
-        F.lit(stage).alias("stage"), F.lit(name).alias("metric"), "value")
+ROW = "_row"   # names an input row of a stage in the rows that come of it
 
 
-def rows(stage: str, df: DataFrame) -> DataFrame:
-    return metric(stage, "rows", df)
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with a number for each row; stage the result before it is counted, so that
+    the numbers are given once."""
+    return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def nulls(stage: str, name: str, df: DataFrame, col: str) -> DataFrame:
-    """Rows of ``df`` where ``col`` is missing (unmatched lookups, failed casts)."""
-    return metric(stage, name, df, F.count_if(F.col(col).isNull()))
+def _long(metrics: DataFrame, stage: str) -> DataFrame:
+    """One row of named numbers -> rows (stage, metric, value)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias("value"))
+                      for c in metrics.columns])
+    return metrics.select(F.lit(stage).alias("stage"), F.explode(pairs).alias("m")).select("stage", "m.metric", "m.value")
+
+
+def counted(stage: str, df: DataFrame, **counts: Column) -> DataFrame:
+    """The rows of ``df`` and how many of them meet each condition, in one pass."""
+    return _long(df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in counts.items()]), stage)
+
+
+def matched(stage: str, df: DataFrame, keep: Column | None = None, **counts: Column) -> DataFrame:
+    """A stage of left joins, in one pass over its output, which carries the number of its input row.
+
+    ``rows_in``: input rows; ``fan_out``: the most output rows that came of one of them;
+    ``rows``: output rows (those that ``keep`` holds for); and of the output rows how many
+    meet each condition.
+    """
+    per_row = df.groupBy(ROW).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.lit(True) if keep is None else keep).alias("_kept"),
+                                  *[F.count_if(c).alias(n) for n, c in counts.items()])
+    return _long(per_row.agg(F.count(F.lit(1)).alias("rows_in"), F.max("_n").alias("fan_out"), F.sum("_kept").alias("rows"),
+                             *[F.sum(n).alias(n) for n in counts]), stage)
 
 
 def audit(metrics: Iterable[DataFrame]) -> DataFrame:

@@ -14,16 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.casts import as_date, as_number, prior_month_end
-from ..operators import audit as A
 from ..operators import predicates as P
 from ..operators.relate import relate
 from ..operators.supplements import SUPPLEMENT_COLUMNS, fold, fold_with_orphans, orphans
-from ..session import materialize, scratch_path
+from ..session import once, scratch_path, staging_scope
 from ..sources import extracts as X
 from ..sources.fixtures import (REP_END, REP_START, entities, payment_text_extract,
-                                read_driver_table, stored_entities)
+                                read_driver_table, stored_entities, text_entities)
+from ..sources.rejects import rejects, staged_with_rejects
 from ..sources.sinks import read_csv, write_report
-from . import acr, ocr
+from . import acr, ocr, stages
 from .lookups import latest_diagnosis, payment_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,25 +180,14 @@ def gsc_days(spark, sf):
 
 def stage_audit(spark, sf):
     t = stored_entities(spark, sf)
-    typed = ocr.ocr_typed(t, REP_END)
-    clean = materialize(ocr.ocr_clean(t, REP_END), "ocr_open_claims")  # as in the report
-    folded, orphan_rows = fold(clean), orphans(clean)
-    measured = ocr.apply_measures(fold_with_orphans(clean), REP_END)
-    acr_rows = acr.acr_frame(t, REP_START)
-    return A.audit([
-        A.rows("ocr_base", typed),
-        A.rows("open_at", typed.filter(P.open_at(F.col("status"), F.col("closure_date"),
-                                                 REP_END))),
-        A.rows("payments_extract", X.payments_extract(t, REP_END)),
-        A.rows("payment_rollup", payment_rollup(t, REP_END)),
-        A.nulls("ocr_with_payments", "unmatched", clean, "eff_date_last_payment"),
-        A.rows("latest_diagnosis", latest_diagnosis(t)),
-        A.rows("supplement_fold", folded),
-        A.rows("orphan_supplements", orphan_rows),
-        A.rows("ocr_report", measured),
-        A.rows("acr_report", acr_rows),
-        A.nulls("acr_report", "no_diagnosis", acr_rows, "source_of_claim"),
-    ])
+    with staging_scope(spark):
+        return once(stages.stage_audit(t, REP_START, REP_END, payment_text_extract(entities(spark, sf))), "stage_audit")
+
+
+def cast_rejects(spark, sf):
+    """What the casts of text extracts lose, from the scan that the report reads."""
+    with staging_scope(spark):
+        return once(rejects(staged_with_rejects(text_entities(entities(spark, sf)))), "cast_rejects")
 
 
 def csv_roundtrip(spark, sf):
@@ -243,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "total_payg": total_payg,
     "gsc_days": gsc_days,
     "stage_audit": stage_audit,
+    "cast_rejects": cast_rejects,
     "csv_roundtrip": csv_roundtrip,
     "acr_report": acr_report,
     "ocr_report": ocr_report,

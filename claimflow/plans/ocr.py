@@ -82,10 +82,11 @@ OCR_COLUMNS = (
 
 
 def ocr_typed(tables: Mapping[str, DataFrame], rep_end: dt.date,
-              rows: DataFrame | None = None) -> DataFrame:
-    """OCR extract with casts, derived key columns, and the latest diagnosis."""
+              rows: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """OCR extract with casts, derived key columns, and the latest diagnosis; columns
+    of ``rows`` beyond the benefit's own stay if they are in ``keep``."""
     t = with_latest_diagnosis(tables)
-    df = ocr_base(t, rep_end, extra=diagnosis_fields("claim"), rows=rows)
+    df = ocr_base(t, rep_end, extra={**diagnosis_fields("claim"), **{c: c for c in keep}}, rows=rows)
     df = as_date(df, ["reopened_date", "date_of_disability", "notification_date"])
     df = as_date(df, ["closure_date", "reopened_date", "date_of_reoccurrence"])
     df = as_number(df, ["waiting_period", "waiting_period_extension", "coverage_amount"])
@@ -112,8 +113,13 @@ def ocr_clean(tables: Mapping[str, DataFrame], rep_end: dt.date,
               tap: Callable = no_tap) -> DataFrame:
     """Open benefits with their payment rollup (and latest diagnosis), joined by
     benefit-claimed name; a missing name meets the rollup of the missing name."""
+    return with_payments(tables, rep_end, ocr_open(tables, rep_end, tap), tap)
+
+
+def with_payments(tables: Mapping[str, DataFrame], rep_end: dt.date, df: DataFrame,
+                  tap: Callable = no_tap) -> DataFrame:
+    """Open benefits with the rollup of their name."""
     states = payment_states_by_name(tables, rep_end)
-    df = ocr_open(tables, rep_end, tap)
     joined = df.join(states, df["name"].eqNullSafe(states["benefit_claimed_name"]), "left")
     clean = joined.select(*[df[c] for c in df.columns], *measure_columns())
     return tap("ocr_with_payments", clean,

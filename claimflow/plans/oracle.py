@@ -212,6 +212,10 @@ CTE = {
                CAST(a.date_of_disability AS VARCHAR) AS date_incurred
         FROM acr_base a
         LEFT JOIN latest l ON a.claim_name IS NOT DISTINCT FROM l.claim_name""",
+    "numbered_pc": "SELECT row_number() OVER () AS rowid_, * FROM payment_contribution",
+    "keyed": f"""
+        SELECT sc_key, count(*) FILTER ({SC}) AS sc, count(*) FILTER ({SCADD}) AS a, count(*) FILTER ({ADD}) AS d
+        FROM ocr_clean GROUP BY sc_key""",
     "typed_text": """
         SELECT name AS contribution_name, line_number,
                CASE WHEN amount IS NULL THEN NULL
@@ -258,26 +262,86 @@ _SUPP = ("benefit_sc, total_paid_sc, benefit_sc_add, total_paid_sc_add, benefit_
          "total_paid_add")
 
 
+_NUMBER = "'[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'"
+_ALONE = "coalesce(benefit_sc, total_paid_sc, benefit_sc_add, total_paid_sc_add, benefit_add, total_paid_add) IS NULL"
+# matches per left row, counted key by key
+_FOLD = """(SELECT greatest(1, sc) * greatest(1, a) * greatest(1, d) AS n FROM ocr_clean p
+            LEFT JOIN keyed k ON k.sc_key = p.sc_key WHERE """ + PRIMARY + ")"
+
+
 def _audit_sql() -> str:
+    no_orphan_claim = f"""NOT EXISTS (SELECT 1 FROM ocr_clean p WHERE {PRIMARY.replace('benefit_name', 'p.benefit_name')}
+                          AND p.claim_name IS NOT DISTINCT FROM c.claim_name)"""
+    branch = lambda left, right: (
+        f"CASE WHEN {left.replace('benefit_name', 'c.benefit_name')} THEN greatest(1, (SELECT count(*) FROM ocr_clean r "
+        f"WHERE r.sc_key = c.sc_key AND NOT {right.replace('benefit_name', 'r.benefit_name')})) ELSE 0 END")
+    lone = f"""(SELECT {branch(SC, SC)} + {branch(SCADD, SCADD)} + {branch(ADD_ANY, ADD)} AS n FROM ocr_clean c
+               WHERE ({SC} OR {SCADD} OR {ADD_ANY}) AND {no_orphan_claim})"""
     rows = [
-        ("ocr_base", "rows", "SELECT count(*) FROM ocr_base"),
-        ("open_at", "rows", "SELECT count(*) FROM ocr_open"),
+        ("typed_casts", "rows", "SELECT count(*) FROM typed_text"),
+        ("typed_casts", "amount_cast_nulls", f"""SELECT count(*) FROM typed_text WHERE trim(amount_text) <> ''
+            AND NOT regexp_full_match(trim(amount_text), {_NUMBER})"""),
+        ("typed_casts", "release_cast_nulls", f"""SELECT count(*) FROM typed_text WHERE trim(release_text) <> ''
+            AND ({_DATE_PARSE}) IS NULL"""),
+        ("payments_extract", "rows_in", "SELECT count(*) FROM payment_contribution"),
+        ("payments_extract", "fan_out", """SELECT max(n) FROM (SELECT pc.rowid_, count(*) AS n FROM numbered_pc pc
+            LEFT JOIN payment pm ON pm.id = pc.payment_id LEFT JOIN benefit_claimed bc ON bc.id = pc.benefit_claimed_id
+            GROUP BY pc.rowid_)"""),
         ("payments_extract", "rows", "SELECT count(*) FROM payments"),
+        ("payments_extract", "unmatched", """SELECT count(*) FROM payment_contribution pc
+            LEFT JOIN payment pm ON pm.id = pc.payment_id LEFT JOIN benefit_claimed bc ON bc.id = pc.benefit_claimed_id
+            WHERE pm.id IS NULL OR bc.id IS NULL"""),
+        ("payments_extract", "cast_nulls", "SELECT 0"),
         ("payment_rollup", "rows", "SELECT count(*) FROM rollup"),
+        ("acr_report", "rows_in", "SELECT count(*) FROM payment_contribution"),
+        ("acr_report", "fan_out", """SELECT max(n) FROM (SELECT pc.rowid_, count(*) AS n FROM numbered_pc pc
+            LEFT JOIN payment pm ON pm.id = pc.payment_id GROUP BY pc.rowid_)"""),
+        ("acr_report", "rows", "SELECT count(*) FROM acr_frame"),
+        ("acr_report", "no_diagnosis",
+         "SELECT count(*) FROM acr_frame WHERE source_of_claim IS NULL"),
+        ("benefit_claimed", "rows", "SELECT count(*) FROM benefit_claimed"),
+        ("ocr_base", "rows", "SELECT count(*) FROM ocr_base"),
+        ("ocr_base", "cast_nulls", "SELECT 0"),
+        ("open_at", "rows", "SELECT count(*) FROM ocr_open"),
+        ("ocr_with_payments", "rows_in", "SELECT count(*) FROM ocr_open"),
+        ("ocr_with_payments", "fan_out", """SELECT max(n) FROM (SELECT count(*) AS n FROM rollup
+            GROUP BY benefit_claimed_name)"""),
+        ("ocr_with_payments", "rows", "SELECT count(*) FROM ocr_clean"),
         ("ocr_with_payments", "unmatched",
          "SELECT count(*) FROM ocr_clean WHERE eff_date_last_payment IS NULL"),
+        ("diagnosis_extract", "rows_in", "SELECT count(*) FROM diagnosis"),
+        ("diagnosis_extract", "fan_out", "SELECT max(n) FROM (SELECT count(*) AS n FROM journal GROUP BY id)"),
+        ("diagnosis_extract", "rows", "SELECT count(*) FROM dx"),
+        ("diagnosis_extract", "unmatched", """SELECT count(*) FROM diagnosis d LEFT JOIN journal j ON j.id = d.journal_id
+            WHERE j.id IS NULL"""),
+        ("diagnosis_extract", "cast_nulls", "SELECT 0"),
         ("latest_diagnosis", "rows", "SELECT count(*) FROM latest"),
+        ("supplement_fold", "rows_in", f"SELECT count(*) FROM ocr_clean WHERE {PRIMARY}"),
+        ("supplement_fold", "fan_out", f"SELECT max(n) FROM {_FOLD}"),
         ("supplement_fold", "rows", "SELECT count(*) FROM folded"),
+        ("supplement_fold", "unmatched", f"SELECT count(*) FROM folded WHERE {_ALONE}"),
+        ("orphan_supplements", "rows_in", f"SELECT count(*) FROM {lone}"),
+        ("orphan_supplements", "fan_out", f"SELECT max(n) FROM {lone}"),
         ("orphan_supplements", "rows", "SELECT count(*) FROM orphans"),
+        ("orphan_supplements", "unmatched", f"SELECT count(*) FROM orphans WHERE {_ALONE}"),
         ("ocr_report", "rows", "SELECT count(*) FROM measured"),
-        ("acr_report", "rows", "SELECT count(*) FROM acr_frame"),
-        ("acr_report", "no_diagnosis",
-         "SELECT count(*) FROM acr_frame WHERE source_of_claim IS NULL"),
     ]
     body = "\nUNION ALL ".join(
-        f"SELECT '{s}' AS stage, '{m}' AS metric, CAST(({q}) AS BIGINT) AS value"
+        f"SELECT '{s}' AS stage, '{m}' AS metric, CAST(coalesce(({q}), 0) AS BIGINT) AS value"
         for s, m, q in rows)
-    return _sql(body, *_OCR_ALL, "acr_base", "acr_frame")
+    return _sql(body, *_OCR_ALL, "acr_base", "acr_frame", "typed_text", "numbered_pc", "keyed")
+
+
+_REJECTS_SQL = [
+    ("payment_contribution", "name", "amount",
+     "CASE WHEN k % 7 = 0 THEN 'abc' WHEN k % 7 = 2 THEN '12d' WHEN k % 7 <> 1 AND isnan(amount) THEN 'NaN' END",
+     "(SELECT *, CAST(benefit_claimed_id AS BIGINT) AS k FROM payment_contribution)"),
+    ("payment_contribution", "name", "start", "CASE WHEN (k + line_number) % 11 = 0 THEN '2020-13-45' END",
+     "(SELECT *, CAST(benefit_claimed_id AS BIGINT) AS k FROM payment_contribution)"),
+    ("payment", "id", "release", "CASE day(release) WHEN 7 THEN 'junk' WHEN 9 THEN strftime(release, '%d/%m/%Y') END", "payment"),
+    ("benefit_claimed", "id", "coverage_amount", "CASE WHEN CAST(id AS BIGINT) % 17 = 3 THEN '1,000.00' END", "benefit_claimed"),
+    ("benefit_claimed", "id", "closure_date", "CASE WHEN CAST(id AS BIGINT) % 19 = 4 THEN 'open' END", "benefit_claimed"),
+]
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -357,6 +421,9 @@ ORACLE_SQL: dict[str, str] = {
     "total_payg": _sql("SELECT name, total_paid AS total_payg FROM measured", *_OCR_ALL),
     "gsc_days": _sql("SELECT name, gsc_start, gsc_end, gsc_days FROM measured", *_OCR_ALL),
     "stage_audit": _audit_sql(),
+    "cast_rejects": with_entities(select="\nUNION ALL ".join(
+        f"""SELECT '{o}' AS object, {key} AS id, '{c}' AS "column", raw FROM (SELECT *, {raw} AS raw FROM {source}) WHERE raw IS NOT NULL"""
+        for o, key, c, raw, source in _REJECTS_SQL)),
     "csv_roundtrip": _sql(f"SELECT {_ACR_SELECT} FROM acr_frame", *_ACR),
     "acr_report": _sql(f"SELECT {_ACR_SELECT} FROM acr_frame", *_ACR),
     "ocr_report": _sql(f"SELECT {_OCR_SELECT} FROM measured", *_OCR_ALL),

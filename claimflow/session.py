@@ -142,5 +142,15 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def once(df: DataFrame, name: str) -> DataFrame:
+    """:func:`materialize` for the small result of a :func:`staging_scope`: it outlives the
+    scope, whose staged tables can go."""
+    token = _STAGED.set(None)
+    try:
+        return materialize(df, name)
+    finally:
+        _STAGED.reset(token)
+
+
 __all__ = ["DEFAULTS", "get_session", "checkpoint_dir", "scratch_path", "materialize",
-           "staging_scope", "delete_path"]
+           "staging_scope", "delete_path", "once"]

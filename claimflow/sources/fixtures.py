@@ -283,3 +283,22 @@ def payment_text_extract(tables: dict[str, DataFrame]) -> DataFrame:
                     .when(fmt == 4, "junk"))
     return pc.select(F.col("name").alias("contribution_name"), "line_number",
                      amount_text.alias("amount_text"), release_text.alias("release_text"))
+
+
+def text_entities(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Objects as a text extract would deliver them, with junk in dates and amounts."""
+    k, lines, days = F.col("benefit_claimed_id").cast("bigint"), F.col("line_number"), F.dayofmonth("release")
+    number = F.col("id").cast("bigint")
+    amount = F.when(F.isnan("amount"), "NaN").otherwise(F.col("amount").try_cast("decimal(28,2)").cast("string"))
+    contribution = tables["payment_contribution"].withColumns({
+        "amount": F.when(k % 7 == 0, "abc").when(k % 7 == 1, "").when(k % 7 == 2, "12d").otherwise(amount),
+        "start": F.when((k + lines) % 11 == 0, "2020-13-45").otherwise(_s(F.col("start"))),
+        "through": F.when((k + lines) % 13 == 0, "  ").otherwise(_s(F.col("through")))})
+    payment = tables["payment"].withColumn("release", F.when(days == 7, "junk").when(
+        days == 8, F.date_format("release", "yyyyMMdd")).when(days == 9, F.date_format("release", "dd/MM/yyyy"))
+        .otherwise(_s(F.col("release"))))
+    benefit = tables["benefit_claimed"].withColumns({
+        "coverage_amount": F.when(number % 17 == 3, "1,000.00").otherwise(
+            F.col("coverage_amount").try_cast("decimal(28,2)").cast("string")),
+        "closure_date": F.when(number % 19 == 4, "open").otherwise(_s(F.col("closure_date")))})
+    return {**tables, "payment_contribution": contribution, "payment": payment, "benefit_claimed": benefit}
