@@ -25,8 +25,11 @@ matches itself.  A row that mentions 'Super Contribution' without matching
 the SC or SCAdd tests (and does not start with 'Additional') appears in no
 branch.
 
-All joins use the single ``key`` column, so the join outputs share one hash
-partitioning and chained joins do not re-shuffle the wide left side.
+All joins use one key, so the join outputs share one hash partitioning and chained
+joins do not re-shuffle the wide left side.  A merge key that holds a large share of
+the left rows (:func:`heavy_keys`) is dealt over several parts by a hash of the row,
+and the few lookup rows of the key are copied to each part: no task gets the whole
+key, with or without the help of adaptive execution.
 """
 
 from __future__ import annotations
@@ -40,22 +43,70 @@ SUPPLEMENT_COLUMNS = ("benefit_sc", "total_paid_sc", "benefit_sc_add", "total_pa
                       "benefit_add", "total_paid_add")
 
 
+# A key is heavy when its left rows are more than 1/SHARE of all rows (so at most SHARE
+# keys are), and more than LEAST_HEAVY.
+SHARE = 256
+LEAST_HEAVY = 10_000
+PART = "_part"
+
+
+def heavy_keys(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name", share: int = SHARE,
+               least: int = LEAST_HEAVY) -> tuple[dict[str, int], dict[str, int]]:
+    """The heavy keys of the primary rows and of the others, and over how many parts to deal each.
+
+    One aggregate that combines map-side; at most ``share`` rows of either kind reach the
+    driver.  ``clean`` is read twice and should be staged.
+    """
+    limit = max(clean.count() // share, least)
+    is_primary = F.coalesce(text.is_primary_benefit(F.col(name)), F.lit(False))
+    sizes = clean.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count_if(is_primary).alias("_primary"), F.count_if(~is_primary).alias("_other"))
+    primary, other = {}, {}
+    for row in sizes.filter((F.col("_primary") > limit) | (F.col("_other") > limit)).toLocalIterator():
+        for found, n in ((primary, row["_primary"]), (other, row["_other"])):
+            if n > limit:
+                found[row[key]] = -(-n // limit)
+    return primary, other
+
+
+def _parts(key: str, heavy: dict[str, int]) -> Column:
+    """Over how many parts the rows of a key are dealt: 1 but for the heavy keys."""
+    known = F.create_map(*[F.lit(x) for pair in heavy.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.col(key)), F.lit(1))
+
+
+def _dealt(df: DataFrame, key: str, heavy: dict[str, int]) -> DataFrame:
+    """Each row with its part, the same at every attempt: rows are told apart by all their columns."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.withColumn(PART, F.pmod(row, _parts(key, heavy)).cast("int")) if heavy else df
+
+
+def _copied(lookup: DataFrame, key: str, heavy: dict[str, int]) -> DataFrame:
+    """Each lookup row once for every part of its key."""
+    if not heavy:
+        return lookup
+    return lookup.withColumn(PART, F.explode(F.sequence(F.lit(0), _parts(key, heavy) - 1)))
+
+
 def _lookup(df: DataFrame, keep: Column, key: str, cover: str, paid: str,
             cover_as: str, paid_as: str) -> DataFrame:
     return df.filter(keep).select(key, F.col(cover).alias(cover_as), F.col(paid).alias(paid_as))
 
 
 def fold(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
-         cover: str = "coverage_amount", paid: str = "total_paid") -> DataFrame:
-    n = F.col(name)
-    out = clean.filter(text.is_primary_benefit(n))
+         cover: str = "coverage_amount", paid: str = "total_paid",
+         heavy: dict[str, int] | None = None) -> DataFrame:
+    """The primary rows with their supplements; ``heavy`` as :func:`heavy_keys` gives it."""
+    n, heavy = F.col(name), heavy or {}
+    out = _dealt(clean.filter(text.is_primary_benefit(n)), key, heavy)
+    on = [key, PART] if heavy else [key]
     for keep, cover_as, paid_as in (
         (text.is_super_contribution(n), "benefit_sc", "total_paid_sc"),
         (text.is_additional_super_contribution(n), "benefit_sc_add", "total_paid_sc_add"),
         (text.is_additional_benefit(n), "benefit_add", "total_paid_add"),
     ):
-        out = out.join(_lookup(clean, keep, key, cover, paid, cover_as, paid_as), key, "left")
-    return out
+        out = out.join(_copied(_lookup(clean, keep, key, cover, paid, cover_as, paid_as), key, heavy), on, "left")
+    return out.drop(PART)
 
 
 def _orphan_classes(n: Column):
@@ -77,7 +128,7 @@ def _branch_tags(conds) -> Column:
 
 def orphans(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
             claim: str = "claim_name", cover: str = "coverage_amount",
-            paid: str = "total_paid") -> DataFrame:
+            paid: str = "total_paid", heavy: dict[str, int] | None = None) -> DataFrame:
     """Orphan supplements: branch rows whose claim has no primary row.
 
     Same rows as stacking the three branches' left joins and then dropping claims
@@ -94,7 +145,7 @@ def orphans(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
       to the candidates' keys, before it is tagged, so only rows that can match
       are multiplied and shuffled to the join.
     """
-    n = F.col(name)
+    n, heavy = F.col(name), heavy or {}
     classes = _orphan_classes(n)
     primary_claims = (clean.filter(text.is_primary_benefit(n))
                       .select(F.col(claim).alias("_primary_claim")).distinct())
@@ -105,11 +156,13 @@ def orphans(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
         "left_anti")
     tagged = (candidates.withColumn("_branch", _branch_tags([c[0] for c in classes]))
               .filter(F.col("_branch").isNotNull()))
+    tagged = _dealt(tagged, key, heavy)
     near = clean.join(tagged.select(key).distinct(), key, "left_semi")
     lookup = (near.select(key, F.col(cover).alias("_cover"), F.col(paid).alias("_paid"),
                           _branch_tags([c[1] for c in classes]).alias("_branch"))
               .filter(F.col("_branch").isNotNull()))
-    joined = tagged.join(lookup, [key, "_branch"], "left")
+    on = [key, "_branch", PART] if heavy else [key, "_branch"]
+    joined = tagged.join(_copied(lookup, key, heavy), on, "left")
     added = []
     for i, (_, _, cover_as, paid_as) in enumerate(classes, 1):
         mine = F.col("_branch") == i
@@ -122,5 +175,7 @@ def orphans(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
 def fold_with_orphans(clean: DataFrame, key: str = "sc_key", name: str = "benefit_name",
                       claim: str = "claim_name", cover: str = "coverage_amount",
                       paid: str = "total_paid") -> DataFrame:
-    folded = fold(clean, key, name, cover, paid)
-    return folded.unionByName(orphans(clean, key, name, claim, cover, paid))
+    """Both parts of the report.  The heavy keys are found first: ``clean`` should be staged."""
+    primary, other = heavy_keys(clean, key, name)
+    folded = fold(clean, key, name, cover, paid, primary)
+    return folded.unionByName(orphans(clean, key, name, claim, cover, paid, other))

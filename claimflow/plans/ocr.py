@@ -15,7 +15,7 @@ from ..functions.casts import as_date, as_number, date_column
 from ..functions.text import merge_key
 from ..operators import predicates as P
 from ..operators.audit import StageTaps, no_tap
-from ..operators.supplements import fold, orphans
+from ..operators.supplements import fold, heavy_keys, orphans
 from ..session import materialize, staging_scope
 from ..sources.sinks import write_report
 from ..sources.extracts import benefits_in_scope, ocr_base
@@ -157,8 +157,9 @@ def ocr_frame(tables: Mapping[str, DataFrame], rep_end: dt.date,
     instead of being recomputed, joins and rollups included, per branch.
     """
     clean = materialize(ocr_clean(tables, rep_end, tap), "ocr_open_claims")
-    folded = tap("supplement_fold", fold(clean))
-    orphan_rows = tap("orphan_supplements", orphans(clean))
+    primary, other = heavy_keys(clean)
+    folded = tap("supplement_fold", fold(clean, heavy=primary))
+    orphan_rows = tap("orphan_supplements", orphans(clean, heavy=other))
     return apply_measures(folded.unionByName(orphan_rows), rep_end)
 
 

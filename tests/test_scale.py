@@ -166,3 +166,48 @@ def test_hot_merge_key_is_split_by_aqe(spark):
     assert got == expected and got[0]["n"] > 1_000_000
     plan = buf.getvalue()
     assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
+
+
+def _hot_clean(spark):
+    i = F.col("id")
+    return spark.range(0, 20000, numPartitions=20).select(
+        F.when(i % 10 < 8, F.lit("HOT-NA-NA")).when(i % 10 == 8, F.lit("LONE-NA-NA"))
+        .otherwise(F.concat(F.lit("K"), (i % 997).cast("string"))).alias("sc_key"),
+        F.when(i % 10 == 8, F.lit("LONE")).otherwise(F.lit("HOT")).alias("claim_name"),
+        F.when((i % 10 == 8) & (i % 4 == 0), "Additional Super Contribution").when(i % 10 == 8, "Super Contribution")
+        .when(i % 2000 == 0, "Super Contribution").when(i % 2000 == 1, "Additional Income Protection")
+        .otherwise("Income Protection").alias("benefit_name"),
+        (i % 100).cast("double").alias("coverage_amount"), (i % 7).cast("double").alias("total_paid"), i.alias("row"))
+
+
+def test_heavy_merge_keys_are_dealt_without_aqe(spark):
+    """Heavy keys are found by an aggregate and dealt over parts: no partition of the join holds
+    a large share, adaptive execution off, and the rows are those of the plain joins."""
+    from claimflow.operators.supplements import heavy_keys, orphans
+
+    clean = _hot_clean(spark)
+    primary, other = heavy_keys(clean, share=16, least=100)
+    assert set(primary) == {"HOT-NA-NA"} and primary["HOT-NA-NA"] >= 12 and set(other) == {"LONE-NA-NA"}
+    assert heavy_keys(clean) == ({"HOT-NA-NA": 2}, {})      # 10,000 rows at least
+    assert heavy_keys(clean.limit(0)) == ({}, {})
+
+    def checksum(df):
+        return df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).alias("h")).collect()
+
+    saved = {k: spark.conf.get(k, None) for k in {**LARGE_DATA_PATHS, "spark.sql.adaptive.enabled": ""}}
+    try:
+        for k, v in {**LARGE_DATA_PATHS, "spark.sql.adaptive.enabled": "false",
+                     "spark.sql.shuffle.partitions": "64"}.items():
+            spark.conf.set(k, v)
+        for plain, dealt in ((fold(clean), fold(clean, heavy=primary)),
+                             (orphans(clean.filter("row < 3000")), orphans(clean.filter("row < 3000"), heavy=other))):
+            assert dealt.columns == plain.columns
+            assert checksum(plain) == checksum(dealt)
+        largest = {}
+        for kind, df in (("plain", fold(clean)), ("dealt", fold(clean, heavy=primary))):
+            rows = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            largest[kind] = max(r["count"] for r in rows) / sum(r["count"] for r in rows)
+        assert largest["plain"] > 0.75 and largest["dealt"] < 0.3, largest
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
