@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.casts import as_date, as_number, prior_month_end
 from ..operators import predicates as P
+from ..operators.integrity import hop_integrity
 from ..operators.relate import relate
 from ..operators.supplements import SUPPLEMENT_COLUMNS, fold, fold_with_orphans, orphans
 from ..session import once, scratch_path, staging_scope
 from ..sources import extracts as X
-from ..sources.fixtures import (REP_END, REP_START, entities, payment_text_extract,
+from ..sources.fixtures import (REP_END, REP_START, broken_entities, entities, payment_text_extract,
                                 read_driver_table, stored_entities, text_entities)
 from ..sources.rejects import rejects, staged_with_rejects
 from ..sources.sinks import read_csv, write_report
@@ -190,6 +191,11 @@ def cast_rejects(spark, sf):
         return once(rejects(staged_with_rejects(text_entities(entities(spark, sf)))), "cast_rejects")
 
 
+def hop_integrity_q(spark, sf):
+    """Null and dangling keys per relationship, in a fixture that has some."""
+    return hop_integrity(broken_entities(stored_entities(spark, sf)))
+
+
 def csv_roundtrip(spark, sf):
     """ACR report written as CSV to the shared scratch folder and read back."""
     report = acr.acr_report(stored_entities(spark, sf), REP_START, REP_END)
@@ -233,6 +239,7 @@ QUERIES: dict[str, Query] = {
     "gsc_days": gsc_days,
     "stage_audit": stage_audit,
     "cast_rejects": cast_rejects,
+    "hop_integrity": hop_integrity_q,
     "csv_roundtrip": csv_roundtrip,
     "acr_report": acr_report,
     "ocr_report": ocr_report,

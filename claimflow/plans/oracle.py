@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from ..sources.fixture_sql import PARAMS_SQL, with_entities
 from ..operators.predicates import EXCLUDED_CLOSED_REASONS
+from ..operators.relate import RELATIONSHIPS
 from .acr import ACR_COLUMNS
 from .ocr import OCR_COLUMNS
 
@@ -344,7 +345,35 @@ _REJECTS_SQL = [
 ]
 
 
+_BROKEN = {
+    "payment_contribution": """(SELECT * REPLACE (CASE line_number WHEN 6 THEN NULL WHEN 7 THEN 'X' || benefit_claimed_id
+        ELSE benefit_claimed_id END AS benefit_claimed_id) FROM payment_contribution)""",
+    "benefit_claimed": """(SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 31 = 3 THEN NULL
+        WHEN CAST(id AS BIGINT) % 37 = 4 THEN 'nowhere' ELSE claim_id END AS claim_id) FROM benefit_claimed)""",
+    "scheme": "(SELECT * FROM scheme WHERE CAST(id AS BIGINT) % 5 <> 2)",
+    "policy": "(SELECT * FROM policy UNION ALL SELECT * FROM policy WHERE CAST(id AS BIGINT) % 40 = 7)",
+    "payment": "(SELECT * FROM payment WHERE day(release) <> 13)",
+    "user": "crm_user",
+}
+
+
+def _hops_sql() -> str:
+    parts = []
+    for child, relationships in RELATIONSHIPS.items():
+        for rel, (fk, parent) in relationships.items():
+            held = f"(SELECT id, count(*) AS m FROM {_BROKEN.get(parent, parent)} GROUP BY id)"
+            parts.append(f"""
+        SELECT '{child}' AS object, '{rel}' AS relationship, '{parent}' AS parent, count(*) AS rows,
+               count(*) FILTER (c.{fk} IS NULL) AS null_keys,
+               count(*) FILTER (c.{fk} IS NOT NULL AND p.id IS NULL) AS dangling_rows,
+               count(DISTINCT CASE WHEN p.id IS NULL THEN c.{fk} END) AS dangling_keys,
+               count(DISTINCT CASE WHEN m > 1 THEN c.{fk} END) AS ambiguous_keys
+        FROM {_BROKEN.get(child, child)} c LEFT JOIN {held} p ON p.id = c.{fk}""")
+    return with_entities(select="\nUNION ALL".join(parts))
+
+
 ORACLE_SQL: dict[str, str] = {
+    "hop_integrity": _hops_sql(),
     "relate_paths": with_entities(select="""
         SELECT pc.name AS contribution_name, pm.name AS payment_name, bc.name AS benefit_claimed_name,
                cl.name AS claim_name, po.name AS policy_name, sc.number AS scheme_number,

@@ -302,3 +302,18 @@ def text_entities(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             F.col("coverage_amount").try_cast("decimal(28,2)").cast("string")),
         "closure_date": F.when(number % 19 == 4, "open").otherwise(_s(F.col("closure_date")))})
     return {**tables, "payment_contribution": contribution, "payment": payment, "benefit_claimed": benefit}
+
+
+def broken_entities(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Objects with keys that are missing, lead nowhere or to several parents."""
+    k = F.col("id").cast("bigint")
+    lines = F.col("line_number")
+    contribution = tables["payment_contribution"].withColumn("benefit_claimed_id", F.when(
+        lines == 6, None).when(lines == 7, F.concat(F.lit("X"), F.col("benefit_claimed_id"))).otherwise(F.col("benefit_claimed_id")))
+    benefit = tables["benefit_claimed"].withColumn("claim_id", F.when(k % 31 == 3, None).when(
+        k % 37 == 4, F.lit("nowhere")).otherwise(F.col("claim_id")))
+    scheme = tables["scheme"].filter(k % 5 != 2)
+    policy_twice = tables["policy"].unionByName(tables["policy"].filter(k % 40 == 7))
+    payment = tables["payment"].filter(F.dayofmonth("release") != 13)
+    return {**tables, "payment_contribution": contribution, "benefit_claimed": benefit, "scheme": scheme,
+            "policy": policy_twice, "payment": payment}
