@@ -18,14 +18,16 @@ from ..operators import predicates as P
 from ..operators.integrity import hop_integrity
 from ..operators.relate import relate
 from ..operators.supplements import SUPPLEMENT_COLUMNS, fold, fold_with_orphans, orphans
-from ..session import once, scratch_path, staging_scope
+from ..session import delete_path, once, scratch_path, staging_scope
 from ..sources import extracts as X
 from ..sources.fixtures import (REP_END, REP_START, broken_entities, entities, payment_text_extract,
                                 read_driver_table, stored_entities, text_entities)
+from ..sources.months import write_months
 from ..sources.rejects import rejects, staged_with_rejects
 from ..sources.sinks import read_csv, write_report
 from . import acr, ocr, stages
 from .lookups import latest_diagnosis, payment_rollup
+from .months import MonthStates, rollup_of_months
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +127,22 @@ def payment_rollup_q(spark, sf):
     return payment_rollup(stored_entities(spark, sf), REP_END)
 
 
+def payment_rollup_months(spark, sf):
+    """The rollup from kept month states: all months once, then two months that were loaded again."""
+    t = stored_entities(spark, sf)
+    source, root = scratch_path(spark, "months"), scratch_path(spark, "month-states")
+    try:
+        write_months(t, source)
+        kept = MonthStates(spark, root, source)
+        months = kept.update()
+        write_months(t, source, months[-2:])
+        kept.update()
+        return once(rollup_of_months(t, kept, REP_END), "payment_rollup_months")
+    finally:
+        delete_path(spark, source)
+        delete_path(spark, root)
+
+
 def ocr_with_payments(spark, sf):
     return ocr.ocr_clean(stored_entities(spark, sf), REP_END).select(
         "name", "total_paid", "first_payment", "last_payment", "last_amount",
@@ -226,6 +244,7 @@ QUERIES: dict[str, Query] = {
     "benefit_class": benefit_class,
     "merge_key": merge_key,
     "payment_rollup": payment_rollup_q,
+    "payment_rollup_months": payment_rollup_months,
     "ocr_with_payments": ocr_with_payments,
     "latest_diagnosis": latest_diagnosis_q,
     "latest_diagnosis_join": latest_diagnosis_join,

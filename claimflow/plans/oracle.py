@@ -425,6 +425,7 @@ ORACLE_SQL: dict[str, str] = {
               LEFT JOIN benefit b ON b.id = bc.benefit_id)"""),
     "merge_key": _sql("SELECT name, sc_key FROM ocr_typed", "ocr_base", "ocr_typed"),
     "payment_rollup": _sql("SELECT * FROM rollup", *_ROLLUP),
+    "payment_rollup_months": _sql("SELECT * FROM rollup", *_ROLLUP),
     "ocr_with_payments": _sql("""
         SELECT name, total_paid, first_payment, last_payment, last_amount,
                eff_date_last_payment FROM ocr_clean""", *_OCR_CLEAN),
