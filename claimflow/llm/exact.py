@@ -168,13 +168,17 @@ def stage_exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
             by_text = dropped.join(decided.filter(same_id), "doc_id", "left_semi").limit(1).count() > 0
     finally:
         index.drop()
-    keys = ["doc_id", "digest"] if by_text or repeated else ["doc_id"]
-    rows = docs.withColumn("digest", digest(F.col("text"))) if "digest" in keys else docs
-    if dropped.filter("doc_id IS NULL").limit(1).count():
-        gone = [rows[k].eqNullSafe(dropped[k]) for k in keys]
-        kept = rows.join(dropped.hint("merge"), gone, "left_anti")
-    else:
-        kept = rows.join(dropped.hint("merge"), keys, "left_anti")
+    # positions stand in for the documents' names, so that none of them can clash
+    at = {c: f"c{docs.columns.index(c)}" for c in ("doc_id", "text")}
+    rows = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    columns = rows.columns
+    if by_text or repeated:
+        rows = rows.withColumn("digest", digest(F.col(at["text"])))
+    nulls = dropped.filter("doc_id IS NULL").limit(1).count() > 0
+    gone = rows[at["doc_id"]].eqNullSafe(dropped["doc_id"]) if nulls else rows[at["doc_id"]] == dropped["doc_id"]
+    if by_text or repeated:
+        gone = gone & (rows["digest"] == dropped["digest"])
+    kept = rows.join(dropped.hint("merge"), gone, "left_anti")
     if repeated:
-        kept = kept.dropDuplicates(["doc_id", "digest"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates([at["doc_id"], "digest"])
+    return kept.select(*columns).toDF(*docs.columns)

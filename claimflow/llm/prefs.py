@@ -65,16 +65,20 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     kept = [c for c in pairs.columns if c not in
             {"chosen", "rejected", "prompt_turns", "prompt", "chosen_completion", "chosen_spans",
              "rejected_completion", "rejected_spans"}]
-    filled = pairs.select(*kept, _filled(F.col("chosen")).alias("_c"), _filled(F.col("rejected")).alias("_r"))
-    split = filled.withColumn("prompt_turns", common_turns(F.col("_c"), F.col("_r")))
+    # positions stand in for the further columns' names, so that none of them can clash
+    held = {c: f"c{k}" for k, c in enumerate(kept)}
+    filled = pairs.select(*[F.col(f"`{c}`").alias(k) for c, k in held.items()], _filled(F.col("chosen")).alias("chosen"),
+                          _filled(F.col("rejected")).alias("rejected"))
+    split = filled.withColumn("prompt_turns", common_turns(F.col("chosen"), F.col("rejected")))
 
     def rest(name: str) -> Column:
         return F.slice(name, F.col("prompt_turns") + 1, F.greatest(F.size(name) - F.col("prompt_turns"), F.lit(0)))
 
     return split.select(
-        *kept, "prompt_turns", rendered(F.slice("_c", 1, F.col("prompt_turns"))).alias("prompt"),
-        rendered(rest("_c")).alias("chosen_completion"), trained_spans(rest("_c")).alias("chosen_spans"),
-        rendered(rest("_r")).alias("rejected_completion"), trained_spans(rest("_r")).alias("rejected_spans"))
+        *[F.col(k).alias(c) for c, k in held.items()], "prompt_turns",
+        rendered(F.slice("chosen", 1, F.col("prompt_turns"))).alias("prompt"),
+        rendered(rest("chosen")).alias("chosen_completion"), trained_spans(rest("chosen")).alias("chosen_spans"),
+        rendered(rest("rejected")).alias("rejected_completion"), trained_spans(rest("rejected")).alias("rejected_spans"))
 
 
 def conversations(turns: DataFrame) -> DataFrame:
@@ -91,21 +95,27 @@ def conversations(turns: DataFrame) -> DataFrame:
 
 
 def reply_pairs(talks: DataFrame) -> DataFrame:
-    """Pairs from single conversations that have two assistant turns or more.
+    """A pair from every conversation: (conv_id, chosen, rejected).
 
-    Chosen is the conversation up to its last assistant turn; rejected has the
-    text of the assistant turn before in that place, a fluent but misplaced reply.
+    Chosen is the whole conversation.  Rejected has another text in place of one assistant
+    turn and keeps the turns that follow: of ``r`` such turns the one numbered (turns modulo
+    r, from 0) gets the text of the next, the last one that of the first, a fluent but
+    misplaced reply.  A single reply is replaced by an empty one; a conversation without a
+    reply is rejected as it is, so that all of it is prompt.
     """
     at = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda k: F.get("turns", k - 1)["role"] == TRAINED)
-    marked = talks.filter(F.size("turns") > 0).withColumn("at", at).filter(F.size("at") >= 2)
-    last, before = F.element_at("at", -1), F.element_at("at", -2)
-    wrong = F.array(F.struct(F.lit(TRAINED).alias("role"), F.get("turns", before - 1)["text"].alias("text")))
-    return marked.select("conv_id", F.slice("turns", F.lit(1), last).alias("chosen"),
-                         F.concat(F.slice("turns", F.lit(1), last - 1), wrong).alias("rejected"))
+    marked = talks.withColumn("at", F.when(F.size("turns") > 0, at).otherwise(F.array().cast("array<int>")))
+    replies = F.size("at")
+    place = F.when(replies > 0, F.size("turns") % F.greatest(replies, F.lit(1)))
+    marked = marked.withColumn("spot", F.get("at", place)).withColumn("wrong", F.when(
+        replies > 1, F.get("turns", F.get("at", (place + 1) % F.greatest(replies, F.lit(1))) - 1)["text"]).otherwise(F.lit("")))
+    rejected = F.transform("turns", lambda t, k: F.struct(t["role"].alias("role"), F.when(
+        k + 1 == F.col("spot"), F.col("wrong")).otherwise(t["text"]).alias("text")))
+    return marked.select("conv_id", F.col("turns").alias("chosen"), rejected.alias("rejected"))
 
 
 def op6_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of the preference pair of every conversation with two replies or more."""
+    """Digests of the preference pair of every conversation."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     pairs = format_pairs(reply_pairs(conversations(turns)))
 
@@ -126,19 +136,28 @@ WITH c AS (
 a AS (
   SELECT conv_id, turns, list_filter(range(1, len(turns) + 1), lambda k: turns[k].role = 'assistant') AS spots FROM c),
 p AS (
-  SELECT conv_id, turns, spots[len(spots)] AS last, turns[spots[len(spots)]].text AS good, turns[spots[len(spots) - 1]].text AS bad
-  FROM a WHERE len(spots) >= 2),
+  SELECT conv_id, turns, CASE WHEN len(spots) > 0 THEN spots[len(turns) % len(spots) + 1] END AS spot,
+         CASE WHEN len(spots) > 1 THEN turns[spots[(len(turns) % len(spots) + 1) % len(spots) + 1]].text ELSE '' END AS wrong
+  FROM a),
 r AS (
-  SELECT conv_id, good, bad, CASE WHEN good = bad THEN last ELSE last - 1 END AS n,
-         list_transform(turns, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) AS shown
-  FROM p)
+  SELECT conv_id, turns AS chosen, list_transform(range(1, len(turns) + 1), lambda k:
+           {'role': turns[k].role, 'text': CASE WHEN k = spot THEN wrong ELSE turns[k].text END}) AS rejected
+  FROM p),
+n AS (
+  SELECT *, coalesce(list_min(list_filter(range(1, len(chosen) + 1), lambda k: chosen[k] <> rejected[k])) - 1, len(chosen)) AS n
+  FROM r),
+s AS (
+  SELECT conv_id, n,
+         list_transform(chosen, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) AS good,
+         list_transform(rejected, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) AS bad,
+         list_transform(chosen, lambda t: CASE WHEN t.role = 'assistant' THEN length(t.text) + 10 ELSE 0 END) AS good_trained,
+         list_transform(rejected, lambda t: CASE WHEN t.role = 'assistant' THEN length(t.text) + 10 ELSE 0 END) AS bad_trained
+  FROM n)
 SELECT conv_id, CAST(n AS INTEGER) AS prompt_turns,
-       md5(coalesce(array_to_string(shown[1:n], ''), '')) AS prompt_md5,
-       md5(CASE WHEN good = bad THEN '' ELSE '<|im_start|>assistant' || chr(10) || good || '<|im_end|>' || chr(10) END)
-         AS chosen_md5,
-       CAST(CASE WHEN good = bad THEN 0 ELSE length(good) + 10 END AS INTEGER) AS chosen_trained,
-       md5(CASE WHEN good = bad THEN '' ELSE '<|im_start|>assistant' || chr(10) || bad || '<|im_end|>' || chr(10) END)
-         AS rejected_md5,
-       CAST(CASE WHEN good = bad THEN 0 ELSE length(bad) + 10 END AS INTEGER) AS rejected_trained
-FROM r
+       md5(coalesce(array_to_string(good[1:n], ''), '')) AS prompt_md5,
+       md5(coalesce(array_to_string(good[n + 1:], ''), '')) AS chosen_md5,
+       CAST(coalesce(list_sum(good_trained[n + 1:]), 0) AS INTEGER) AS chosen_trained,
+       md5(coalesce(array_to_string(bad[n + 1:], ''), '')) AS rejected_md5,
+       CAST(coalesce(list_sum(bad_trained[n + 1:]), 0) AS INTEGER) AS rejected_trained
+FROM s
 """

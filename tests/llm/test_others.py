@@ -166,8 +166,10 @@ def test_preference_pairs(spark):
     talk = "array<struct<role:string,text:string>>"
     rows = [(1, [("user", "hi"), ("assistant", "a")], [("user", "hi"), ("assistant", "b"), ("user", "c")]),
             (2, [("user", "é")], [("user", "é"), ("assistant", None)]), (3, None, []), (4, [("user", "x")], [("user", "x")])]
-    pairs = spark.createDataFrame([(*r, "old") for r in rows], f"id int, chosen {talk}, rejected {talk}, prompt string")
+    pairs = spark.createDataFrame([(*r, "old", "c", "r", "z", "s") for r in rows],
+                                  f"id int, chosen {talk}, rejected {talk}, prompt string, _c string, _r string, c0 string, `a.b` string")
     got = {r["id"]: r for r in prefs.format_pairs(pairs).collect()}
+    assert {(r["_c"], r["_r"], r["c0"], r["a.b"]) for r in got.values()} == {("c", "r", "z", "s")}
     a = got[1]
     assert (a["prompt_turns"], a["prompt"]) == (1, "<|im_start|>user\nhi<|im_end|>\n")
     assert a["chosen_completion"] == "<|im_start|>assistant\na<|im_end|>\n"
@@ -189,6 +191,20 @@ def test_conversations_are_ordered_and_null_ids_left_out(spark):
     assert [t["text"] for t in pair["rejected"]] == ["z", "a", "", "", ""]
 
 
+def test_every_conversation_gives_a_pair(spark):
+    rows = [(1, k, r, t) for k, (r, t) in enumerate([("user", "q"), ("assistant", "a1"), ("user", "q2"), ("assistant", "a2"), ("user", "bye")])]
+    rows += [(2, 0, "user", "q"), (2, 1, "assistant", "only"), (2, 2, "user", "end"), (3, 0, "user", "alone"),
+             (4, 0, "assistant", "same"), (4, 1, "assistant", "same")]
+    talks = prefs.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r["conv_id"]: r for r in prefs.format_pairs(prefs.reply_pairs(talks)).collect()}
+    assert {k: r["prompt_turns"] for k, r in got.items()} == {1: 3, 2: 1, 3: 1, 4: 2}
+    one = got[1]       # 5 turns, 2 replies: the second is replaced by the first, and the turn after it stays
+    assert one["chosen_completion"] == "<|im_start|>assistant\na2<|im_end|>\n<|im_start|>user\nbye<|im_end|>\n"
+    assert one["rejected_completion"] == "<|im_start|>assistant\na1<|im_end|>\n<|im_start|>user\nbye<|im_end|>\n"
+    assert got[2]["rejected_completion"].startswith("<|im_start|>assistant\n<|im_end|>\n<|im_start|>user\nend")
+    assert got[3]["chosen_completion"] == got[3]["rejected_completion"] == got[4]["chosen_completion"] == ""
+
+
 EMPTY = {"documents": "doc_id long, text string, lang string, source string, n_chars long",
          "labels": "doc_id long, quality int, toxic int", "pages": "page_id long, url string, html string",
          "embeddings": "vec_id long, embedding array<float>, label int",
