@@ -262,8 +262,9 @@ def mix(run: Scratch, docs: DataFrame, seed: int = 11, id_col: str = "doc_id",
     missed = left.select("source_key", ((F.col("p") - F.col("up").cast("int")) * F.col("size")).alias("missed"))
     largest = settled.join(missed, "source_key", "left").select("settled", (
         F.col("residual") + F.coalesce("missed", F.lit(0.0))).alias("residual"))
-    for _ in range(REPAIRS):
-        largest = largest.select(repaired(F.col("settled"), F.col("residual")).alias("r")).select("r.*")
+    largest = run.stage(largest, "missed")
+    for k in range(REPAIRS):  # staged each time: inlined into the next one, a repair would run for each of its choices
+        largest = run.stage(largest.select(repaired(F.col("settled"), F.col("residual")).alias("r")), f"repair{k}").select("r.*")
     decided.append(largest.select(F.explode("settled").alias("d")).select("d.key", "d.up"))
     ups = decided[0]
     for more in decided[1:]:
