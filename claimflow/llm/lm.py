@@ -1,21 +1,19 @@
-"""Stupid-backoff scores of documents under the corpus' own n-gram counts.
-
-A word after a word scores its pair's count over the first word's count; a pair
-that the table lacks (it keeps pairs seen ``LEAST`` times) backs off to the
-word's share of the corpus, times 0.4.  Logarithms are whole millionths, so
-sums do not depend on their order.
-
-Counting and joining are one pass.  Word pairs, exploded from the texts, are
-shuffled to buckets by hash, so that a bucket holds every occurrence of its words
-and pairs: it is the count table of that part of the hash range and the join with
-it at once.  The most common words (at most 32,768, whatever the corpus) have
-their counts at hand everywhere.  A pair goes to the bucket of its second word, if
-that is rare, else to that of its first word, if that is rare; pairs of common
-words are spread by the pair.  The one count that a bucket then lacks, that of a
-rare word before another rare one, is joined from the word table.  Sums per
-document end it.  The most common pairs (each more than 1/32,768 of all words, so
-fewer than that) are counted beforehand, pre-summed in every task, and scored
-where they stand: they go to no bucket.
+"""Stupid-backoff scores of documents under the counts of all other documents.
+
+A word scores the count of the longest n-gram that ends with it and occurs in
+another document, over the count of that n-gram without its last word; each
+order given up costs a factor of 0.4.  A single word scores its share of the
+corpus.  A document's own occurrences count nowhere in its score, so that a
+word backs off where the rest of the corpus truly lacks the n-gram; no n-gram
+is pruned.  Logarithms are whole millionths, so sums do not depend on their order.
+
+The n-grams of all orders are exploded from slices of texts, reduced to one
+entry per slice and n-gram, and shuffled to ranges of their hash.  A range sums
+the entries to its part of the count table and joins the counts to the slices
+that asked.  Slice by slice the counts meet the texts again and are summed per
+document.  N-grams that are more than 1/32,768 of all words (fewer than that in
+each order, whatever the corpus) are counted beforehand, pre-summed in every
+slice, and their counts are at hand everywhere: no range holds a hot n-gram.
 """
 
 from __future__ import annotations
@@ -25,19 +23,21 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.llm.scratch import Scratch, scratch
-from claimflow.llm.words import Words, mix, word_hashes
+from claimflow.llm.words import mix, word_hashes
 
 BACKOFF = 0.4
-LEAST = 2               # pairs seen less often are not in the table
-COMMON = 1 << 15        # a word is common when it is more than 1/COMMON of all words
-BUCKET_WORDS = 1_500_000
-COLD, START = 0xFFFE, 0xFFFF    # codes of a word that is not common, or that there is none
-_ROW = 1 << 33          # rows of a task, in its documents' numbers
+ORDER = 3
+COMMON = 1 << 15        # an n-gram is common when it is more than 1/COMMON of all words
+SLICE_BYTES = 4 << 20   # texts that are counted together before the shuffle
+RANGE_GRAMS = 2_000_000  # n-gram occurrences to a range of hashes
+_ROW = 1 << 33          # slices of a task, in their numbers
+LOSS = int(np.rint(np.log(BACKOFF) * 1e6))
 
 
 def micro(counts: np.ndarray) -> np.ndarray:
@@ -45,320 +45,284 @@ def micro(counts: np.ndarray) -> np.ndarray:
     return np.rint(np.log(np.maximum(counts, 1).astype(np.float64)) * 1e6).astype(np.int64)
 
 
-def micro_log(count: Column) -> Column:
-    return F.rint(F.log(count.cast("double")) * 1e6).cast("long")
+SLICES = "base long, ids array<long>, texts array<string>"
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c): how often each word, by its hash, occurs; pre-summed in every task."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) in rows of about ``SLICE_BYTES`` of text; a longer text is alone."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() * _ROW
         for batch in batches:
-            held: list[np.ndarray] = []
-            size = 0
-            for words in word_hashes(batch.column(0)):
-                held.append(words.hashes)
-                size += len(words.hashes)
-                if size > 4_000_000:
-                    yield _counted(held)
-                    held, size = [], 0
-            if size:
-                yield _counted(held)
+            texts = batch.column(1).cast(pa.string())
+            ends = np.cumsum([x or 0 for x in pa.compute.binary_length(texts).to_pylist()], dtype=np.int64)
+            lo = 0
+            while lo < len(ends):
+                before = int(ends[lo - 1]) if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+                spans = pa.array([0, hi - lo], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([base], pa.int64()), pa.ListArray.from_arrays(spans, batch.column(0).slice(lo, hi - lo)),
+                     pa.ListArray.from_arrays(spans, texts.slice(lo, hi - lo))], ["base", "ids", "texts"])
+                base, lo = base + 1, hi
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+                       ).mapInArrow(cut, SLICES)
+
+
+class Grams(NamedTuple):
+    first: np.ndarray              # where each text's words begin, and the number of words
+    doc: np.ndarray                # the text of each word
+    place: np.ndarray              # its place there
+    orders: list[np.ndarray]       # by order: the hash of the n-gram that ends with the word, 0 for none
+
 
-    return docs.select("text").mapInArrow(count, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def grams(texts: pa.Array, order: int) -> Grams:
+    """The n-grams of a slice's texts."""
+    hashes, first = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for words in word_hashes(texts):
+        hashes.append(words.hashes)
+        first.append(words.first[1:] + first[-1][-1])
+    h, begins = np.concatenate(hashes), np.concatenate(first)
+    doc = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+    place = np.arange(len(h)) - begins[doc]
+    orders = [h]
+    for k in range(2, order + 1):
+        longer = np.zeros(len(h), np.uint64)
+        at = np.flatnonzero(place >= k - 1)
+        longer[at] = mix(orders[-1][at - 1] * np.uint64(3) + h[at] + np.uint64(k))
+        orders.append(longer)
+    return Grams(begins, doc, place, orders)
 
 
-def _counted(held: list[np.ndarray], over: int = 0) -> pa.RecordBatch:
-    words, counts = np.unique(np.concatenate(held), return_counts=True)
-    words, counts = words[counts > over], counts[counts > over]
-    return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))],
-                                      ["word", "c"])
+def asked(found: Grams) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams, counts) of a slice, by hash, of every order."""
+    return np.unique(np.concatenate([g[found.place >= k] for k, g in enumerate(found.orders)]), return_counts=True)
 
 
-def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(second * np.uint64(3) + first)
+def _table(batch: pa.RecordBatch | pa.Table, row: int) -> pa.Array:
+    return batch.column("texts")[row].values
 
 
-def _inner_pairs(words: Words) -> np.ndarray:
-    """The hashes of the pairs inside the texts of a slice."""
-    inner = np.ones(len(words.hashes), bool)
-    inner[words.first[:-1][np.diff(words.first) > 0]] = False
-    at = np.flatnonzero(inner)
-    return _pair(words.hashes[at - 1], words.hashes[at])
+COUNTS = "total boolean, gram long, c long"
 
 
-def common_pairs(docs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs, counts) of the pairs that are more than 1/COMMON of all ``total`` words, by hash.
+def _count_rows(total: bool, names: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([total] * len(names), pa.bool_()), pa.array(names.view(np.int64)),
+                                       pa.array(counts.astype(np.int64))], ["total", "gram", "c"])
 
-    A chunk of a task's words names its pairs of more than half that share; a pair
-    loses at most the other half by that, so all common ones are among the at most
-    ``2 * COMMON`` that are named for more than a half.  Those are counted.
+
+def common_grams(run: Scratch, cut: DataFrame, order: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(n-grams, counts, words of the corpus) of the n-grams that are more than 1/COMMON
+    of all words, by hash.
+
+    A slice names its n-grams of more than half that share; an n-gram loses at most
+    the other half by that, so all common ones are among those that are named for more
+    than a half, of which there are at most ``2 * COMMON`` an order.  Those are counted.
     """
     shares = 2 * COMMON
-    texts = docs.select("text")
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
         for batch in batches:
-            for words in word_hashes(batch.column(0)):
-                held.append(_inner_pairs(words))
-                size += len(words.hashes)
-                if size > 4_000_000:
-                    yield _counted(held, size // shares)
-                    held, size = [], 0
-        if size:
-            yield _counted(held, size // shares)
-
-    named = texts.mapInArrow(likely, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
-    rows = named.filter(F.col("c") > total // shares).select("word").collect()
-    candidates = np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))
+            for row in range(len(batch)):
+                found = grams(_table(batch, row), order)
+                names, counts = asked(found)
+                much = counts > len(found.doc) // shares
+                yield _count_rows(False, names[much], counts[much])
+                yield _count_rows(True, np.zeros(1, np.uint64), np.array([len(found.doc)]))
+
+    named = run.stage(cut.select("texts").mapInArrow(likely, COUNTS).groupBy("total", "gram").agg(
+        F.sum("c").alias("c")), "named")
+    total = named.filter("total").agg(F.max("c").alias("c")).first()["c"] or 0
+    rows = named.filter(~F.col("total") & (F.col("c") > max(total // shares, 1))).select("gram").collect()
+    candidates = np.sort(np.array([r["gram"] for r in rows], np.int64).view(np.uint64))
     if not len(candidates):
-        return candidates, np.zeros(0, np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(candidates)
+        return candidates, np.zeros(0, np.int64), total
+    shared = run.spark.sparkContext.broadcast(candidates)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(shared.value), np.int64)
+        sums = np.zeros(len(shared.value), np.int64)
         for batch in batches:
-            for words in word_hashes(batch.column(0)):
-                at = _found(_inner_pairs(words), shared.value)
-                counts += np.bincount(at[at >= 0], minlength=len(counts))
-        met = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(shared.value[met].view(np.int64)), pa.array(counts[met])],
-                                         ["word", "c"])
+            for row in range(len(batch)):
+                names, counts = asked(grams(_table(batch, row), order))
+                at = _found(names, shared.value)
+                sums[at[at >= 0]] += counts[at >= 0]
+        met = np.flatnonzero(sums)
+        yield _count_rows(False, shared.value[met], sums[met])
 
-    exact = texts.mapInArrow(count, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
-    return _sorted(exact.filter(F.col("c") > max(total // COMMON, LEAST - 1, 1)))
+    exact = cut.select("texts").mapInArrow(count, COUNTS).groupBy("gram").agg(F.sum("c").alias("c"))
+    at = {r["gram"]: r["c"] for r in exact.filter(F.col("c") > max(total // COMMON, 1)).collect()}
+    names = np.sort(np.array(list(at), np.int64).view(np.uint64))
+    return names, np.array([at[x] for x in names.view(np.int64).tolist()], np.int64), total
 
 
-def _sorted(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts) of a small count table, by hash."""
-    at = {r["word"]: r["c"] for r in table.collect()}
-    hashes = np.sort(np.array(list(at), np.int64).view(np.uint64))
-    return hashes, np.array([at[w] for w in hashes.view(np.int64).tolist()], np.int64)
+def _found(names: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Place of each hash in the sorted ``table``, -1 for none."""
+    if not len(table):
+        return np.full(len(names), -1)
+    at = np.minimum(np.searchsorted(table, names), len(table) - 1)
+    return np.where(table[at] == names, at, -1)
 
 
-PAIRS = ("bucket int, base long, ids array<long>, words binary, first binary, second binary, "
-         "rare binary, rare_at binary, per_doc binary, sums binary, hits binary")
+def _ranges(names: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of each hash; it does not fall where the hashes rise."""
+    return ((names >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
-class Known(NamedTuple):
-    words: np.ndarray      # common words, sorted, and their counts
-    counts: np.ndarray
-    pairs: np.ndarray      # common pairs, sorted, and their counts
-    pair_counts: np.ndarray
-    total: int
+def _spans(names: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
+    """(range, its part of the sorted hashes) of the ranges that have any."""
+    of = _ranges(names, ranges)
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(of)]]) if len(of) else np.zeros(1, int)
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield int(of[lo]), slice(lo, hi)
 
 
-def exploded_pairs(docs: DataFrame, known: Known, buckets: int) -> DataFrame:
-    """The word pairs of all texts, packed per slice of texts and bucket.
+def _pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest one needs."""
+    most = int(numbers.max(initial=0))
+    return numbers.astype("<u1" if most < 1 << 8 else "<u4" if most < 1 << 32 else "<u8").tobytes()
+
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64)
 
-    ``base`` numbers the slice's first document; a row of ``ids`` and ``words``
-    names its documents and has the ``sums`` and ``hits`` of the positions that
-    need no bucket, those of common pairs and common first words; the other rows
-    list a bucket's positions, in the order of documents, ``per_doc`` of them in each.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+def _pack_grams(names: np.ndarray) -> bytes:
+    """Sorted hashes byte by byte, highest bytes first, which repeat and compress."""
+    return names.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpack_grams(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(">u8").ravel().astype(np.uint64)
+
+
+ASKED = "part int, base long, grams binary, times binary"
+ANSWERS = "base long, part int, counts binary"
+
+
+def explode_grams(cut: DataFrame, common: np.ndarray, ranges: int, order: int) -> DataFrame:
+    """Per slice and range of hashes: the n-grams that are not common, and how often they occur there."""
+    shared = cut.sparkSession.sparkContext.broadcast(common)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() * _ROW
         for batch in batches:
-            for words in word_hashes(batch.column(1)):
-                sums, hits, packed = _packed(words.hashes, words.first, base, shared.value, buckets)
-                rows = [{"bucket": int(mix(np.array([base], np.uint64))[0] % np.uint64(buckets)), "base": base,
-                         "ids": batch.column(0).slice(words.lo, words.hi - words.lo).to_pylist(),
-                         "words": np.diff(words.first).astype("<i8").tobytes(),
-                         "sums": sums.tobytes(), "hits": hits.tobytes()}]
-                rows += packed
-                yield pa.RecordBatch.from_pylist(rows, _PAIR_TYPES)
-                base += words.hi - words.lo
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(explode, PAIRS)
-
-
-_PAIR_TYPES = pa.schema([("bucket", pa.int32()), ("base", pa.int64()), ("ids", pa.list_(pa.int64()))]
-                        + [(c.split()[0], pa.binary()) for c in PAIRS.split(", ")[3:]])
-
-
-def _found(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """Place of each hash among the sorted common words, -1 for none."""
-    if not len(hot):
-        return np.full(len(hashes), -1)
-    at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
-    return np.where(hot[at] == hashes, at, -1)
-
-
-def _packed(hashes: np.ndarray, first: np.ndarray, base: int, known: Known,
-            buckets: int) -> tuple[np.ndarray, np.ndarray, list[dict]]:
-    """(sums, hits) of each document's positions that are scored at once, and the
-    others by bucket: the codes of both words, and for rare ones where they are in
-    the bucket's list of rare words."""
-    docs = len(first) - 1
-    if not len(hashes):
-        return np.zeros(docs, np.int64), np.zeros(docs, np.int32), []
-    before = np.concatenate([hashes[:1], hashes[:-1]])
-    place = _found(hashes, known.words)
-    second = np.where(place < 0, COLD, place)
-    code = np.concatenate([second[:1], second[:-1]])
-    code[first[:-1][np.diff(first) > 0]] = START
-    doc = np.repeat(np.arange(docs), np.diff(first))
-
-    sums, hits = np.zeros(docs, np.int64), np.zeros(docs, np.int32)
-    logs = micro(known.counts)
-    alone = np.flatnonzero((code == START) & (second != COLD))
-    np.add.at(sums, doc[alone], logs[second[alone]] - int(micro(np.array([known.total]))[0]))
-    both = np.flatnonzero((code < COLD) & (second != COLD))
-    pair = _found(_pair(before[both], hashes[both]), known.pairs)
-    both, pair = both[pair >= 0], pair[pair >= 0]
-    np.add.at(sums, doc[both], micro(known.pair_counts)[pair] - logs[code[both]])
-    hits += np.bincount(doc[both], minlength=docs).astype(np.int32)
-
-    left = np.ones(len(hashes), bool)
-    left[alone] = left[both] = False
-    left = np.flatnonzero(left)
-    if not len(left):
-        return sums, hits, []
-    key = np.where(second == COLD, hashes, np.where(code == COLD, before, mix(hashes ^ mix(before))))
-    route = key[left] % np.uint64(buckets)
-    order = np.argsort(route, kind="stable")
-    rows = []
-    for part in np.split(order, np.flatnonzero(np.diff(route[order])) + 1):
-        at = left[part]
-        codes, seconds = code[at], second[at]
-        # rare first words in order, then rare second words in order
-        rare, where = np.unique(np.concatenate([before[at][codes == COLD], hashes[at][seconds == COLD]]),
-                                return_inverse=True)
-        rows.append({"bucket": int(route[part[0]]), "base": base, "first": codes.astype("<u2").tobytes(),
-                     "second": seconds.astype("<u2").tobytes(), "rare": rare.tobytes(),
-                     "rare_at": where.astype("<u2" if len(rare) < 1 << 16 else "<u4").tobytes(),
-                     "per_doc": np.bincount(doc[at], minlength=docs).astype("<u4").tobytes()})
-    return sums, hits, rows
-
-
-def _unpacked(rows: list[dict], hot: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(first word, second word, first code, second code, document, sizes) of packed rows."""
-    firsts, seconds, codes, others, docs = [], [], [], [], []
-    for r in rows:
-        code, other = np.frombuffer(r["first"], "<u2"), np.frombuffer(r["second"], "<u2")
-        rare = np.frombuffer(r["rare"], np.uint64)
-        rare = rare[np.frombuffer(r["rare_at"], "<u2" if len(rare) < 1 << 16 else "<u4")]
-        cut = int((code == COLD).sum())
-        for out, c, own in ((firsts, code, rare[:cut]), (seconds, other, rare[cut:])):
-            words = np.zeros(len(c), np.uint64)
-            words[c == COLD] = own
-            words[c < COLD] = hot[c[c < COLD]]
-            out.append(words)
-        codes.append(code)
-        others.append(other)
-        per_doc = np.frombuffer(r["per_doc"], "<u4")
-        docs.append(np.repeat(np.arange(len(per_doc), dtype=np.int32), per_doc))
-    sizes = [len(c) for c in codes]
-    return (*(np.concatenate(x) for x in (firsts, seconds, codes, others, docs)), sizes)
-
-
-PARTS = ("base long, ids array<long>, words array<long>, docs array<int>, sums array<long>, hits array<int>, "
-         "open_docs array<int>, open_words array<long>")
-_PART_TYPES = pa.schema([("base", pa.int64())] + [
-    (c.split()[0], pa.list_(pa.int32() if "<int>" in c else pa.int64())) for c in PARTS.split(", ")[1:]])
-
-
-def bucket_scores(pairs: DataFrame, known: Known) -> DataFrame:
-    """Per slice and bucket: what its positions add to each document, and the rare
-    first words whose counts are still to be taken off."""
-    shared = pairs.sparkSession.sparkContext.broadcast(known)
-
+            for row in range(len(batch)):
+                names, counts = asked(grams(_table(batch, row), order))
+                rare = _found(names, shared.value) < 0
+                names, counts = names[rare], counts[rare]
+                parts = list(_spans(names, ranges))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([p for p, _ in parts], pa.int32()),
+                    pa.array([batch.column("base")[row].as_py()] * len(parts), pa.int64()),
+                    pa.array([_pack_grams(names[s]) for _, s in parts], pa.binary()),
+                    pa.array([_pack(counts[s]) for _, s in parts], pa.binary())],
+                    ["part", "base", "grams", "times"])
+
+    return cut.select("base", "texts").mapInArrow(explode, ASKED)
+
+
+def join_counts(exploded: DataFrame) -> DataFrame:
+    """Each slice's n-grams of a range with their counts in the corpus, in the slice's order."""
     def join(table: pa.Table) -> pa.Table:
-        hot, hot_counts, _, _, total = shared.value
-        packed = table.to_pylist()
-        out = [{"base": r["base"], "ids": r["ids"], "words": np.frombuffer(r["words"], "<i8").tolist(),
-                "sums": np.frombuffer(r["sums"], "<i8").tolist(), "hits": np.frombuffer(r["hits"], "<i4").tolist()}
-               for r in packed if r["words"] is not None]
-        packed = [r for r in packed if r["words"] is None]
-        if not packed:
-            return pa.Table.from_pylist(out, _PART_TYPES)
-        first, second, code, other, doc, sizes = _unpacked(packed, hot)
-        # a rare word's occurrences are all here as second words
-        rare, times = np.unique(second[other == COLD], return_counts=True)
-        logs_known = np.append(micro(hot_counts), 0)
-
-        def single(words: np.ndarray, codes: np.ndarray) -> np.ndarray:
-            logs = logs_known[np.minimum(codes, len(logs_known) - 1)]
-            if len(rare):
-                at = np.minimum(np.searchsorted(rare, words), len(rare) - 1)
-                logs = np.where(codes == COLD, micro(times)[at], logs)
-            return logs
-
-        pair = _pair(first, second)
-        pair[code == START] = 0      # not counted as pairs, never looked at
-        _, inverse, twice = np.unique(pair, return_inverse=True, return_counts=True)
-        held = (twice[inverse] >= LEAST) & (code != START)
-        open_ = held & (code == COLD) & (other == COLD)
-        score = single(second, other) - int(micro(np.array([total]))[0])
-        score[code != START] += int(np.rint(np.log(BACKOFF) * 1e6))
-        score[held] = micro(twice)[inverse[held]] - np.where(open_[held], 0, single(first[held], code[held]))
-        del pair, inverse
-        at = 0
-        for r, size in zip(packed, sizes, strict=True):
-            part = slice(at, at + size)
-            docs, which = np.unique(doc[part], return_inverse=True)
-            sums = np.zeros(len(docs), np.int64)
-            np.add.at(sums, which, score[part])
-            out.append({"base": r["base"], "docs": docs, "sums": sums,
-                        "hits": np.bincount(which, held[part], len(docs)).astype(np.int32),
-                        "open_docs": doc[part][open_[part]], "open_words": first[part][open_[part]].view(np.int64)})
-            at += size
-        return pa.Table.from_pylist(out, _PART_TYPES)
-
-    return pairs.groupBy("bucket").applyInArrow(join, PARTS)
-
-
-def _slice_sums(table: pa.Table) -> pa.Table:
-    rows = table.to_pylist()
-    [names] = [r for r in rows if r["ids"] is not None]
-    n = len(names["ids"])
-    score, hits = np.array(names["sums"], np.int64), np.array(names["hits"], np.int64)
-    for r in rows:
-        if r["ids"] is None:
-            score[r["docs"]] += r["sums"]     # a document is listed once in a row
-            hits[r["docs"]] += r["hits"]
-    return pa.table({"base": pa.array([names["base"]] * n, pa.int64()), "doc": pa.array(range(n), pa.int32()),
-                     "doc_id": pa.array(names["ids"], pa.int64()), "words": pa.array(names["words"], pa.int64()),
-                     "pair_hits": pa.array(hits), "score": pa.array(score)})
-
-
-def score_corpus(run: Scratch, docs: DataFrame) -> DataFrame:
-    """(doc_id, words, pair_hits, score_micro) of every row of ``docs`` (doc_id, text).
-
-    ``score_micro`` is the sum of the words' log scores in millionths, ``pair_hits``
-    the words scored by a pair.  Words are maximal runs of other than ASCII white
-    space, as written.  Null and empty texts have no words and score 0; repeated rows
-    count and are scored like any others; a null doc_id stays null.  Other columns
-    are not read; an empty table gives no rows.
+        names = [_unpack_grams(x) for x in table.column("grams").to_pylist()]
+        sizes = [len(x) for x in names]
+        times = np.concatenate([_unpack(x, n) for x, n in zip(table.column("times").to_pylist(), sizes, strict=True)])
+        held, at = np.unique(np.concatenate(names), return_inverse=True)
+        del names
+        counts = np.zeros(len(held), np.int64)
+        np.add.at(counts, at, times)
+        answers = np.split(counts[at], np.cumsum(sizes)[:-1])
+        return pa.table({"base": table.column("base"), "part": table.column("part"),
+                         "counts": pa.array([_pack(x) for x in answers], pa.binary())})
+
+    return exploded.groupBy("part").applyInArrow(join, ANSWERS)
+
+
+def _others(of: np.ndarray, counts: np.ndarray, doc: np.ndarray, inside: np.ndarray, docs: int) -> np.ndarray:
+    """By word: how often the n-gram that ends with it occurs in other documents."""
+    out = np.zeros(len(doc), np.int64)
+    at = np.flatnonzero(inside)
+    _, which, own = np.unique(of[at] * max(docs, 1) + doc[at], return_inverse=True, return_counts=True)
+    out[at] = counts[of[at]] - own[which]
+    return out
+
+
+SCORES = "doc_id long, words long, hits array<long>, score long"
+
+
+def slice_scores(cut: DataFrame, answers: DataFrame, known: tuple[np.ndarray, np.ndarray, int], ranges: int,
+                 order: int) -> DataFrame:
+    """(doc_id, words, hits, score) of every text; ``hits``: the words scored by an n-gram of
+    order 2, 3 and so on."""
+    shared = cut.sparkSession.sparkContext.broadcast(known)
+
+    def score_slice(ids: pa.Array, texts: pa.Array, parts: dict[int, bytes]) -> pa.RecordBatch:
+        common, often, total = shared.value
+        found = grams(texts, order)
+        names, _ = asked(found)
+        place = _found(names, common)
+        counts = np.where(place >= 0, often[place] if len(often) else 0, 0)
+        rare = np.flatnonzero(place < 0)
+        for part, span in _spans(names[rare], ranges):
+            counts[rare[span]] = _unpack(parts[part], span.stop - span.start)
+        docs, words = len(texts), np.diff(found.first)
+        score = np.zeros(len(found.doc), np.int64)
+        hits = np.zeros((docs, order - 1), np.int64)
+        most = np.minimum(found.place, order - 1)      # orders that a word can give up
+        level = [_others(np.searchsorted(names, g), counts, found.doc, found.place >= k, docs)
+                 for k, g in enumerate(found.orders)]
+        todo = np.ones(len(score), bool)
+        for k in range(order - 1, 0, -1):
+            at = np.flatnonzero(todo & (level[k] > 0))
+            score[at] = micro(level[k][at]) - micro(level[k - 1][at - 1]) + (most[at] - k) * LOSS
+            hits[:, k - 1] = np.bincount(found.doc[at], minlength=docs)
+            todo[at] = False
+        at = np.flatnonzero(todo)
+        score[at] = micro(level[0][at]) - micro(total - words[found.doc[at]]) + most[at] * LOSS
+        sums = np.zeros(docs, np.int64)
+        np.add.at(sums, found.doc, score)
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(words, pa.int64()), pa.array(hits.tolist(), pa.list_(pa.int64())), pa.array(sums)],
+            ["doc_id", "words", "hits", "score"])
+
+    def join(texts: pa.Table, counted: pa.Table) -> pa.Table:
+        parts = dict(zip(counted.column("part").to_pylist(), counted.column("counts").to_pylist(), strict=True))
+        texts = texts.combine_chunks().to_batches()
+        return pa.Table.from_batches([
+            score_slice(b.column("ids")[row].values, b.column("texts")[row].values, parts)
+            for b in texts for row in range(len(b))], _SCORE_TYPES)
+
+    return cut.groupBy("base").cogroup(answers.groupBy("base")).applyInArrow(join, SCORES)
+
+
+_SCORE_TYPES = pa.schema([("doc_id", pa.int64()), ("words", pa.int64()), ("hits", pa.list_(pa.int64())),
+                          ("score", pa.int64())])
+
+
+def score_corpus(run: Scratch, docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """(doc_id, words, hits, score_micro) of every row of ``docs`` (doc_id, text).
+
+    ``score_micro`` is the sum of the words' log scores in millionths, ``hits`` how
+    many words an n-gram of order 2, 3, ... ``order`` scored.  A word that no other
+    document has counts as seen once.  Words are maximal runs of other than ASCII
+    white space, as written.  Every row is a document: a repeated row is another
+    document with the same text.  Null and empty texts have no words and score 0; a null doc_id stays
+    null.  Other columns are not read; an empty table gives no rows.
     """
-    table = run.stage(word_counts(docs), "words")
-    total = table.agg(F.sum("c").alias("n")).first()["n"] or 0
-    often = table.filter(F.col("c") > max(total // COMMON, 1))  # fewer than COMMON rows
-    known = Known(*_sorted(often), *common_pairs(docs, total), total)
+    cut = run.stage_texts(slices(docs), "slices")
+    known = common_grams(run, cut, order)
     least = int(run.spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(least, -(-total // BUCKET_WORDS))
-    parts = run.stage(bucket_scores(exploded_pairs(docs, known, buckets), known), "parts")
-
-    # a slice's rows meet packed and leave as one row per document
-    sums = parts.select("base", "ids", "words", "docs", "sums", "hits").groupBy("base").applyInArrow(
-        _slice_sums, "base long, doc int, doc_id long, words long, pair_hits long, score long")
-    rest = parts.filter("size(open_docs) > 0").select(
-        "base", F.explode(F.arrays_zip("open_docs", "open_words")).alias("x")).select(
-        "base", F.col("x.open_docs").alias("doc"), F.col("x.open_words").alias("word"))
-    # rare words: each is at most 1/COMMON of all, so no key is hot
-    taken = rest.join(table, "word").groupBy("base", "doc").agg(F.sum(micro_log(F.col("c"))).alias("off"))
-    return sums.join(taken, ["base", "doc"], "left").select(
-        "doc_id", "words", "pair_hits", (F.col("score") - F.coalesce("off", F.lit(0))).alias("score_micro"))
+    ranges = max(least, -(-known[2] * order // RANGE_GRAMS))
+    answers = join_counts(explode_grams(cut, known[0], ranges, order))
+    return slice_scores(cut, answers, known, ranges, order).withColumnRenamed("score", "score_micro")
 
 
 def op3_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's stupid-backoff score under the counts of all documents."""
+    """Every document's stupid-backoff score, of order 3, under the counts of all others."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     with scratch(spark) as run:
-        return run.result(score_corpus(run, docs), "op3")
+        return run.result(score_corpus(run, docs).select(
+            "doc_id", "words", F.element_at("hits", 1).alias("pair_hits"),
+            F.element_at("hits", 2).alias("triple_hits"), "score_micro"), "op3")
 
 
 OP3_SQL = r"""
@@ -366,20 +330,33 @@ WITH w AS (
   SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents),
 p AS (
-  SELECT doc_id, unnest(words) AS word, unnest(list_prepend(NULL, words[1:len(words) - 1])) AS prev
+  SELECT doc_id, unnest(words) AS w3, unnest(list_prepend(NULL, words[1:len(words) - 1])) AS w2,
+         unnest(list_prepend(NULL, list_prepend(NULL, words))[1:len(words)]) AS w1
   FROM w WHERE len(words) > 0),
-u AS (SELECT word, count(*) AS c FROM p GROUP BY word),
-b AS (SELECT prev, word, count(*) AS c FROM p WHERE prev IS NOT NULL GROUP BY prev, word HAVING count(*) >= 2),
-n AS (SELECT sum(c) AS n FROM u),
+o1 AS (SELECT doc_id, w3, count(*) AS own, sum(count(*)) OVER (PARTITION BY w3) - count(*) AS c
+       FROM p GROUP BY doc_id, w3),
+o2 AS (SELECT doc_id, w2, w3, sum(count(*)) OVER (PARTITION BY w2, w3) - count(*) AS c
+       FROM p WHERE w2 IS NOT NULL GROUP BY doc_id, w2, w3),
+o3 AS (SELECT doc_id, w1, w2, w3, sum(count(*)) OVER (PARTITION BY w1, w2, w3) - count(*) AS c
+       FROM p WHERE w1 IS NOT NULL GROUP BY doc_id, w1, w2, w3),
+n AS (SELECT sum(own) AS n FROM o1),
 s AS (
-  SELECT p.doc_id, b.c IS NOT NULL AS hit,
-         CASE WHEN b.c IS NOT NULL THEN round(ln(b.c) * 1e6) - round(ln(v.c) * 1e6)
-              ELSE round(ln(u.c) * 1e6) - round(ln(n.n) * 1e6)
-                   + CASE WHEN p.prev IS NULL THEN 0 ELSE round(ln(0.4) * 1e6) END END AS score
-  FROM p JOIN u ON u.word = p.word LEFT JOIN u v ON v.word = p.prev
-  LEFT JOIN b ON b.prev = p.prev AND b.word = p.word CROSS JOIN n),
-t AS (SELECT doc_id, count(*) FILTER (hit) AS pair_hits, sum(score) AS score FROM s GROUP BY doc_id)
+  SELECT p.doc_id, coalesce(o3.c, 0) > 0 AS triple, coalesce(o3.c, 0) = 0 AND coalesce(o2.c, 0) > 0 AS pair,
+         CASE WHEN o3.c > 0 THEN round(ln(o3.c) * 1e6) - round(ln(b2.c) * 1e6)
+              WHEN o2.c > 0 THEN round(ln(o2.c) * 1e6) - round(ln(b1.c) * 1e6)
+                   + CASE WHEN p.w1 IS NULL THEN 0 ELSE round(ln(0.4) * 1e6) END
+              ELSE round(ln(greatest(o1.c, 1)) * 1e6) - round(ln(greatest(n.n - len(w.words), 1)) * 1e6)
+                   + round(ln(0.4) * 1e6) * ((p.w1 IS NOT NULL)::INT + (p.w2 IS NOT NULL)::INT) END AS score
+  FROM p JOIN w ON w.doc_id = p.doc_id
+  JOIN o1 ON o1.doc_id = p.doc_id AND o1.w3 = p.w3
+  LEFT JOIN o2 ON o2.doc_id = p.doc_id AND o2.w2 = p.w2 AND o2.w3 = p.w3
+  LEFT JOIN o3 ON o3.doc_id = p.doc_id AND o3.w1 = p.w1 AND o3.w2 = p.w2 AND o3.w3 = p.w3
+  LEFT JOIN o2 b2 ON b2.doc_id = p.doc_id AND b2.w2 = p.w1 AND b2.w3 = p.w2
+  LEFT JOIN o1 b1 ON b1.doc_id = p.doc_id AND b1.w3 = p.w2
+  CROSS JOIN n),
+t AS (SELECT doc_id, count(*) FILTER (pair) AS pair_hits, count(*) FILTER (triple) AS triple_hits,
+             sum(score) AS score FROM s GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(words) AS BIGINT) AS words, coalesce(pair_hits, 0) AS pair_hits,
-       CAST(coalesce(score, 0) AS BIGINT) AS score_micro
+       coalesce(triple_hits, 0) AS triple_hits, CAST(coalesce(score, 0) AS BIGINT) AS score_micro
 FROM w LEFT JOIN t USING (doc_id)
 """

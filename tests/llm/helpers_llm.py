@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -77,3 +78,36 @@ def edit_distance(a, b):
         for j, y in enumerate(b, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
     return row[-1]
+
+
+def backoff_scores(texts, order):
+    """Per text (words, hits by order from 2, score): counts of the other texts, order by order."""
+    texts = [WORDS.findall(t or "") for t in texts]
+
+    def counted(words):
+        return Counter(tuple(words[k:k + n]) for n in range(1, order + 1) for k in range(len(words) - n + 1))
+
+    every = sum(map(counted, texts), Counter())
+    total = sum(map(len, texts))
+
+    def log(x):
+        return round(math.log(max(x, 1)) * 1e6)
+
+    for words in texts:
+        own, score, hits = counted(words), 0, [0] * (order - 1)
+        for k in range(len(words)):
+            most = min(order, k + 1)
+            for n in range(most, 0, -1):
+                gram = tuple(words[k - n + 1:k + 1])
+                seen = every[gram] - own[gram]
+                if n == 1:
+                    score += log(seen) - log(total - len(words)) + (most - 1) * log_backoff()
+                elif seen:
+                    score += log(seen) - log(every[gram[:-1]] - own[gram[:-1]]) + (most - n) * log_backoff()
+                    hits[n - 2] += 1
+                    break
+        yield len(words), tuple(hits), score
+
+
+def log_backoff():
+    return round(math.log(0.4) * 1e6)

@@ -2,11 +2,12 @@
 
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from helpers_llm import edit_distance
+from helpers_llm import backoff_scores, edit_distance
 from pyspark.sql import functions as F
 
 from claimflow.llm import ann, exact, lines, lm, minhash
@@ -45,41 +46,27 @@ def test_near_lines_of_every_length(spark, run):
     assert texts.index("Le treque.") in near[texts.index("Le | treque.")]
 
 
-def test_no_bucket_holds_all_positions_of_a_common_pair(spark, run, monkeypatch):
+def test_no_range_holds_a_common_gram(spark, run, monkeypatch):
     rng = random.Random(3)
     texts = ["a b " * 40 + " ".join(f"w{rng.randrange(4000)}" for _ in range(80)) for _ in range(200)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    seen, real = [], lm.bucket_scores
-
-    def spy(pairs, *args):
-        seen.append(pairs)
-        return real(pairs, *args)
-
-    monkeypatch.setattr(lm, "bucket_scores", spy)
-    got = {r["doc_id"]: (r["words"], r["pair_hits"], r["score_micro"]) for r in lm.score_corpus(run, docs).collect()}
-    ones, twos = defaultdict(int), defaultdict(int)
-    for t in texts:
-        words = t.split()
-        for k, w in enumerate(words):
-            ones[w] += 1
-            if k:
-                twos[words[k - 1], w] += 1
-    total = sum(ones.values())
-
-    def log(x):
-        return round(math.log(x) * 1e6)
-
-    for i, t in enumerate(texts):
-        words, score, hits = t.split(), 0, 0
-        for k, w in enumerate(words):
-            if k and twos[words[k - 1], w] >= lm.LEAST:
-                score, hits = score + log(twos[words[k - 1], w]) - log(ones[words[k - 1]]), hits + 1
-            else:
-                score += log(ones[w]) - log(total) + (log(lm.BACKOFF) if k else 0)
-        assert got[i] == (len(words), hits, score)
-    [pairs] = seen
-    most = pairs.groupBy("bucket").agg(F.sum(F.length("first") / 2).alias("n")).agg(F.max("n")).first()[0]
-    assert twos["a", "b"] == 8000 and most < 4000 + total / 20
+    seen, real = [], lm.join_counts
+
+    def spy(exploded):
+        seen.append(exploded)
+        return real(exploded)
+
+    monkeypatch.setattr(lm, "join_counts", spy)
+    monkeypatch.setattr(lm, "SLICE_BYTES", 1000)
+    got = {r["doc_id"]: (r["words"], tuple(r["hits"]), r["score_micro"]) for r in lm.score_corpus(run, docs).collect()}
+    assert got == dict(enumerate(backoff_scores(texts, 3)))
+    [exploded] = seen
+    asked = Counter()
+    for r in exploded.collect():
+        asked.update(lm._unpack_grams(r["grams"]).tolist())
+    hot = set(lm.asked(lm.grams(pa.array(["a b a b"]), 3))[0].tolist())
+    assert len(hot) == 6 and not hot & set(asked)
+    assert max(asked.values()) < 200
 
 
 @pytest.mark.parametrize("percent", [80, 85])
