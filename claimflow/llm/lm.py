@@ -24,6 +24,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import pyarrow.ipc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from claimflow.llm.words import mix, word_hashes
 BACKOFF = 0.4
 ORDER = 3
 COMMON = 1 << 15        # an n-gram is common when it is more than 1/COMMON of all words
-SLICE_BYTES = 4 << 20   # texts that are counted together before the shuffle
+SLICE_BYTES = 8 << 20   # texts that are counted together before the shuffle
 RANGE_GRAMS = 2_000_000  # n-gram occurrences to a range of hashes
 _ROW = 1 << 33          # slices of a task, in their numbers
 LOSS = int(np.rint(np.log(BACKOFF) * 1e6))
@@ -45,7 +46,47 @@ def micro(counts: np.ndarray) -> np.ndarray:
     return np.rint(np.log(np.maximum(counts, 1).astype(np.float64)) * 1e6).astype(np.int64)
 
 
-SLICES = "base long, ids array<long>, texts array<string>"
+def codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=3)
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest one needs, the highest bytes
+    of all first, compressed; the first byte tells that width."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    bytes_ = numbers.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width:]
+    return bytes([width]) + codec().compress(np.ascontiguousarray(bytes_.T).tobytes(), asbytes=True)
+
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    width = data[0]
+    bytes_ = np.zeros((n, 8), np.uint8)
+    held = codec().decompress(data[1:], width * n, asbytes=True)
+    bytes_[:, 8 - width:] = np.frombuffer(held, np.uint8).reshape(width, n).T
+    return bytes_.view(">u8").ravel().astype(np.uint64)
+
+
+def _pack_grams(names: np.ndarray) -> bytes:
+    """Sorted hashes as their differences."""
+    return _pack(np.diff(names, prepend=np.uint64(0)))
+
+
+def _unpack_grams(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_unpack(data, n), dtype=np.uint64)
+
+
+def _pack_texts(ids: pa.Array, texts: pa.Array) -> bytes:
+    sink, batch = pa.BufferOutputStream(), pa.RecordBatch.from_arrays([ids, texts], ["ids", "texts"])
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=codec())) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack_texts(data: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data.as_buffer()).read_next_batch()
+
+
+SLICES = "base long, docs binary"
 
 
 def slices(docs: DataFrame) -> DataFrame:
@@ -59,10 +100,9 @@ def slices(docs: DataFrame) -> DataFrame:
             while lo < len(ends):
                 before = int(ends[lo - 1]) if lo else 0
                 hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
-                spans = pa.array([0, hi - lo], pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([base], pa.int64()), pa.ListArray.from_arrays(spans, batch.column(0).slice(lo, hi - lo)),
-                     pa.ListArray.from_arrays(spans, texts.slice(lo, hi - lo))], ["base", "ids", "texts"])
+                docs_ = _pack_texts(batch.column(0).slice(lo, hi - lo), texts.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([pa.array([base], pa.int64()), pa.array([docs_], pa.binary())],
+                                                 ["base", "docs"])
                 base, lo = base + 1, hi
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
@@ -99,8 +139,8 @@ def asked(found: Grams) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate([g[found.place >= k] for k, g in enumerate(found.orders)]), return_counts=True)
 
 
-def _table(batch: pa.RecordBatch | pa.Table, row: int) -> pa.Array:
-    return batch.column("texts")[row].values
+def _texts(batch: pa.RecordBatch, row: int) -> pa.Array:
+    return _unpack_texts(batch.column("docs")[row]).column("texts")
 
 
 COUNTS = "total boolean, gram long, c long"
@@ -124,13 +164,13 @@ def common_grams(run: Scratch, cut: DataFrame, order: int) -> tuple[np.ndarray,
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
-                found = grams(_table(batch, row), order)
+                found = grams(_texts(batch, row), order)
                 names, counts = asked(found)
                 much = counts > len(found.doc) // shares
                 yield _count_rows(False, names[much], counts[much])
                 yield _count_rows(True, np.zeros(1, np.uint64), np.array([len(found.doc)]))
 
-    named = run.stage(cut.select("texts").mapInArrow(likely, COUNTS).groupBy("total", "gram").agg(
+    named = run.stage(cut.select("docs").mapInArrow(likely, COUNTS).groupBy("total", "gram").agg(
         F.sum("c").alias("c")), "named")
     total = named.filter("total").agg(F.max("c").alias("c")).first()["c"] or 0
     rows = named.filter(~F.col("total") & (F.col("c") > max(total // shares, 1))).select("gram").collect()
@@ -143,13 +183,13 @@ def common_grams(run: Scratch, cut: DataFrame, order: int) -> tuple[np.ndarray,
         sums = np.zeros(len(shared.value), np.int64)
         for batch in batches:
             for row in range(len(batch)):
-                names, counts = asked(grams(_table(batch, row), order))
+                names, counts = asked(grams(_texts(batch, row), order))
                 at = _found(names, shared.value)
                 sums[at[at >= 0]] += counts[at >= 0]
         met = np.flatnonzero(sums)
         yield _count_rows(False, shared.value[met], sums[met])
 
-    exact = cut.select("texts").mapInArrow(count, COUNTS).groupBy("gram").agg(F.sum("c").alias("c"))
+    exact = cut.select("docs").mapInArrow(count, COUNTS).groupBy("gram").agg(F.sum("c").alias("c"))
     at = {r["gram"]: r["c"] for r in exact.filter(F.col("c") > max(total // COMMON, 1)).collect()}
     names = np.sort(np.array(list(at), np.int64).view(np.uint64))
     return names, np.array([at[x] for x in names.view(np.int64).tolist()], np.int64), total
@@ -176,26 +216,7 @@ def _spans(names: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
         yield int(of[lo]), slice(lo, hi)
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest one needs."""
-    most = int(numbers.max(initial=0))
-    return numbers.astype("<u1" if most < 1 << 8 else "<u4" if most < 1 << 32 else "<u8").tobytes()
-
-
-def _unpack(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64)
-
-
-def _pack_grams(names: np.ndarray) -> bytes:
-    """Sorted hashes byte by byte, highest bytes first, which repeat and compress."""
-    return names.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def _unpack_grams(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(">u8").ravel().astype(np.uint64)
-
-
-ASKED = "part int, base long, grams binary, times binary"
+ASKED = "part int, base long, n int, grams binary, times binary"
 ANSWERS = "base long, part int, counts binary"
 
 
@@ -206,30 +227,31 @@ def explode_grams(cut: DataFrame, common: np.ndarray, ranges: int, order: int) -
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
-                names, counts = asked(grams(_table(batch, row), order))
+                names, counts = asked(grams(_texts(batch, row), order))
                 rare = _found(names, shared.value) < 0
                 names, counts = names[rare], counts[rare]
                 parts = list(_spans(names, ranges))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([p for p, _ in parts], pa.int32()),
                     pa.array([batch.column("base")[row].as_py()] * len(parts), pa.int64()),
+                    pa.array([s.stop - s.start for _, s in parts], pa.int32()),
                     pa.array([_pack_grams(names[s]) for _, s in parts], pa.binary()),
                     pa.array([_pack(counts[s]) for _, s in parts], pa.binary())],
-                    ["part", "base", "grams", "times"])
+                    ["part", "base", "n", "grams", "times"])
 
-    return cut.select("base", "texts").mapInArrow(explode, ASKED)
+    return cut.mapInArrow(explode, ASKED)
 
 
 def join_counts(exploded: DataFrame) -> DataFrame:
     """Each slice's n-grams of a range with their counts in the corpus, in the slice's order."""
     def join(table: pa.Table) -> pa.Table:
-        names = [_unpack_grams(x) for x in table.column("grams").to_pylist()]
-        sizes = [len(x) for x in names]
+        sizes = table.column("n").to_pylist()
+        names = [_unpack_grams(x, n) for x, n in zip(table.column("grams").to_pylist(), sizes, strict=True)]
         times = np.concatenate([_unpack(x, n) for x, n in zip(table.column("times").to_pylist(), sizes, strict=True)])
         held, at = np.unique(np.concatenate(names), return_inverse=True)
         del names
         counts = np.zeros(len(held), np.int64)
-        np.add.at(counts, at, times)
+        np.add.at(counts, at, times.astype(np.int64))
         answers = np.split(counts[at], np.cumsum(sizes)[:-1])
         return pa.table({"base": table.column("base"), "part": table.column("part"),
                          "counts": pa.array([_pack(x) for x in answers], pa.binary())})
@@ -241,6 +263,7 @@ def _others(of: np.ndarray, counts: np.ndarray, doc: np.ndarray, inside: np.ndar
     """By word: how often the n-gram that ends with it occurs in other documents."""
     out = np.zeros(len(doc), np.int64)
     at = np.flatnonzero(inside)
+    at = at[counts[of[at]] > 1]      # the others occur here and nowhere else
     _, which, own = np.unique(of[at] * max(docs, 1) + doc[at], return_inverse=True, return_counts=True)
     out[at] = counts[of[at]] - own[which]
     return out
@@ -288,7 +311,7 @@ def slice_scores(cut: DataFrame, answers: DataFrame, known: tuple[np.ndarray, np
         parts = dict(zip(counted.column("part").to_pylist(), counted.column("counts").to_pylist(), strict=True))
         texts = texts.combine_chunks().to_batches()
         return pa.Table.from_batches([
-            score_slice(b.column("ids")[row].values, b.column("texts")[row].values, parts)
+            score_slice(*_unpack_texts(b.column("docs")[row]).columns, parts)
             for b in texts for row in range(len(b))], _SCORE_TYPES)
 
     return cut.groupBy("base").cogroup(answers.groupBy("base")).applyInArrow(join, SCORES)
@@ -308,7 +331,7 @@ def score_corpus(run: Scratch, docs: DataFrame, order: int = ORDER) -> DataFrame
     document with the same text.  Null and empty texts have no words and score 0; a null doc_id stays
     null.  Other columns are not read; an empty table gives no rows.
     """
-    cut = run.stage_texts(slices(docs), "slices")
+    cut = run.stage(slices(docs), "slices")
     known = common_grams(run, cut, order)
     least = int(run.spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(least, -(-known[2] * order // RANGE_GRAMS))
