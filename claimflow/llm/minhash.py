@@ -253,7 +253,11 @@ def near_duplicates(run: Scratch, docs: DataFrame, size: int = 3, percent: int =
     classes = run.stage(named.groupBy("n", "s1", "s2").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("rows"), F.max("doc_id").alias("top")), "classes")
     lead = classes.select("n", "s1", "s2", "class_id", F.col("class_id").alias("doc_id"))
-    reps = run.stage(named.join(lead, ["doc_id", "n", "s1", "s2"]).select("class_id", "bands", "sketch"), "reps")
+    of_class = ["class_id", "n", "s1", "s2"]
+    reps = run.stage(named.join(lead, ["doc_id", "n", "s1", "s2"]).select(*of_class, "bands", "sketch"), "reps")
+    if reps.count() > classes.count():      # rows repeat: one of them is enough from here on
+        reps = run.stage(reps.dropDuplicates(of_class), "reps-once")
+        docs = run.stage_texts(docs.select("doc_id", "text").dropDuplicates(), "docs-once")
     keys = reps.select("class_id", F.explode("bands").alias("key"))
     buckets = run.stage(
         keys.groupBy("key").agg(F.min("class_id").alias("a"), F.max("class_id").alias("top"),

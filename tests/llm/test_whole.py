@@ -142,3 +142,23 @@ def test_whole_search_recall_against_brute_force(spark, run):
         far[q] = np.inf
         hit += len(found & set(np.argsort(far)[:10].tolist()))
     assert 0.9 <= hit / 400
+
+
+def test_repeated_rows_are_compared_once(spark, run, monkeypatch):
+    rng = random.Random(17)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(100)]
+    one, two = " ".join(words), " ".join([*words[:99], "other"])
+    far = " ".join(f"v{rng.randrange(10 ** 6)}" for _ in range(100))
+    rows = [(1, one), (2, two), (3, two + " x")] * 1000 + [(4, far), (3, far)]
+    seen, real = [], minhash._agreeing
+
+    def spy(run_, pairs, sketches):
+        seen.append((pairs.count(), sketches.count()))
+        return real(run_, pairs, sketches)
+
+    monkeypatch.setattr(minhash, "_agreeing", spy)
+    found = minhash.near_duplicates(run, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    assert {(r["doc_id"], r["component_id"]) for r in found} == {(1, 1), (2, 1), (3, 1), (4, 1)}
+    [(pairs, classes)] = seen       # three similar classes make at most three pairs
+    assert pairs <= 3 and classes == 4
