@@ -9,9 +9,9 @@ table, and no further hash is computed.
 Candidates.  Documents with equal shingle sets form one class.  Signature bands
 put classes into buckets; each class is confirmed against the smallest class of
 its buckets, which takes one pair per class and bucket and joins nearly all of
-a group.  Only buckets whose members are still in different components
-are compared in full, in blocks of bounded size.  Every link rests on the
-intersection of whole sets.
+a group.  The members of buckets that still hold different components are
+compared by their rarest shingles: two sets that are similar enough share one of
+those.  Every link rests on the intersection of whole sets.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimflow.llm.components import components
@@ -51,7 +51,7 @@ def layout(percent: int) -> tuple[int, int]:
 
 BANDS, ROWS = layout(85)
 COORDINATES = BANDS * ROWS
-BLOCK = 512                  # classes of one bucket that are compared by one task
+BLOCK = 512                  # sets behind one rare shingle that a probing row meets
 PER_KEY = 1024               # pairs that meet one class's shingles in one task
 LIKELY = 0.70                # 0.85 is seen below this once in a million times, of 144 coordinates
 
@@ -179,61 +179,73 @@ def confirm(run: Scratch, docs: DataFrame, pairs: DataFrame, size: int, percent:
     return two.filter(both * 100 >= (F.size("x") + F.size("y") - both) * percent).select("a", "b").distinct()
 
 
-def _connect(sets: list[np.ndarray], roots: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
-    """Index pairs of similar sets that join different components, until none are left.
+def rare_shingles(run: Scratch, sets: DataFrame, percent: int) -> DataFrame:
+    """(at, doc_id, root, n, s, place, short) of the shingles by which a set can meet others.
 
-    ``roots`` are the components so far; only members outside the largest one are
-    compared with all others, through an index from shingles to members.
+    ``sets`` has at (the set's number), doc_id, root, shingles.  All sets put their
+    shingles in one order: first those that only one component holds, then the
+    others, rarest first.  Two sets that are similar enough share a shingle of which
+    the larger set has no more than ``n - ceil(t n) + 1`` up to it (the rows
+    returned), and the smaller one no more than ``n - ceil(2 t n / (1 + t)) + 1``
+    (``short``).  A shingle of one component has a place but can join nothing, so it
+    is no row.
     """
-    roots = roots.copy()
-    sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    order = np.argsort(np.concatenate(sets), kind="stable")
-    ranked, owner = np.concatenate(sets)[order], owner[order]
-    values, counts = np.unique(roots, return_counts=True)
-    for k in np.flatnonzero(roots != values[counts.argmax()]):
-        lo = np.searchsorted(ranked, sets[k], "left")
-        length = np.searchsorted(ranked, sets[k], "right") - lo
-        at = np.repeat(lo - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
-        common = np.bincount(owner[at], minlength=len(sets))
-        alike = 100 * common >= percent * (sizes + sizes[k] - common)
-        for j in np.flatnonzero(alike):
-            if roots[j] != roots[k]:
-                roots[roots == roots[j]] = roots[k]
-                yield int(k), int(j)
+    each = sets.select("at", "doc_id", "root", F.size("shingles").cast("long").alias("n"),
+                       F.explode("shingles").alias("s"))
+    shared = run.stage(each.groupBy("s").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("rows"))
+        .filter("lo <> hi").select("s", "rows", F.col("rows").alias("holders")), "shared")
+    held = lookup(each, shared, ["s"], "rows")
+    own = Window.partitionBy("at")
+    placed = held.withColumn("place", F.col("n") - F.count("*").over(own)
+                             + F.row_number().over(own.orderBy("holders", "s")))
+    return placed.filter(F.expr(f"place <= n - (n * {percent} + 99) div 100 + 1")).select(
+        "at", "doc_id", "root", "n", "s", "place",
+        F.expr(f"place <= n - (2 * n * {percent} + {99 + percent}) div {100 + percent} + 1").alias("short"))
+
+
+def leftover_pairs(run: Scratch, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) ids of sets of different components that may be similar enough; none is missed.
+
+    The smaller set of a pair is found by the larger one through a shared rare
+    shingle.  The sets behind a shingle are dealt over parts of about ``BLOCK``, so a
+    shingle that very many sets hold is no one task's work; its rows are numbers,
+    not sets.
+    """
+    rare = run.stage(rare_shingles(run, sets, percent), "rare")
+    met = run.stage(rare.groupBy("s").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("rows"),
+        F.count_if("short").alias("held")).filter("lo <> hi AND held > 0").select(
+        "s", "rows", F.ceil(F.col("held") / BLOCK).cast("int").alias("parts")), "met")
+    active = run.stage(lookup(rare, met, ["s"], "rows"), "active")
+    index = active.filter("short").withColumn("part", F.pmod(F.xxhash64("at"), F.col("parts")).cast("int")).alias("x")
+    probe = active.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
+    # the first shingle that two sets share bounds what they can have in common after it
+    return index.join(probe, F.expr(f"""
+        x.s = y.s AND x.part = y.part AND x.root <> y.root
+        AND (x.n < y.n OR (x.n = y.n AND x.at < y.at)) AND 100 * x.n >= {percent} * y.n
+        AND ({100 + percent}) * (1 + least(x.n - x.place, y.n - y.place)) >= {percent} * (x.n + y.n)""")).select(
+        F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
 
 
 def leftover_links(run: Scratch, docs: DataFrame, keys: DataFrame, roots: DataFrame, size: int,
                    percent: int) -> DataFrame:
-    """Links (a, b) between members of one bucket that are still in different components.
+    """Links (a, b) between members of mixed buckets that are still in different components.
 
-    Buckets with the same members are compared once.  A large bucket is cut into
-    blocks, every two of which meet in one task with their whole shingle sets; the
-    task emits the links that join components, not the pairs.
+    A bucket is mixed when its members are in several components.  Members of mixed
+    buckets are compared whether or not they share one.
     """
     labelled = run.stage(keys.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         "key", "class_id", F.coalesce("root", "class_id").alias("root")), "labelled")
     mixed = run.stage(
-        labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"),
-                                    F.bit_xor(F.xxhash64("class_id")).alias("who"))
-        .filter("lo <> hi").groupBy("n", "who").agg(F.min("key").alias("key"))
-        .select("key", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    members = run.stage(lookup(labelled, mixed, ["key"], "n").distinct(), "members")
-    ids = members.select(F.col("class_id").alias("doc_id")).distinct()
-    sets = run.stage(shingle_sets(named_docs(docs, ids), size), "member-sets")
-    # every two blocks of a bucket meet once: block i of a member goes to (i, j) and (j, i)
-    block = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
-    placed = members.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("key", F.col("class_id").alias("doc_id"), "root", F.least("i", "j").alias("lo"),
-                           F.greatest("i", "j").alias("hi")).join(sets, "doc_id")
-
-    def compare(table: pa.Table) -> pa.Table:
-        ids_, roots_ = (table.column(c).to_numpy() for c in ("doc_id", "root"))
-        found = list(_connect([x.values.to_numpy() for x in table.column("shingles")], roots_, percent))
-        return pa.table({"a": pa.array([min(ids_[x], ids_[y]) for x, y in found], pa.int64()),
-                         "b": pa.array([max(ids_[x], ids_[y]) for x, y in found], pa.int64())})
-
-    return placed.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
+        labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
+        .filter("lo <> hi").select("key", "n", F.lit(True).alias("mixed")), "mixed")
+    members = run.stage(lookup(labelled, mixed, ["key"], "n").select(
+        F.col("class_id").alias("doc_id"), "root").distinct(), "members")
+    sets = run.stage(shingle_sets(named_docs(docs, members.select("doc_id")), size).join(members, "doc_id")
+                     .withColumn("at", F.monotonically_increasing_id()), "member-sets")
+    pairs = run.stage(leftover_pairs(run, sets, percent), "leftover-pairs")
+    return confirm(run, docs, pairs, size, percent, "leftover")
 
 
 def near_duplicates(run: Scratch, docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:

@@ -173,6 +173,57 @@ def test_leftover_buckets_are_compared_in_full(spark, run, monkeypatch):
     assert got == near_components(rows, 3, 85)
 
 
+def test_family_just_under_the_threshold_makes_few_pairs(spark, run, monkeypatch):
+    """All texts share 83 percent: no two of them are linked, nor met for what all of them share."""
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        for k in range(9):
+            own[30 * k + 7] = f"x{i}y{k}"
+        rows.append((i, " ".join(own), "a"))
+    for i in range(20):  # near copies of some, which are linked
+        rows.append((1000 + i, rows[i][1].replace("w299", f"z{i}"), "a"))
+    tried, real = {}, minhash.confirm
+
+    def spy(run_, docs_, pairs, size, percent, tag):
+        tried[tag] = pairs.count()
+        return real(run_, docs_, pairs, size, percent, tag)
+
+    monkeypatch.setattr(minhash, "confirm", spy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(run, docs).collect()}
+    assert got == near_components(rows, 3, 85) and got[1003] == 3
+    assert tried["leftover"] <= 20
+
+
+@pytest.mark.parametrize(("percent", "block"), [(85, 512), (85, 2), (60, 3), (100, 512)])
+def test_leftover_pairs_hold_every_similar_pair(spark, run, monkeypatch, percent, block):
+    """Sets of a few common and rare shingles, in components of their own or of several."""
+    rng = random.Random(percent + block)
+    found = []
+    for k in range(150):
+        if k % 3 and found:
+            members = set(rng.choice(found)[2])
+            for _ in range(rng.randint(0, 3)):
+                members.discard(rng.choice(sorted(members)))
+                members.add(rng.randrange(60))
+        else:
+            members = {rng.randrange(60) for _ in range(rng.randint(1, 25))}
+        found.append((k, k if k % 5 else 0, sorted(members)))
+    sets = spark.createDataFrame([(1000 + k, k, root, s) for k, root, s in found],
+                                 "at long, doc_id long, root long, shingles array<long>")
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    pairs = {tuple(r) for r in minhash.leftover_pairs(run, sets, percent).collect()}
+    want = set()
+    for i, r, x in found:
+        for j, q, y in found[i + 1:]:
+            both = len(set(x) & set(y))
+            if r != q and 100 * both >= percent * (len(x) + len(y) - both):
+                want.add((i, j))
+    assert want and want <= pairs
+
+
 def test_circulant_signature_estimates_similarity():
     rng = np.random.default_rng(1)
     one = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
