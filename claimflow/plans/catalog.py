@@ -1,8 +1,9 @@
 """Registered queries: one per operator group, each ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver tables under ``sf_dir`` (through the fixture
-mapping) in full; none samples, caps or subsets rows.  Those that join payments read
-them from a store written once per application (:mod:`claimflow.sources.store`).
+mapping) in full; none samples, caps or subsets rows.  Those that read payments once join
+them as they lie: writing a store (:mod:`claimflow.sources.store`) for one read moves more
+than the join.  The queries of whole relationships read such a store.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ def relate_paths(spark, sf):
 
 
 def payments_extract(spark, sf):
-    return X.payments_extract(stored_entities(spark, sf), REP_END)
+    return X.payments_extract(entities(spark, sf), REP_END)
 
 
 def diagnosis_extract(spark, sf):
@@ -66,7 +67,7 @@ def ocr_base(spark, sf):
 
 
 def acr_base(spark, sf):
-    return X.acr_base(stored_entities(spark, sf), REP_START)
+    return X.acr_base(entities(spark, sf), REP_START)
 
 
 def typed_casts(spark, sf):
@@ -154,12 +155,12 @@ def latest_diagnosis_q(spark, sf):
 
 
 def latest_diagnosis_join(spark, sf):
-    return acr.acr_frame(stored_entities(spark, sf), REP_START).select(
+    return acr.acr_frame(entities(spark, sf), REP_START).select(
         "contribution_name", "claim_name", "medical_code", "description", "duration_factor")
 
 
 def source_of_claim(spark, sf):
-    return acr.acr_frame(stored_entities(spark, sf), REP_START).select(
+    return acr.acr_frame(entities(spark, sf), REP_START).select(
         "contribution_name", "source_of_claim")
 
 
@@ -169,7 +170,7 @@ def waiting_total(spark, sf):
 
 
 def annual_sum_insured(spark, sf):
-    return acr.acr_frame(stored_entities(spark, sf), REP_START).select(
+    return acr.acr_frame(entities(spark, sf), REP_START).select(
         "contribution_name", "benefit_name", "coverage_amount", "annual_sum_insured")
 
 
@@ -216,14 +217,14 @@ def hop_integrity_q(spark, sf):
 
 def csv_roundtrip(spark, sf):
     """ACR report written as CSV to the shared scratch folder and read back."""
-    report = acr.acr_report(stored_entities(spark, sf), REP_START, REP_END)
+    report = acr.acr_report(entities(spark, sf), REP_START, REP_END)
     path = scratch_path(spark, "csv_roundtrip")
     write_report(report, [path])
     return read_csv(spark, path, report.schema)
 
 
 def acr_report(spark, sf):
-    return acr.acr_report(stored_entities(spark, sf), REP_START, REP_END)
+    return acr.acr_report(entities(spark, sf), REP_START, REP_END)
 
 
 def ocr_report(spark, sf):

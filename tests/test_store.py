@@ -70,3 +70,12 @@ def test_store_of_the_driver_tables_is_written_once(spark, fixture_tables):
     assert one["payment"] is two["payment"]
     assert _rows(relate(one, "payment_contribution", RELATE_FIELDS)) == _rows(
         relate(fixture_tables, "payment_contribution", RELATE_FIELDS))
+
+
+def test_one_read_of_payments_writes_no_store(spark):
+    """Queries that read payments once join the driver's tables directly."""
+    from claimflow.plans.catalog import QUERIES
+
+    for name in ("acr_base", "payment_rollup", "ocr_with_payments"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "lineitem.parquet" in plan and "claimflow_fact_" not in plan, name
