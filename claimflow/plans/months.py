@@ -29,6 +29,9 @@ from ..sources.months import MONTH, read_months, signatures
 from .lookups import _group_parents
 
 MANIFEST_SCHEMA = "month date, signature string, folder string"
+PARTS = 16    # tasks that share a month, and files of its states, at most
+PART = "_part"
+PAID_COLUMNS = ("benefit_claimed_id", "amount", "start", "through", "release", "line_number")
 STATE_COLUMNS = ("n", "n_amount", "n_exact", "exact", "total", "n_first", "n_last", "n_release", "first", "last", "eff",
                  "pick", "pick_at")
 
@@ -52,8 +55,12 @@ def states_of_months(tables: Mapping[str, DataFrame], months: list[dt.date],
     pc = as_date(as_number(pc, ["amount"]), ["start", "through"])
     pc = pc.select(MONTH, "benefit_claimed_id", "payment_id", "line_number", "amount", "start", "through")
     joined = pc.join(paid, pc["payment_id"] == paid["_payment"])
-    return states(joined, [MONTH, "benefit_claimed_id"], *[F.col(c) for c in (
-        "amount", "start", "through", "release", "line_number")])
+    # dealt once, by month and part, as narrow rows: both steps of the rollup and the files per month
+    # need no other exchange, and a month is the work of up to PARTS tasks
+    tasks = int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = joined.select(MONTH, F.pmod(F.xxhash64("benefit_claimed_id"), F.lit(PARTS)).alias(PART), *PAID_COLUMNS) \
+        .repartition(tasks, MONTH, PART)
+    return states(dealt, [MONTH, PART, "benefit_claimed_id"], *[F.col(c) for c in PAID_COLUMNS[1:]]).drop(PART)
 
 
 class MonthStates:
@@ -91,7 +98,7 @@ class MonthStates:
         if changed:
             folder = f"states-{uuid.uuid4().hex}"
             (states_of_months(read_months(self.spark, self.source), changed)
-             .repartition(MONTH).write.partitionBy(MONTH).parquet(f"{self.root}/{folder}"))
+             .write.option("compression", "zstd").partitionBy(MONTH).parquet(f"{self.root}/{folder}"))
             kept |= {m: (now[m], folder) for m in changed}
         rows = [(m, *v) for m, v in sorted(kept.items())]
         # a manifest that a dead run left half written is written anew

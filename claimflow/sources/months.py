@@ -26,7 +26,8 @@ def write_months(tables: Mapping[str, DataFrame], root: str, months: Iterable[dt
     and so have contributions without a payment."""
     paid = tables["payment"]
     paid = paid.withColumn(MONTH, F.trunc(date_column(paid, "release"), "month"))
-    month_of = paid.select(F.col("id").alias("_payment"), F.col(MONTH)).distinct()
+    # dealt by the id alone: the distinct months of an id and the join need no other exchange
+    month_of = paid.select(F.col("id").alias("_payment"), F.col(MONTH)).repartition("_payment").distinct()
     facts = tables["payment_contribution"].drop(MONTH)
     facts = facts.join(month_of, F.col("payment_id") == F.col("_payment"), "left").drop("_payment")
     for name, df in zip(OBJECTS, (paid, facts), strict=True):
@@ -34,7 +35,7 @@ def write_months(tables: Mapping[str, DataFrame], root: str, months: Iterable[dt
             df = df.filter(F.col(MONTH).isin(list(months)))
         # one task, or a few after a skew split, per month: few files a folder
         (df.repartition(MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if months is not None else "static")
-         .partitionBy(MONTH).parquet(f"{root.rstrip('/')}/{name}"))
+         .option("compression", "zstd").partitionBy(MONTH).parquet(f"{root.rstrip('/')}/{name}"))
 
 
 def read_months(spark: SparkSession, root: str) -> dict[str, DataFrame]:

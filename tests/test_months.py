@@ -82,3 +82,26 @@ def test_months_that_go_and_payments_without_a_date(spark):
     write_months(t, source)
     assert kept.update() in ([D("2020-01-01")], []) and set(kept.manifest()[1]) == {D("2020-01-01")}
     assert isinstance(next(iter(kept.manifest()[1])), dt.date)
+
+
+def test_states_of_months_are_dealt_once(spark, fixture_tables):
+    """Behind the join one exchange, of payments and not of their states, serves both steps and the files."""
+    source = scratch_path(spark, "months")
+    write_months(fixture_tables, source)
+    months = sorted(signatures(spark, source))[:3]
+    plan = states_of_months(read_months(spark, source), months)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    join = next(i for i, x in enumerate(lines) if "Join" in x and "payment_id#" in x)
+    above = [x for x in lines[:join] if "Exchange" in x]
+    assert len(above) == 1 and "REPARTITION" in above[0], above
+
+
+def test_writing_months_deals_payments_by_id_once(spark, fixture_tables, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    plans = []
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString()), write(self, *a, **k))[1])
+    write_months(fixture_tables, scratch_path(spark, "months"))
+    assert len(plans) == 2 and sum("Exchange hashpartitioning" in x and "_payment#" in x for x in plans[1].splitlines()) == 1
