@@ -43,7 +43,9 @@ def payment_states(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFra
         .select(F.col("id").alias("_payment"), "release")
     pc = as_date(as_number(tables["payment_contribution"], ["amount"]), ["start", "through"])
     pc = pc.select("benefit_claimed_id", "payment_id", "line_number", "amount", "start", "through")
-    pc = pc.join(paid, pc["payment_id"] == paid["_payment"])
+    # merged at every size: what a run needs grows with the payments and not in steps, and no
+    # task holds them all
+    pc = pc.join(paid.hint("merge"), pc["payment_id"] == paid["_payment"])
     return states(pc, ["benefit_claimed_id"], F.col("amount"), F.col("start"), F.col("through"),
                   F.col("release"), F.col("line_number"))
 

@@ -211,3 +211,9 @@ def test_heavy_merge_keys_are_dealt_without_aqe(spark):
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_payments_meet_their_contributions_by_merge_at_every_size(fixture_tables):
+    """Payments are never broadcast, so what the join moves is in proportion to them."""
+    plan = payment_states(fixture_tables, REP_END)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [payment_id#" in plan and "BroadcastExchange" not in plan
