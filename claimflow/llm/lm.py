@@ -10,8 +10,9 @@ is pruned.  Logarithms are whole millionths, so sums do not depend on their orde
 The n-grams of all orders are exploded from slices of texts, reduced to one
 entry per slice and n-gram, and shuffled to ranges of their hash.  A range sums
 the entries to its part of the count table and joins the counts to the slices
-that asked.  Slice by slice the counts meet the texts again and are summed per
-document.  N-grams that are more than 1/32,768 of all words (fewer than that in
+that asked.  The slices are staged in buckets of their number, so that only the
+counts are shuffled to meet the texts again, slice by slice, and no text is moved
+twice; scores are summed per document.  N-grams that are more than 1/32,768 of all words (fewer than that in
 each order, whatever the corpus) are counted beforehand, pre-summed in every
 slice, and their counts are at hand everywhere: no range holds a hot n-gram.
 """
@@ -331,7 +332,7 @@ def score_corpus(run: Scratch, docs: DataFrame, order: int = ORDER) -> DataFrame
     document with the same text.  Null and empty texts have no words and score 0; a null doc_id stays
     null.  Other columns are not read; an empty table gives no rows.
     """
-    cut = run.stage(slices(docs), "slices")
+    cut = run.stage_dealt(slices(docs), "slices", "base")   # the texts lie where their counts go
     known = common_grams(run, cut, order)
     least = int(run.spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(least, -(-known[2] * order // RANGE_GRAMS))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
@@ -44,6 +45,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: list[str] = []
+        self.tables: list[str] = []
         ship(spark)
 
     def path(self, name: str) -> str:
@@ -60,11 +62,26 @@ class Scratch:
         """:meth:`stage` for a table of texts, packed tighter."""
         return written(df, self.path(name), "zstd")
 
+    def stage_dealt(self, df: DataFrame, name: str, column: str) -> DataFrame:
+        """:meth:`stage`, dealt to as many buckets of ``column`` as there are shuffle partitions.
+
+        What is grouped or joined by ``column`` reads the buckets as they lie, without a shuffle.
+        """
+        table = f"{name}_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path = self.path(name)
+        self.tables.append(table)  # before the write: a failed one may leave the table too
+        df.write.format("parquet").bucketBy(buckets, column).option("path", path).saveAsTable(table)
+        return self.spark.table(table)
+
     def result(self, df: DataFrame, name: str) -> DataFrame:
         """Write the run's (small) result and read it back; it outlives the run."""
         return written(df, scratch_path(self.spark, name))
 
     def drop(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.tables.clear()
         for path in self.paths:
             delete_path(self.spark, path)
         self.paths.clear()

@@ -162,3 +162,17 @@ def test_repeated_rows_are_compared_once(spark, run, monkeypatch):
     assert {(r["doc_id"], r["component_id"]) for r in found} == {(1, 1), (2, 1), (3, 1), (4, 1)}
     [(pairs, classes)] = seen       # three similar classes make at most three pairs
     assert pairs <= 3 and classes == 4
+
+
+def test_backoff_texts_are_moved_once(spark):
+    """The slices lie in buckets: only what is asked and what is counted is shuffled."""
+    from claimflow.llm.scratch import scratch
+
+    docs = spark.createDataFrame([(k, f"a b c{k % 3} d") for k in range(20)], "doc_id long, text string")
+    with scratch(spark) as run:
+        plan = lm.score_corpus(run, docs)._jdf.queryExecution().executedPlan().toString()
+        tables = list(run.tables)
+        assert all(spark.catalog.tableExists(t) for t in tables)
+    assert plan.count("Exchange hashpartitioning(base") == 1
+    assert plan.count("Exchange ") == 2
+    assert tables and not any(spark.catalog.tableExists(t) for t in tables)
