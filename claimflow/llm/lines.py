@@ -25,63 +25,72 @@ SHORTEST = 1       # shorter lines are duplicates only when equal: none
 BRIEF = 6          # lines of so many characters are found by their rests, longer ones by segments
 
 
-def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
-    """(start, length) of a segment, counted from 1; the last ones are longer by one if need be."""
-    parts = edits + 1
-    short, extra = F.floor(length / parts), length % parts
-    first_long = parts - extra + 1                                    # segments from here on have one more
-    start = (number - 1) * short + F.greatest(F.lit(number) - first_long, F.lit(0)) + 1
-    return start.cast("int"), (short + (F.lit(number) >= first_long).cast("int")).cast("int")
+# The parities of the characters at both ends of a line are compared before anything else.
+WINDOW = 32        # characters of an end
+CLASSES = 31       # classes of characters, by their hash
 
 
-def _key(length: Column, number: int, text: Column) -> Column:
-    return F.xxhash64(length, F.lit(number), text)
+def odd(text: Column, classes: int) -> Column:
+    """Whether a text holds an odd number of the characters of each class, a bit for each class."""
+    return F.aggregate(F.split(text, ""), F.lit(0).cast("long"), lambda bits, char: bits.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(char), F.lit(classes)))))
 
 
-# Characters whose numbers are compared before anything else.
-COUNTED = "etaoinshrdlucmg"
-
-
-def counts(line: Column) -> Column:
-    """How often a line has each counted character, modulo 16, four bits each."""
-    out = F.lit(0).cast("long")
-    for k, char in enumerate(COUNTED):
-        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(char), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft((n % 16).cast("long"), 4 * k))
-    return out
+def parities(line: Column) -> Column:
+    """:func:`odd` of the first and the last ``WINDOW`` characters."""
+    head, tail = F.substring(line, 1, WINDOW), F.substring(line, -WINDOW, WINDOW)
+    return odd(head, CLASSES).bitwiseOR(F.shiftleft(odd(tail, CLASSES), CLASSES))
 
 
 def alike(x: Column, y: Column, edits: int) -> Column:
-    """An edit changes the counts by two at most, so lines within reach differ by ``2 * edits``."""
-    total = F.lit(0).cast("long")
-    for k in range(len(COUNTED)):
-        d = F.abs(F.shiftright(x, 4 * k).bitwiseAND(F.lit(15)) - F.shiftright(y, 4 * k).bitwiseAND(F.lit(15)))
-        total = total + F.least(d, 16 - d)
-    return total <= 2 * edits
+    """An edit changes two parities of an end at most: one character comes, one goes, be it
+    by a shift.  So each end of lines within reach differs by ``2 * edits``."""
+    def near(bits: Column) -> Column:
+        return F.bit_count(bits.bitwiseAND(F.lit((1 << CLASSES) - 1))) <= 2 * edits
+
+    differ = x.bitwiseXOR(y)
+    return near(differ) & near(F.shiftright(differ, CLASSES))
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    """The keys of a line's own segments."""
-    return F.array(*[_key(length, k, F.substring(line, *_segment(length, k, edits))) for k in range(1, edits + 2)])
+def index_kinds(edits: int) -> list[tuple[int, int, int]]:
+    """(shorter, number, shift) of a line's own segments."""
+    return [(0, k, 0) for k in range(1, edits + 2)]
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> tuple[list[Column], list[Column]]:
-    """The keys by which a line can meet lines of its own length or up to ``edits`` shorter.
+def probe_kinds(edits: int) -> list[tuple[int, int, int]]:
+    """(shorter, number, shift) of the substrings by which a line can meet lines of its own
+    length or up to ``edits`` shorter.
 
     If segment k is the first that matches, each segment before it holds an edit,
     and so does, seen from the end, each one after it: that bounds how far the match
-    is shifted from either side.  Returns the keys for lines of the same length and
-    those for shorter ones.
+    is shifted from either side.
     """
-    equal, keys = [], []
+    kinds = []
     for shorter in range(edits + 1):
-        other = length - shorter
         for k in range(1, edits + 2):
-            start, size = _segment(other, k, edits)
             before, after = k - 1, edits + 1 - k
-            for shift in range(max(-before, shorter - after), min(before, shorter + after) + 1):
-                (keys if shorter else equal).append(_key(other, k, F.substring(line, start + shift, size)))
-    return equal, keys
+            kinds += [(shorter, k, shift) for shift in range(max(-before, shorter - after),
+                                                             min(before, shorter + after) + 1)]
+    return kinds
+
+
+def keyed(lines: DataFrame, kinds: list[tuple[int, int, int]], edits: int) -> DataFrame:
+    """(id, parities, shorter, key): a row of each line (id, line, parities) for each kind.
+
+    The key is that of segment ``number`` of a line that is ``shorter`` characters shorter,
+    looked for ``shift`` characters further on.  The kinds are exploded before the keys are
+    made, so that the compiled code makes one key, over and over, and stays small.
+    """
+    parts, (n, number) = edits + 1, (F.col("length"), F.col("kind.number"))
+    rows = lines.select("id", "line", "parities", F.length("line").alias("length"), F.explode(F.array(*[
+        F.struct(*[F.lit(v).alias(c) for c, v in zip(("shorter", "number", "shift"), kind, strict=True)])
+        for kind in kinds])).alias("kind"))
+    other = n - F.col("kind.shorter")
+    short, first_long = F.floor(other / parts).cast("int"), parts - other % parts + 1  # from here on one more
+    start = (number - 1) * short + F.greatest(number - first_long, F.lit(0)) + 1 + F.col("kind.shift")
+    text = F.substring(F.col("line"), start, short + (number >= first_long).cast("int"))
+    return rows.select("id", "parities", F.col("kind.shorter").alias("shorter"),
+                       F.xxhash64(other, number, text).alias("key"))
 
 
 def _let(value: Column, use) -> Column:
@@ -199,10 +208,10 @@ def rests(line: Column, edits: int) -> Column:
 def brief_pairs(lines: DataFrame, edits: int, brief: int) -> DataFrame:
     """(a, b) candidates, a < b, of which one has at most ``brief`` characters and one more than ``edits``."""
     short = lines.filter(F.length("line") <= brief + edits).select(
-        "id", F.length("line").alias("length"), counts(F.col("line")).alias("counts"),
+        "id", F.length("line").alias("length"), "parities",
         F.explode(rests(F.col("line"), edits)).alias("rest"))
-    one = short.select(F.col("id").alias("a"), F.col("length").alias("n"), F.col("counts").alias("x"), "rest")
-    two = short.select(F.col("id").alias("b"), F.col("length").alias("m"), F.col("counts").alias("y"),
+    one = short.select(F.col("id").alias("a"), F.col("length").alias("n"), F.col("parities").alias("x"), "rest")
+    two = short.select(F.col("id").alias("b"), F.col("length").alias("m"), F.col("parities").alias("y"),
                        F.col("rest").alias("same"))
     return one.join(two, (F.col("rest") == F.col("same")) & (F.col("a") < F.col("b"))
                     & (F.least("n", "m") <= brief) & (F.greatest("n", "m") > edits)
@@ -210,36 +219,34 @@ def brief_pairs(lines: DataFrame, edits: int, brief: int) -> DataFrame:
 
 
 def edit_links(run: Scratch, lines: DataFrame, edits: int, shortest: int) -> DataFrame:
-    """(a, b) ids of the lines (id, line) that are within ``edits`` edits, a < b.
+    """(a, b) ids of the lines (id, line, parities) that are within ``edits`` edits, a < b.
 
     Without those of two lines of at most ``edits`` characters, which are all
     within reach of each other.
     """
     length, brief = F.length("line"), max(BRIEF, edits)
-    # counted below the explode: once for each line, not for each of its keys
-    long = lines.filter((length >= shortest) & (length > brief)).select(
-        "id", "line", counts(F.col("line")).alias("counts"))
-    index = long.select(F.col("id").alias("a"), F.col("counts").alias("x"),
-                        F.explode(index_keys(F.col("line"), length, edits)).alias("key"))
-    equal, others = probe_keys(F.col("line"), length, edits)
-    marked = F.array(*[F.struct(k.alias("key"), F.lit(same).alias("same")) for ks, same in ((equal, 1), (others, 0))
-                       for k in ks])
-    # one bit beyond the counts says that the probed length is the line's own
-    probe = long.select(F.col("id").alias("b"), F.col("counts").alias("y"), F.explode(marked).alias("k")).select(
-        "b", F.col("y").bitwiseOR(F.shiftleft(F.col("k.same").cast("long"), 4 * len(COUNTED))).alias("y"), "k.key")
-    # the counts are compared inside the join: what cannot match is no row of it
-    once = (F.shiftright("y", 4 * len(COUNTED)) == 0) | (F.col("a") < F.col("b"))
+    long = lines.filter((length >= shortest) & (length > brief))
+    index = keyed(long, index_kinds(edits), edits).select(F.col("id").alias("a"), F.col("parities").alias("x"), "key")
+    # one bit beyond the parities says that the probed length is the line's own
+    probe = keyed(long, probe_kinds(edits), edits).select(
+        F.col("id").alias("b"), F.col("parities").bitwiseOR(
+            F.shiftleft((F.col("shorter") == 0).cast("long"), 2 * CLASSES)).alias("y"), "key")
+    # the parities are compared inside the join: what cannot match is no row of it
+    once = (F.shiftright("y", 2 * CLASSES) == 0) | (F.col("a") < F.col("b"))
     met = index.join(probe, (index["key"] == probe["key"]) & (F.col("a") != F.col("b")) & once
                      & alike(F.col("x"), F.col("y"), edits))
     found = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(
         brief_pairs(lines.filter(length >= shortest), edits, brief))
     pairs = run.stage(found.distinct(), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    # only the lines that met another one go on
-    texts = run.stage_texts(lines.select("id", "line").join(ids, "id", "left_semi"), "met")
-    one = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
-    two = one.join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
-    return run.stage(two.filter(within(F.col("x"), F.col("y"), edits)).select("a", "b"), "links")
+    # only the lines that met another one go on; of these the whole lines' parities are compared first
+    texts = run.stage_texts(lines.select("id", "line").join(ids, "id", "left_semi").withColumn(
+        "odd", odd(F.col("line"), 2 * CLASSES)), "met")
+    one = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("odd").alias("p")), "a")
+    two = one.join(texts.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("odd").alias("q")), "b")
+    near = F.bit_count(F.col("p").bitwiseXOR(F.col("q"))) <= 2 * edits
+    return run.stage(two.filter(F.when(near, within(F.col("x"), F.col("y"), edits)).otherwise(F.lit(False)))
+                     .select("a", "b"), "links")
 
 
 def near_lines(run: Scratch, docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
@@ -254,7 +261,9 @@ def near_lines(run: Scratch, docs: DataFrame, edits: int = EDITS, shortest: int
     columns are not read.
     """
     # numbers given by the written table; the smallest place of a class is found by the place itself
-    named = run.stage_texts(distinct_lines(docs).withColumn("id", F.monotonically_increasing_id()), "lines")
+    # and the parities once for all that compares them
+    named = run.stage_texts(distinct_lines(docs).withColumn("id", F.monotonically_increasing_id())
+                            .withColumn("parities", parities(F.col("line"))), "lines")
     links = edit_links(run, named, edits, shortest)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     # the shortest lines are all linked with each other: counted, and tied to one of them, not paired
@@ -273,7 +282,7 @@ def near_lines(run: Scratch, docs: DataFrame, edits: int = EDITS, shortest: int
         F.count("*").alias("n")).select("root", F.col("f.doc_id").alias("class_doc_id"),
                                         F.col("f.line_no").alias("class_line_no"), "n"), "first")
     classed = lookup(linked.select("id", "links", "root"), first, ["root"], "n").drop("root")
-    out = named.drop("line").join(classed, "id", "left")
+    out = named.drop("line", "parities").join(classed, "id", "left")
     alone = F.col("links").isNull()
     return out.select(
         "doc_id", "line_no", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"),

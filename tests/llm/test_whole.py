@@ -1,6 +1,7 @@
 """Cases that cut-down versions of the operators get wrong."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -176,3 +177,30 @@ def test_backoff_texts_are_moved_once(spark):
     assert plan.count("Exchange hashpartitioning(base") == 1
     assert plan.count("Exchange ") == 2
     assert tables and not any(spark.catalog.tableExists(t) for t in tables)
+
+
+def test_near_line_keys_are_made_by_small_code(spark):
+    """The JVM compiles no method of more than 8,000 bytes; the keys' code was larger."""
+    rows = spark.range(10).selectExpr("id", "cast(id as string) as line", "id as parities")
+    for kinds in (lines.index_kinds(lines.EDITS), lines.probe_kinds(lines.EDITS)):
+        plan = lines.keyed(rows, kinds, lines.EDITS)._jdf.queryExecution().executedPlan()
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+        assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
+def test_parities_of_lines_within_reach(spark):
+    """No line within reach is left out by the ends' parities, wherever the edits are."""
+    rng, pairs = random.Random(5), []
+    for _ in range(400):
+        a = [rng.choice("abcdé漢🙂 ") for _ in range(rng.choice([1, 3, 31, 32, 33, 40, 90]))]
+        b = list(a)
+        for _ in range(rng.randint(1, 2)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randint(0, 1)] = rng.choice([[], ["x"], ["é"]])
+        pairs.append(("".join(a), "".join(b)))
+    frame = spark.createDataFrame(pairs, "a string, b string").filter("b <> ''")
+    x, y = lines.parities(F.col("a")), lines.parities(F.col("b"))
+    whole = F.bit_count(lines.odd(F.col("a"), 62).bitwiseXOR(lines.odd(F.col("b"), 62)))
+    assert frame.filter(~lines.alike(x, y, 2) | (whole > 4)).count() == 0
+    far = lines.alike(lines.parities(F.lit("the quick brown fox")), lines.parities(F.lit("jumped over 97 dogs")), 2)
+    assert not frame.select(far.alias("near")).first()["near"]
