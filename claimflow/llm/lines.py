@@ -5,7 +5,9 @@ into ``edits + 1`` segments; two lines within ``edits`` edits share at least one
 segment of the shorter one, at a place that the lengths narrow down to a few
 positions.  So the index holds each line's segments by (length, segment number,
 text) and a line probes it with the few substrings that could match, for its
-own and the next smaller lengths.  A line of a few characters, whose segments
+own and the next smaller lengths.  A line of many characters has fewer keys: its
+first and its last characters, and some of its middle that a space there finds
+again when they are shifted.  A line of a few characters, whose segments
 would tell little, is found by what is left of it without any ``edits`` of its
 characters: lines within reach share such a rest.  Lines that meet are confirmed
 by a banded edit distance whose column is one machine word.  DataFrame functions only.
@@ -23,6 +25,9 @@ from claimflow.llm.scratch import Scratch, scratch
 EDITS = 2
 SHORTEST = 1       # shorter lines are duplicates only when equal: none
 BRIEF = 6          # lines of so many characters are found by their rests, longer ones by segments
+LONG = 64          # lines of so many characters and more are found by their ends and middle
+SPAN = 32          # lengths that long lines share their cuts with
+ANCHOR = 16        # characters of the middle in which a space is looked for
 
 
 # The parities of the characters at both ends of a line are compared before anything else.
@@ -32,8 +37,19 @@ CLASSES = 31       # classes of characters, by their hash
 
 def odd(text: Column, classes: int) -> Column:
     """Whether a text holds an odd number of the characters of each class, a bit for each class."""
-    return F.aggregate(F.split(text, ""), F.lit(0).cast("long"), lambda bits, char: bits.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(char), F.lit(classes)))))
+    return odd_parts(F.split(text, ""), lambda char: F.hash(char), classes)
+
+
+def odd_parts(parts: Column, code, classes: int) -> Column:
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda bits, part: bits.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(code(part), F.lit(classes)))))
+
+
+def odd_twos(line: Column) -> Column:
+    """As :func:`odd`, of two characters in a row: an edit takes two of them and brings two at most."""
+    chars = F.split(line, "")
+    twos = F.zip_with(chars, F.slice(chars, F.lit(2), F.size(chars)), lambda x, y: F.hash(x, y))
+    return odd_parts(twos, lambda code: code, 2 * CLASSES)
 
 
 def parities(line: Column) -> Column:
@@ -93,6 +109,44 @@ def keyed(lines: DataFrame, kinds: list[tuple[int, int, int]], edits: int) -> Da
                        F.xxhash64(other, number, text).alias("key"))
 
 
+def long_from(edits: int) -> int:
+    """The least length of lines that have :func:`long_keys`, where a span begins."""
+    return max(LONG, -(-(edits + 1) * (2 * edits + BRIEF) // SPAN) * SPAN)
+
+
+def long_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """(id, key): the keys of long lines (id, line); two within ``edits`` edits share one.
+
+    Lines of ``SPAN`` lengths, and of the next ``edits`` ones, are cut alike, as the shortest of
+    them, into ``edits + 1`` segments; so a line may belong to two spans.  Unless the first or
+    the last segment is the same, counted from its end, both hold an edit, and one between them
+    is the same, shifted by ``edits - 1`` at most.  Its text is taken at every such shift.  It
+    counts from its first space on, if that comes soon, so most shifts have one key.
+    """
+    n, parts, shift = F.length("line"), edits + 1, max(edits - 1, 0)
+    own = F.floor(n / SPAN).cast("int")
+    two = (n % SPAN < edits) & (n >= long_from(edits) + SPAN)
+    spans = lines.select("id", "line", n.alias("n"), F.explode(
+        F.when(two, F.array(own, own - 1)).otherwise(F.array(own))).alias("span"))
+    cuts = spans.withColumn("cut", F.floor(F.col("span") * SPAN / parts).cast("int"))
+    rows = cuts.withColumn("soon", F.least(F.floor(F.col("cut") / 2).cast("int") - shift, F.lit(ANCHOR)))
+    line, span, cut, soon = (F.col(c) for c in ("line", "span", "cut", "soon"))
+
+    def middle(k: int) -> Column:
+        def key(by: Column) -> Column:
+            start = cut * k + 1 + by
+            space = F.locate(" ", F.substring(line, start, soon))
+            size = cut - 2 * shift - F.when(space > 0, soon).otherwise(F.lit(0))
+            return F.xxhash64(span, F.lit(k), F.substring(line, start + space, size))
+
+        # one expression over the shifts: the JVM compiles no large method
+        return F.transform(F.sequence(F.lit(0), F.lit(2 * shift)), key)
+
+    ends = F.array(F.xxhash64(span, F.lit(0), F.substring(line, F.lit(1), cut)),
+                   F.xxhash64(span, F.lit(edits), F.substring(line, F.col("n") - cut + 1, cut)))
+    return rows.select("id", F.explode(F.array_distinct(F.concat(ends, *map(middle, range(1, edits))))).alias("key"))
+
+
 def _let(value: Column, use) -> Column:
     """``use(value)``, the value computed once."""
     return F.get(F.transform(F.array(value), use), 0)
@@ -184,12 +238,28 @@ def _columns(t: Column, edits: int) -> Column:
     return F.when((n == 0) | (m == 0), n + m <= edits).otherwise(value <= edits)
 
 
-def distinct_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line_no, line, copies): each distinct non-empty line at its first place."""
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    return lines.filter("line <> ''").groupBy("line").agg(
+def distinct_lines(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """(id, doc_id, line_no, line, copies, alone): each distinct non-empty line at its first place.
+
+    The id is a hash of the line; ``alone`` is false where lines share one.
+    """
+    lines = docs.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("line_no", "line"))
+    other = F.xxhash64(F.lit(~seed), "line")
+    return lines.filter("line <> ''").groupBy(F.xxhash64(F.lit(seed), "line").alias("id")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no")).alias("f"),
-        F.count("*").alias("copies")).select("f.doc_id", "f.line_no", "line", "copies")
+        F.first("line").alias("line"), F.count("*").alias("copies"), (F.min(other) == F.max(other)).alias("alone")).select(
+        "id", "f.doc_id", "f.line_no", "line", "copies", "alone")
+
+
+def named_lines(run: Scratch, docs: DataFrame, edits: int) -> DataFrame:
+    """:func:`distinct_lines`, dealt by id, with the parities of those that are not long."""
+    n, seed, long = F.length("line"), 0, long_from(edits)
+    while True:
+        named = run.stage_dealt(distinct_lines(docs, seed).withColumn(
+            "parities", F.when(n < long + edits, parities(F.col("line")))), "lines", "id", "zstd")
+        if not named.filter("NOT alone").limit(1).count():
+            return named.drop("alone")
+        seed += 1
 
 
 def rests(line: Column, edits: int) -> Column:
@@ -218,17 +288,43 @@ def brief_pairs(lines: DataFrame, edits: int, brief: int) -> DataFrame:
                     & (F.abs(F.col("n") - F.col("m")) <= edits) & alike(F.col("x"), F.col("y"), edits)).select("a", "b")
 
 
+def long_pairs(run: Scratch, lines: DataFrame, edits: int) -> DataFrame:
+    """(a, b) candidates, a < b, among the long lines (id, line).
+
+    What a line holds is counted, as parities, only for lines that have a key in common with
+    another one; it is compared inside the join, so that of many lines that are alike in one
+    place no pairs are made.
+    """
+    keys = run.stage(long_keys(lines, edits), "keys")
+    other = keys.select(F.col("id").alias("other"), F.col("key").alias("same"))
+    shared = run.stage(keys.join(other, (F.col("key") == F.col("same")) & (F.col("id") != F.col("other")), "left_semi"),
+                       "shared")
+    held = run.stage(lines.select("id", "line").join(shared.select("id").distinct(), "id", "left_semi").select(
+        "id", F.length("line").alias("n"), odd(F.col("line"), 2 * CLASSES).alias("ones"),
+        odd_twos(F.col("line")).alias("twos")), "held")
+    rows = shared.join(held, "id")
+    one, two = (rows.select(F.col("id").alias(i), F.struct("n", "ones", "twos").alias(h), F.col("key").alias(k))
+                for i, h, k in (("a", "x", "key"), ("b", "y", "same")))
+
+    def apart(column: str) -> Column:
+        return F.bit_count(F.col(f"x.{column}").bitwiseXOR(F.col(f"y.{column}")))
+
+    return one.join(two, (F.col("key") == F.col("same")) & (F.col("a") < F.col("b"))
+                    & (F.abs(F.col("x.n") - F.col("y.n")) <= edits) & (apart("ones") <= 2 * edits)
+                    & (apart("twos") <= 4 * edits)).select("a", "b")
+
+
 def edit_links(run: Scratch, lines: DataFrame, edits: int, shortest: int) -> DataFrame:
     """(a, b) ids of the lines (id, line, parities) that are within ``edits`` edits, a < b.
 
     Without those of two lines of at most ``edits`` characters, which are all
     within reach of each other.
     """
-    length, brief = F.length("line"), max(BRIEF, edits)
-    long = lines.filter((length >= shortest) & (length > brief))
-    index = keyed(long, index_kinds(edits), edits).select(F.col("id").alias("a"), F.col("parities").alias("x"), "key")
+    length, brief, long = F.length("line"), max(BRIEF, edits), long_from(edits)
+    mid = lines.filter((length >= shortest) & (length > brief) & (length < long + edits))
+    index = keyed(mid, index_kinds(edits), edits).select(F.col("id").alias("a"), F.col("parities").alias("x"), "key")
     # one bit beyond the parities says that the probed length is the line's own
-    probe = keyed(long, probe_kinds(edits), edits).select(
+    probe = keyed(mid, probe_kinds(edits), edits).select(
         F.col("id").alias("b"), F.col("parities").bitwiseOR(
             F.shiftleft((F.col("shorter") == 0).cast("long"), 2 * CLASSES)).alias("y"), "key")
     # the parities are compared inside the join: what cannot match is no row of it
@@ -236,6 +332,7 @@ def edit_links(run: Scratch, lines: DataFrame, edits: int, shortest: int) -> Dat
     met = index.join(probe, (index["key"] == probe["key"]) & (F.col("a") != F.col("b")) & once
                      & alike(F.col("x"), F.col("y"), edits))
     found = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(
+        long_pairs(run, lines.filter((length >= shortest) & (length >= long)), edits)).unionByName(
         brief_pairs(lines.filter(length >= shortest), edits, brief))
     pairs = run.stage(found.distinct(), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -260,10 +357,8 @@ def near_lines(run: Scratch, docs: DataFrame, edits: int = EDITS, shortest: int
     Lines of fewer than ``shortest`` characters are linked with nothing.  Other
     columns are not read.
     """
-    # numbers given by the written table; the smallest place of a class is found by the place itself
-    # and the parities once for all that compares them
-    named = run.stage_texts(distinct_lines(docs).withColumn("id", F.monotonically_increasing_id())
-                            .withColumn("parities", parities(F.col("line"))), "lines")
+    # texts are shuffled once; the smallest place of a class is found by the place itself
+    named = named_lines(run, docs, edits)
     links = edit_links(run, named, edits, shortest)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     # the shortest lines are all linked with each other: counted, and tied to one of them, not paired

@@ -62,7 +62,7 @@ class Scratch:
         """:meth:`stage` for a table of texts, packed tighter."""
         return written(df, self.path(name), "zstd")
 
-    def stage_dealt(self, df: DataFrame, name: str, column: str) -> DataFrame:
+    def stage_dealt(self, df: DataFrame, name: str, column: str, compression: str = "snappy") -> DataFrame:
         """:meth:`stage`, dealt to as many buckets of ``column`` as there are shuffle partitions.
 
         What is grouped or joined by ``column`` reads the buckets as they lie, without a shuffle.
@@ -71,7 +71,7 @@ class Scratch:
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         path = self.path(name)
         self.tables.append(table)  # before the write: a failed one may leave the table too
-        df.write.format("parquet").bucketBy(buckets, column).option("path", path).saveAsTable(table)
+        df.write.format("parquet").option("compression", compression).bucketBy(buckets, column).option("path", path).saveAsTable(table)
         return self.spark.table(table)
 
     def result(self, df: DataFrame, name: str) -> DataFrame:

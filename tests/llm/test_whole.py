@@ -204,3 +204,73 @@ def test_parities_of_lines_within_reach(spark):
     assert frame.filter(~lines.alike(x, y, 2) | (whole > 4)).count() == 0
     far = lines.alike(lines.parities(F.lit("the quick brown fox")), lines.parities(F.lit("jumped over 97 dogs")), 2)
     assert not frame.select(far.alias("near")).first()["near"]
+
+
+def test_near_lines_of_long_lines(spark, run):
+    """Lines at the borders of spans, with both edits anywhere, with and without spaces."""
+    rng, texts = random.Random(17), set()
+    for length in (*range(60, 70), *range(93, 99), 127, 128, 129, 130, 161):
+        for letters in ("abcdefé  ", "xyz漢"):
+            for _ in range(4):
+                line = "".join(rng.choice(letters) for _ in range(length))
+                texts.add(line)
+                for _ in range(5):
+                    other = list(line)
+                    for _ in range(rng.randint(1, 3)):
+                        k = rng.randrange(len(other) + 1)
+                        other[k:k + rng.randint(0, 1)] = rng.choice(["", "q", " "])
+                    texts.add("".join(other))
+    texts = sorted(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    links = Counter()
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            if abs(len(a) - len(b)) <= 2 and sum((Counter(a) - Counter(b)).values()) <= 2 and edit_distance(a, b) <= 2:
+                links[i] += 1
+                links[j] += 1
+    got = {r["doc_id"]: r["links"] for r in lines.near_lines(run, docs).collect()}
+    assert got == {i: links[i] for i in range(len(texts))}
+    assert sum(links.values()) > 500
+
+
+def test_long_line_keys_are_few_and_made_by_small_code(spark):
+    rng = random.Random(4)
+    words = [" ".join("".join(rng.choice("abcdeg") for _ in range(rng.randint(2, 8))) for _ in range(50)) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(words)), "id long, line string")
+    keys = lines.long_keys(rows, lines.EDITS)
+    assert keys.count() < 4.5 * len(words)
+    code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(keys._jdf.queryExecution().executedPlan())
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
+def test_lines_alike_in_one_place_make_few_pairs(spark, run):
+    """Half of all pairs shared a segment and had the same ends: n * n / 2 pairs, all far apart."""
+    rng = random.Random(8)
+    start, end = ("".join(rng.choice("abcdefgh ") for _ in range(90)) for _ in range(2))
+    texts = [start + "".join(rng.choice("abcdefgh ") for _ in range(40)) + end for _ in range(200)]
+    docs = spark.createDataFrame([(0, "\n".join(texts))], "doc_id long, text string")
+    named = lines.named_lines(run, docs, lines.EDITS)
+    assert lines.long_pairs(run, named, lines.EDITS).count() < 200
+
+
+def test_near_lines_shuffle_their_texts_once(spark, run):
+    docs = spark.createDataFrame([(k, f"line {k} " * 20) for k in range(50)], "doc_id long, text string")
+    named = lines.named_lines(run, docs, lines.EDITS)
+    ids = run.stage(named.select("id").limit(5), "some")
+    plan = named.select("id", "line").join(ids.hint("merge"), "id", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1    # of the ids
+    assert named.count() == 50
+
+
+def test_lines_whose_hashes_meet_get_others(spark, run, monkeypatch):
+    seen, real = [], lines.distinct_lines
+
+    def meeting(docs, seed=0):
+        seen.append(seed)
+        found = real(docs, seed)
+        return found.withColumn("alone", F.lit(False)) if not seed else found
+
+    monkeypatch.setattr(lines, "distinct_lines", meeting)
+    docs = spark.createDataFrame([(1, "a b c d e f g\nanother line")], "doc_id long, text string")
+    assert lines.named_lines(run, docs, lines.EDITS).count() == 2
+    assert seen == [0, 1]
