@@ -79,19 +79,22 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Model:
 
 def coordinate_descent(rows: list[np.ndarray], sign: np.ndarray, ratio: np.ndarray,
                        seed: int) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for the hinge loss; weights with the ratio folded in."""
+    """Dual coordinate descent for the hinge loss; weights with the ratio folded in.
+
+    A row's ratios are looked up when it is its turn: kept, they are twice the rows' size.
+    """
     w, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
-    values = [ratio[x] for x in rows]
-    norms = np.array([v @ v + 1 for v in values])
+    norms = np.array([ratio[x] @ ratio[x] + 1 for x in rows])
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
         for k in rng.permutation(len(rows)):
-            slack = sign[k] * (w[rows[k]] @ values[k] + bias) - 1
+            values = ratio[rows[k]]
+            slack = sign[k] * (w[rows[k]] @ values + bias) - 1
             new = min(max(alpha[k] - slack / norms[k], 0.0), COST)
             if new != alpha[k]:
                 step = (new - alpha[k]) * sign[k]
                 alpha[k] = new
-                w[rows[k]] += step * values[k]
+                w[rows[k]] += step * values
                 bias += step
     return w * ratio, bias
 
@@ -115,6 +118,16 @@ def sigmoid(margins: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     return float(ab[0] / scale), float(ab[1])
 
 
+def listed_features(column: pa.Array) -> list[np.ndarray]:
+    """The feature lists of a binary column: pieces of one array, whose memory goes back when it
+    is done with.  What thousands of small objects leave behind stays with a Python worker."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)[ends[0]:ends[-1]]
+    return np.split(data.copy().view(np.uint32), (ends[1:-1] - ends[0]) // 4)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id as text is divisible by 5; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -143,9 +156,10 @@ def train(run: Scratch, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE
                                              ["doc_id", "quality", "features"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted(((i.as_py(), int(q.as_py()), f.as_py()) for b in batches for i, q, f in
-                       zip(*b.columns, strict=True)), key=lambda r: r[0])
-        model = fit([np.frombuffer(f, np.uint32) for _, _, f in rows], np.array([q for _, q, _ in rows], int))
+        rows = sorted(((i, int(q), f) for b in filter(len, batches) for i, q, f in
+                       zip(b.column(0).to_pylist(), b.column(1).to_pylist(), listed_features(b.column(2)),
+                           strict=True)), key=lambda r: r[0])
+        model = fit([f for _, _, f in rows], np.array([q for _, q, _ in rows], int))
         yield pa.RecordBatch.from_arrays(
             [pa.array([model.weights.tobytes()], pa.binary()), *(pa.array([x], pa.float64()) for x in model[1:])],
             ["weights", "bias", "slope", "offset"])

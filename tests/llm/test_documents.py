@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import tracemalloc
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers_llm import WORDS, backoff_scores, near_components, shingle_set
 
@@ -319,3 +321,25 @@ def test_backoff_scores_without_common_words(spark, run, awkward, monkeypatch):
     monkeypatch.setattr(lm, "SLICE_BYTES", 2000)
     monkeypatch.setattr(lm, "RANGE_GRAMS", 5000)
     assert Counter(map(repr, lm.score_corpus(run, docs).collect())) == want
+
+
+def test_fitting_keeps_little_beside_the_rows():
+    """All rows' ratios were kept, twice the rows' size, in small pieces."""
+    lists = [np.arange(k % 7, 2500 + k % 7, dtype=np.uint32) for k in range(3000)]
+    column = pa.array([x.tobytes() for x in lists], pa.binary())
+    labels = np.arange(len(lists)) % 7 // 4
+    tracemalloc.start()
+    try:
+        rows = quality.listed_features(column.slice(10))
+        quality.fit(rows, labels[10:])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert all(np.array_equal(x, y) for x, y in zip(rows, lists[10:], strict=True))
+    assert len({id(x.base) for x in rows}) == 1
+    assert peak < 55e6          # the rows are 30 MB, their ratios 60 MB
+
+
+def test_feature_lists_may_be_empty():
+    assert [len(x) for x in quality.listed_features(pa.array([b"", b""], pa.binary()))] == [0, 0]
+    assert [len(x) for x in quality.listed_features(pa.array([b"", bytes(8), b""], pa.binary()))] == [0, 2, 0]
