@@ -26,6 +26,8 @@ the parent and finishes by name.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,14 +61,19 @@ def _picked(reduced: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def states(payments: DataFrame, keys: list[str], amount: Column, start: Column, through: Column,
-           release: Column, tiebreak: Column) -> DataFrame:
-    """One partial state per ``keys`` (missing keys are a group) of contribution rows."""
+           release: Column, tiebreak: Column, dealt: Sequence[str] = ()) -> DataFrame:
+    """One partial state per ``keys`` (missing keys are a group) of contribution rows.
+
+    ``dealt``: columns that follow from the release date and by which, with ``keys``, the
+    rows were dealt over the tasks.  The first step then needs no exchange, and the second
+    one carries a state per key and task.
+    """
     exact = amount.try_cast(EXACT)
     rows = payments.select(
-        *keys, amount.alias("amount"), F.when(exact.cast("double") == amount, exact).alias("fits"),
+        *keys, *dealt, amount.alias("amount"), F.when(exact.cast("double") == amount, exact).alias("fits"),
         F.coalesce(start, release).alias("first"), F.coalesce(through, release).alias("last"),
         release.alias("release"), pick_at(release, tiebreak).alias("pick_at"))
-    reduced = rows.groupBy(*keys, "pick_at").agg(
+    reduced = rows.groupBy(*keys, *dealt, "pick_at").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("amount").alias("n_amount"),
         F.count("fits").alias("n_exact"),

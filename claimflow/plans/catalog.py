@@ -19,7 +19,7 @@ from ..operators import predicates as P
 from ..operators.integrity import hop_integrity
 from ..operators.relate import relate
 from ..operators.supplements import SUPPLEMENT_COLUMNS, fold, fold_with_orphans, orphans
-from ..session import delete_path, once, scratch_path, staging_scope
+from ..session import delete_path, materialize, once, scratch_path, staging_scope
 from ..sources import extracts as X
 from ..sources.fixtures import (REP_END, REP_START, broken_entities, entities, payment_text_extract,
                                 read_driver_table, stored_entities, text_entities)
@@ -201,7 +201,8 @@ def gsc_days(spark, sf):
 def stage_audit(spark, sf):
     t = entities(spark, sf)
     with staging_scope(spark):
-        return once(stages.stage_audit(t, REP_START, REP_END, payment_text_extract(entities(spark, sf))), "stage_audit")
+        joined = materialize(stages.paid_contributions(t), "audit_contributions")
+        return once(stages.stage_audit(t, REP_START, REP_END, payment_text_extract(t, joined), joined), "stage_audit")
 
 
 def cast_rejects(spark, sf):

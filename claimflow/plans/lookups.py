@@ -22,6 +22,7 @@ from ..operators.latest import attach_lookup, first_of_tied, latest_day
 from ..operators.relate import relate
 from ..operators.rollup import finish, merged, states
 
+YEAR = "_year"
 DIAGNOSIS_PAYLOAD = ("medical_code", "description", "duration_factor")
 
 
@@ -31,29 +32,39 @@ def _group_parents(tables: Mapping[str, DataFrame], entity: str, name_path: str,
     return df.filter(P.is_group_business(F.col("_bt"))).drop("_bt")
 
 
-def payment_states(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
+def _processed(payments: DataFrame, rep_end: dt.date) -> DataFrame:
+    payments = as_date(payments, ["release"])
+    return payments.filter(P.processed_by(F.col("status"), F.col("release"), rep_end, F.col("release_month")))
+
+
+def payment_states(tables: Mapping[str, DataFrame], rep_end: dt.date, joined: DataFrame | None = None) -> DataFrame:
     """Partial rollup states of processed payments, one row per benefit-claimed id.
 
     The payments are filtered and pruned to their release date first and joined
-    to the contributions once; the contributions are then reduced map-side.
+    to the contributions once.  The contributions are then dealt once, as narrow rows, by
+    benefit and year: the first step of the rollup needs no other exchange, the second one
+    gets a state or two per benefit, and a hot benefit is the work of as many tasks as it has
+    years.  ``joined``: contributions with the fields of their payments, where a run has them.
     """
-    paid = as_date(tables["payment"], ["release"])
-    paid = paid.filter(P.processed_by(F.col("status"), F.col("release"), rep_end,
-                                      F.col("release_month"))) \
-        .select(F.col("id").alias("_payment"), "release")
-    pc = as_date(as_number(tables["payment_contribution"], ["amount"]), ["start", "through"])
-    pc = pc.select("benefit_claimed_id", "payment_id", "line_number", "amount", "start", "through")
-    # merged at every size: what a run needs grows with the payments and not in steps, and no
-    # task holds them all
-    pc = pc.join(paid.hint("merge"), pc["payment_id"] == paid["_payment"])
-    return states(pc, ["benefit_claimed_id"], F.col("amount"), F.col("start"), F.col("through"),
-                  F.col("release"), F.col("line_number"))
-
-
-def payment_states_by_name(tables: Mapping[str, DataFrame], rep_end: dt.date) -> DataFrame:
+    if joined is None:
+        paid = _processed(tables["payment"], rep_end).select(F.col("id").alias("_payment"), "release")
+        pc = tables["payment_contribution"].select("benefit_claimed_id", "payment_id", "line_number", "amount", "start", "through")
+        # merged at every size: what a run needs grows with the payments and not in steps, and no
+        # task holds them all
+        pc = pc.join(paid.hint("merge"), pc["payment_id"] == paid["_payment"])
+    else:
+        pc = _processed(joined, rep_end)
+    pc = as_date(as_number(pc, ["amount"]), ["start", "through"])
+    dealt = pc.select("benefit_claimed_id", F.year("release").alias(YEAR), "line_number", "amount", "start", "through",
+                      "release").repartition("benefit_claimed_id", YEAR)
+    return states(dealt, ["benefit_claimed_id"], F.col("amount"), F.col("start"), F.col("through"),
+                  F.col("release"), F.col("line_number"), dealt=[YEAR])
+
+
+def payment_states_by_name(tables: Mapping[str, DataFrame], rep_end: dt.date, joined: DataFrame | None = None) -> DataFrame:
     """:func:`payment_states` merged per benefit-claimed name (one state row per
     name, a missing name included): the payments extract groups by name."""
-    per_id = payment_states(tables, rep_end)
+    per_id = payment_states(tables, rep_end, joined)
     parents = _group_parents(tables, "benefit_claimed", "name", "claim.business_type",
                              "benefit_claimed_name")
     joined = per_id.join(parents, per_id["benefit_claimed_id"] == parents["_id"])

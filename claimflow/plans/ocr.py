@@ -110,16 +110,16 @@ def ocr_open(tables: Mapping[str, DataFrame], rep_end: dt.date,
 
 
 def ocr_clean(tables: Mapping[str, DataFrame], rep_end: dt.date,
-              tap: Callable = no_tap) -> DataFrame:
+              tap: Callable = no_tap, states: DataFrame | None = None) -> DataFrame:
     """Open benefits with their payment rollup (and latest diagnosis), joined by
     benefit-claimed name; a missing name meets the rollup of the missing name."""
-    return with_payments(tables, rep_end, ocr_open(tables, rep_end, tap), tap)
+    return with_payments(tables, rep_end, ocr_open(tables, rep_end, tap), tap, states)
 
 
 def with_payments(tables: Mapping[str, DataFrame], rep_end: dt.date, df: DataFrame,
-                  tap: Callable = no_tap) -> DataFrame:
-    """Open benefits with the rollup of their name."""
-    states = payment_states_by_name(tables, rep_end)
+                  tap: Callable = no_tap, states: DataFrame | None = None) -> DataFrame:
+    """Open benefits with the rollup of their name; ``states``: the rollup, staged before."""
+    states = payment_states_by_name(tables, rep_end) if states is None else states
     joined = df.join(states, df["name"].eqNullSafe(states["benefit_claimed_name"]), "left")
     clean = joined.select(*[df[c] for c in df.columns], *measure_columns())
     return tap("ocr_with_payments", clean,

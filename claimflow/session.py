@@ -91,6 +91,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Shuffle files of a query are removed as it ends, not when the driver's garbage is collected.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Writes inside the block remove their shuffle files as each ends: a run of several
+    writes holds those of one at a time, beside what it wrote."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 # Paths staged by materialize() inside the innermost staging_scope(), if any.
 _STAGED: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar(
     "claimflow_staged", default=None)
@@ -127,7 +143,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     For a frame that a plan reads many times: it is computed once, its
     lineage is cut, its files survive the loss of any executor, and readers
     get column pruning (a branch that needs 4 of 60 columns reads 4) and true
-    sizes for the planner.  Inside a :func:`staging_scope` the table is
+    sizes for the planner.  The shuffle files of the write are removed.  Inside a :func:`staging_scope` the table is
     deleted when the scope exits; otherwise it is left to the cluster's
     retention of the checkpoint folder.
     """
@@ -135,7 +151,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     staged = _STAGED.get()
     if staged is not None:
         staged.append(path)  # before the write: a failed one leaves files too
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     # the schema is known: no footer-reading job to infer it on the way back
     schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata)
                            for f in df.schema.fields])
@@ -153,4 +170,4 @@ def once(df: DataFrame, name: str) -> DataFrame:
 
 
 __all__ = ["DEFAULTS", "get_session", "checkpoint_dir", "scratch_path", "materialize",
-           "staging_scope", "delete_path", "once"]
+           "staging_scope", "delete_path", "once", "shuffles_removed"]

@@ -263,12 +263,13 @@ def _build_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def payment_text_extract(tables: dict[str, DataFrame]) -> DataFrame:
+def payment_text_extract(tables: dict[str, DataFrame], joined: DataFrame | None = None) -> DataFrame:
     """Payments as an untyped extract would deliver them: amounts and release
-    dates as text, in rotating date formats, with junk and blanks mixed in."""
+    dates as text, in rotating date formats, with junk and blanks mixed in.
+    ``joined``: contributions with the fields of their payments, where a run has them."""
     pc = relate(tables, "payment_contribution", {
         "name": "name", "line_number": "line_number", "amount": "amount",
-        "benefit_claimed_id": "benefit_claimed_id", "release": "payment.release"})
+        "benefit_claimed_id": "benefit_claimed_id", "release": "payment.release"}) if joined is None else joined
     k, rel = F.col("benefit_claimed_id").cast("bigint"), F.col("release")
     fmt = (k + F.col("line_number")) % 6
     amount_text = (F.when(F.col("amount").isNull(), None)
