@@ -154,9 +154,11 @@ def ocr_frame(tables: Mapping[str, DataFrame], rep_end: dt.date,
 
     The open-claims frame feeds eleven branches of the fold (lefts, lookups,
     the orphan test), so it is materialized once (a staged parquet table)
-    instead of being recomputed, joins and rollups included, per branch.
+    instead of being recomputed, joins and rollups included, per branch.  So is the
+    rollup, before it: the payments' shuffle files are gone when the wide joins begin.
     """
-    clean = materialize(ocr_clean(tables, rep_end, tap), "ocr_open_claims")
+    states = materialize(payment_states_by_name(tables, rep_end), "ocr_rollup")
+    clean = materialize(ocr_clean(tables, rep_end, tap, states), "ocr_open_claims")
     primary, other = heavy_keys(clean)
     folded = tap("supplement_fold", fold(clean, heavy=primary))
     orphan_rows = tap("orphan_supplements", orphans(clean, heavy=other))

@@ -71,6 +71,11 @@ def test_the_audit_joins_payments_once(spark, written):
     assert [_joins_of_payments(p) for p in written if _joins_of_payments(p)] == [1]
 
 
+def test_the_report_stages_the_rollup_before_the_wide_joins(spark, written):
+    E.queries()["ocr_report"](spark, SF_SMALL)
+    assert [_joins_of_payments(p) for p in written] == [1, 0]
+
+
 def _payments(spark):
     """Two benefits over several years, with equal days and lines, missing values and a hot one."""
     rows = [{"name": f"a{i}", "benefit_claimed_id": 1, "line_number": i % 3, "amount": None if i == 77 else i / 100,
