@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import as_date, as_number
 from ..operators import predicates as P
 from ..operators.rollup import finish, merged, states
-from ..session import delete_path
+from ..session import delete_path, shuffles_removed
 from ..sources.months import MONTH, read_months, signatures
 from .lookups import _group_parents
 
@@ -97,8 +97,9 @@ class MonthStates:
         kept = {m: v for m, v in known.items() if m in now and m not in changed}
         if changed:
             folder = f"states-{uuid.uuid4().hex}"
-            (states_of_months(read_months(self.spark, self.source), changed)
-             .write.option("compression", "zstd").partitionBy(MONTH).parquet(f"{self.root}/{folder}"))
+            with shuffles_removed(self.spark):
+                (states_of_months(read_months(self.spark, self.source), changed)
+                 .write.option("compression", "zstd").partitionBy(MONTH).parquet(f"{self.root}/{folder}"))
             kept |= {m: (now[m], folder) for m in changed}
         rows = [(m, *v) for m, v in sorted(kept.items())]
         # a manifest that a dead run left half written is written anew
@@ -136,8 +137,12 @@ class MonthStates:
 
 
 def rollup_of_months(tables: Mapping[str, DataFrame], kept: MonthStates, rep_end: dt.date) -> DataFrame:
-    """The payment rollup by benefit-claimed name from kept states; ``tables`` give the parents."""
+    """The payment rollup by benefit-claimed name from kept states; ``tables`` give the parents.
+
+    The states of all months are dealt once by their benefit, where they become one before
+    they meet the parents: what is merged by name grows with the benefits and not the months.
+    """
     parents = _group_parents(tables, "benefit_claimed", "name", "claim.business_type", "benefit_claimed_name")
-    months = kept.read(rep_end)
+    months = merged(kept.read(rep_end).repartition("benefit_claimed_id"), ["benefit_claimed_id"])
     joined = months.join(parents, months["benefit_claimed_id"] == parents["_id"])
     return finish(merged(joined, ["benefit_claimed_name"]), "benefit_claimed_name")

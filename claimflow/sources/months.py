@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import date_column
+from ..session import shuffles_removed
 
 MONTH = "release_month"
 OBJECTS = ("payment", "payment_contribution")
@@ -34,8 +35,9 @@ def write_months(tables: Mapping[str, DataFrame], root: str, months: Iterable[dt
         if months is not None:
             df = df.filter(F.col(MONTH).isin(list(months)))
         # one task, or a few after a skew split, per month: few files a folder
-        (df.repartition(MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if months is not None else "static")
-         .option("compression", "zstd").partitionBy(MONTH).parquet(f"{root.rstrip('/')}/{name}"))
+        with shuffles_removed(df.sparkSession):
+            (df.repartition(MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if months is not None else "static")
+             .option("compression", "zstd").partitionBy(MONTH).parquet(f"{root.rstrip('/')}/{name}"))
 
 
 def read_months(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from claimflow.operators.rollup import finish, rollup_payments
 from claimflow.plans.lookups import payment_states
-from claimflow.session import SHUFFLE_CLEANUP, materialize
+from claimflow.plans.months import MonthStates, rollup_of_months
+from claimflow.session import SHUFFLE_CLEANUP, materialize, scratch_path
+from claimflow.sources.months import write_months
 from helpers import D, SF_SMALL, make_tables
 
 END = D("2020-12-31")
@@ -76,6 +78,21 @@ def test_the_report_stages_the_rollup_before_the_wide_joins(spark, written):
     assert [_joins_of_payments(p) for p in written] == [1, 0]
 
 
+def test_months_leave_no_shuffle_files(spark, fixture_tables):
+    source, root, before = scratch_path(spark, "months"), scratch_path(spark, "states"), _shuffle_files(spark)
+    write_months(fixture_tables, source)
+    assert not _left(spark, before)
+    states = MonthStates(spark, root, source)
+    states.update()
+    assert not [f for f in _left(spark, before) if f.endswith(".data")]
+    plan = _plan(rollup_of_months(fixture_tables, states, END))
+    # the months of a benefit become one state where they are dealt, before the join by id
+    join = next(i for i, x in enumerate(plan.splitlines()) if "Join [benefit_claimed_id#" in x)
+    below = "\n".join(plan.splitlines()[join:])
+    assert "HashAggregate(keys=[benefit_claimed_id#" in below
+    assert len(re.findall(r"Exchange hashpartitioning\(benefit_claimed_id#", below)) == 1
+
+
 def _payments(spark):
     """Two benefits over several years, with equal days and lines, missing values and a hot one."""
     rows = [{"name": f"a{i}", "benefit_claimed_id": 1, "line_number": i % 3, "amount": None if i == 77 else i / 100,
