@@ -1,7 +1,7 @@
 """The two per-key lookups both reports join: payment rollup and latest diagnosis.
 
 Both are aggregated *before* their join to the parent objects: payments are
-reduced per benefit-claimed foreign key and diagnoses per journal foreign key
+dealt and reduced per benefit-claimed foreign key and diagnoses per journal foreign key
 (map-side combinable states), the small state frames are joined to their
 parents to get the grouping name and apply the group-business filter, and the
 states are merged per name.  The big fact tables are never shuffled whole.  Of the
