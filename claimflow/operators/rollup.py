@@ -18,8 +18,8 @@ Every step is two hash aggregates: first the rows of one (key, day and line) are
 reduced to their sums and their least amount, then those of a key, where the least
 (day and line) brings its amount along.  The tie order is so exact for any amount,
 and every buffer is a number or date of fixed width: no task sorts payments, both
-steps combine map-side, and a hot benefit is spread over its days and lines before
-it is brought together.  The states merge by the same two steps, so a plan can
+steps combine map-side, and a hot benefit is spread over its days and lines (or what
+its rows were dealt by, see :func:`states`) before it is brought together.  The states merge by the same two steps, so a plan can
 reduce payments by their foreign key before it joins the (much smaller) result to
 the parent and finishes by name.
 """

@@ -4,8 +4,8 @@ Both are aggregated *before* their join to the parent objects: payments are
 dealt and reduced per benefit-claimed foreign key and diagnoses per journal foreign key
 (map-side combinable states), the small state frames are joined to their
 parents to get the grouping name and apply the group-business filter, and the
-states are merged per name.  The big fact tables are never shuffled whole.  Of the
-diagnoses only (journal, day) is reduced; texts are fetched for the latest day.
+states are merged per name.  Of the big fact tables only the few columns that the
+lookups read are shuffled.  Of the diagnoses only (journal, day) is reduced; texts are fetched for the latest day.
 """
 
 from __future__ import annotations
